@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,8 +68,8 @@ def arrow_schema(**kinds: pa.DataType) -> pa.Schema:
 def in_order(df: DataFrame, order: list[Column], weight: str | None = None, label: str = "order") -> DataFrame:
     """df with tw_rank, its rows' number from 0 in this total order, and tw_before, the sum of weight over earlier rows.
 
-    Sorted by range over all executors; no task sees more than its range.  Only one row for each partition
-    (its row count and weight) goes to the driver.  Rows that tie in order must be interchangeable.
+    Sorted by range over all executors; no task sees more than its range.  Only one row for each partition (its row count
+    and weight) is brought together and broadcast.  Rows that tie in order must be interchangeable.
     """
     spark = df.sparkSession
     at = F.monotonically_increasing_id()
@@ -89,12 +89,9 @@ def in_order(df: DataFrame, order: list[Column], weight: str | None = None, labe
     rows = stored(rows, label)
     part = F.shiftright(F.col("tw_at"), 33)
     of = F.sum(weight) if weight else F.lit(0)
-    sums = sorted(rows.groupBy(part.alias("p")).agg(F.count("*"), of).collect())
-    starts, n, w = [], 0, 0
-    for p, count, total in sums:
-        starts.append((p, n, w))
-        n, w = n + count, w + (total or 0)
-    starts = spark.createDataFrame(starts, "tw_part long, tw_n long, tw_w long")  # one row for each partition
+    earlier = Window.orderBy("tw_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy(part.cast("long").alias("tw_part")).agg(F.count("*").alias("n"), of.alias("w"))
+    starts = starts.select("tw_part", *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"tw_{c}") for c in ("n", "w")))
     out = rows.withColumn("tw_part", part.cast("long")).join(F.broadcast(starts), "tw_part")
     inside = F.col("tw_at").bitwiseAND(F.lit((1 << 33) - 1))
     out = out.withColumn("tw_rank", F.col("tw_n") + inside)
@@ -109,7 +106,7 @@ def look_up(rows: DataFrame, table: DataFrame, key: str, count: str, of: int) ->
     Keys with over a thousandth of all `of` rows, so under a thousand of them, are broadcast; the others, none of
     them large, are joined by a shuffle.  A table of at most BROADCAST_ROWS rows is broadcast whole.
     """
-    if len(table.select(F.lit(1)).limit(BROADCAST_ROWS + 1).collect()) <= BROADCAST_ROWS:
+    if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         return null_safe(rows, F.broadcast(table), [key])
     least = max(of // 1000, 1)
     hot = F.broadcast(table.filter(F.col(count) > least).withColumn("tw_hot", F.lit(True)))
