@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import SPACE, chunks, null_safe, stored, utf8
+from tidewell.llm.common import SPACE, chunks, look_up, null_safe, stored, utf8
 
 
 def key_of(line: bytes, least: int) -> bytes | None:
@@ -41,11 +41,12 @@ def dropped_keys(docs: DataFrame, least: int = 40, most_docs: int = 5) -> DataFr
     """doc_id and the array of its line keys that it loses.
 
     Distinct documents are counted for each key (first by key and document, so a very common line is spread); only keys
-    of at least most_docs documents go on, and only they are joined back to the documents that hold them.
+    of at least most_docs documents go on, and only they are joined back to the documents that hold them, the hottest by broadcast.
     """
     keys = stored(line_keys(docs, least), "lines")
-    common = keys.groupBy("key").agg((F.countDistinct("doc_id") + F.max(F.col("doc_id").isNull().cast("int"))).alias("n_docs"), F.max("doc_id").alias("keeper")).filter(F.col("n_docs") >= most_docs).select("key", "keeper")
-    lost = keys.join(common, "key").filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+    common = keys.groupBy("key").agg((F.countDistinct("doc_id") + F.max(F.col("doc_id").isNull().cast("int"))).alias("n_docs"), F.max("doc_id").alias("keeper")).filter(F.col("n_docs") >= most_docs)
+    found = look_up(keys, stored(common, "common"), "key", "n_docs", max(keys.count(), 1))
+    lost = found.filter(F.col("keeper").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("keeper")))
     return lost.groupBy("doc_id").agg(F.collect_set("key").alias("tw_lost"))
 
 

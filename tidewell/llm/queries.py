@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import decontaminate, langid, lines, mixing, quality, sharding, simhash, tokens
+from tidewell.llm import chat, decontaminate, langid, licenses, lines, mixing, quality, sharding, simhash, tokens
 from tidewell.llm.common import docs_of
 
 DIMS = ["source", "lang", "n_chars"]
@@ -17,6 +17,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(docs_of(spark, sf_dir))
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(docs_of(spark, sf_dir))
+
+
 def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = docs_of(spark, sf_dir).select("doc_id", *DIMS, (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
@@ -28,6 +32,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs_of(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.link_quotes(docs_of(spark, sf_dir, "conversations"))
+
+
 def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -53,7 +61,7 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_summary(docs_of(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op3_shards, op4_simhash, op6_tokens, op7_mix, op8_decontaminate, op9_language, op10_lines)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_licenses, op3_shards, op4_simhash, op5_chat, op6_tokens, op7_mix, op8_decontaminate, op9_language, op10_lines)}
 
 OP1_SQL = r"""
 WITH d AS (
