@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import in_order, look_up, null_safe, stored, utf8
+from tidewell.llm.common import in_order, look_up, null_safe, partitions, stored, utf8
 
 
 @dataclass(frozen=True)
@@ -109,7 +109,7 @@ def slot_counts(per: DataFrame, recipe: Recipe) -> DataFrame:
 
 def slots(per: DataFrame, recipe: Recipe) -> DataFrame:
     """number, shard, slot, epoch and block of each slot of the mix."""
-    spread = slot_counts(per, recipe).filter("n_slots > 0").repartition("number", "shard")
+    spread = slot_counts(per, recipe).filter("n_slots > 0").repartition(partitions(per.sparkSession), "number", "shard")
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -156,7 +156,8 @@ def mix(docs: DataFrame, recipe: Recipe = Recipe(), source: str = "source") -> M
     low = F.greatest(F.col("start"), F.col("block") * k)
     high = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * k)
     spans = spans.select("tw_rank", "number", "block", (low - F.col("start")).alias("word"), (high - low).alias("n"))
-    drawn = slots(per, recipe).join(spans, ["number", "block"]).select("tw_rank", "shard", "slot", "epoch", "word", "n")
+    # by a merge: the planner takes the slots for as few as the draws they are made from, and would broadcast them
+    drawn = slots(per, recipe).hint("merge").join(spans, ["number", "block"]).select("tw_rank", "shard", "slot", "epoch", "word", "n")
     return Mix(rows, drawn)
 
 

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import chunks, look_up, null_safe, stored, utf8
+from tidewell.llm.common import chunks, look_up, null_safe, partitions, stored, utf8
 from tidewell.llm.graph import components
 
 #: Two halves: of three differing bits one half holds one at most.
@@ -98,6 +98,8 @@ def links(fps: DataFrame, bits: int = 3) -> DataFrame:
     """
     if not 0 <= bits <= 3:
         raise ValueError("bits: 0 to 3")
+    # dealt out first: each row becomes 64, and small stages are merged into few tasks
+    fps = fps.repartition(partitions(fps.sparkSession), "fp")
     index = fps.select("fp", F.explode(F.expr(BUCKETS)).alias("bucket"))
     sizes = index.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     members = stored(index.join(sizes, "bucket"), "buckets")
