@@ -135,7 +135,7 @@ def byte_size(c: Column | str) -> Column:
     n = as_column(c).cast("double")
     out = F.format_string("%d B", as_column(c).cast("long"))
     for power, unit in enumerate(("KB", "MB", "GB", "TB", "PB"), 1):
-        out = F.when(n >= 1024.0**power, F.format_string(f"%.1f {unit}", n / 1024.0**power)).otherwise(out)
+        out = F.when(n >= 1024.0**power, F.format_string(f"%.1f {unit}", F.bround(n / 1024.0**power, 1))).otherwise(out)
     return out
 
 
