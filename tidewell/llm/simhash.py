@@ -98,8 +98,9 @@ def links(fps: DataFrame, bits: int = 3) -> DataFrame:
     """
     if not 0 <= bits <= 3:
         raise ValueError("bits: 0 to 3")
-    # dealt out first: each row becomes 64, and small stages are merged into few tasks
-    fps = fps.repartition(partitions(fps.sparkSession), "fp")
+    # dealt out first, by another key than the one fps may have been grouped by (else the planner keeps that shuffle and
+    # merges it into few tasks): each row becomes 64
+    fps = fps.repartition(partitions(fps.sparkSession), F.xxhash64("fp"))
     index = fps.select("fp", F.explode(F.expr(BUCKETS)).alias("bucket"))
     sizes = index.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     members = stored(index.join(sizes, "bucket"), "buckets")
