@@ -100,13 +100,13 @@ def in_order(df: DataFrame, order: list[Column], weight: str | None = None, labe
     return out.drop("tw_part", "tw_n", "tw_w", "tw_at", "tw_run")
 
 
-def look_up(rows: DataFrame, table: DataFrame, key: str, count: str, of: int) -> DataFrame:
+def look_up(rows: DataFrame, table: DataFrame, key: str, count: str, of: int, whole: int = BROADCAST_ROWS) -> DataFrame:
     """rows left-joined to table on key (null equals null); table has one row for each key, count says how many rows have it.
 
     Keys with over a thousandth of all `of` rows, so under a thousand of them, are broadcast; the others, none of
-    them large, are joined by a shuffle.  A table of at most BROADCAST_ROWS rows is broadcast whole.
+    them large, are joined by a shuffle.  A table of at most `whole` rows is broadcast whole.
     """
-    if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if whole and table.limit(whole + 1).count() <= whole:
         return null_safe(rows, F.broadcast(table), [key])
     least = max(of // 1000, 1)
     hot = F.broadcast(table.filter(F.col(count) > least).withColumn("tw_hot", F.lit(True)))

@@ -129,13 +129,18 @@ def near_duplicates(docs: DataFrame, bits: int = 3) -> DataFrame:
     """
     rows = stored(fingerprints(docs), "fingerprints")
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_rows"))
-    roots = components(links(nodes.select("fp"), bits))
+    out = named(rows, nodes, links(nodes.select("fp"), bits))
+    return out.select("doc_id", "text_hash", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def named(rows: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """rows (doc_id, text_hash, fp) with component_id; nodes: fp, least (doc_id) and n_rows of each; edges (a, b) between them."""
+    roots = components(edges)
     nodes = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     nodes = stored(nodes, "nodes")
     named = nodes.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n_nodes"))
     many = look_up(nodes, named, "root", "n_nodes", max(nodes.count(), 1)).select("fp", "n_rows", "component_id")
-    out = look_up(rows, many, "fp", "n_rows", max(rows.count(), 1))
-    return out.select("doc_id", "text_hash", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return look_up(rows, many, "fp", "n_rows", max(rows.count(), 1)).select("doc_id", "text_hash", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, bits: int = 3) -> DataFrame:
@@ -143,7 +148,11 @@ def keep_one(docs: DataFrame, bits: int = 3) -> DataFrame:
 
     Rows alike in doc_id and text are one.  Only ids and hashes are shuffled to decide; texts are joined to the decision once.
     """
-    found = near_duplicates(docs, bits)
+    return one_of_each(docs, near_duplicates(docs, bits))
+
+
+def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """keep_one for components that are found already: doc_id, text_hash, fp and component_id for each row of docs."""
     group = F.when(F.col("component_id").isNull(), F.col("fp"))  # components of null ids alone go by their fingerprint
     alike = found.groupBy("doc_id", "text_hash", "component_id", group.alias("g")).agg(F.count("*").alias("n"))
     best = F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_hash", "n"))
