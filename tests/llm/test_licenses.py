@@ -42,3 +42,17 @@ def test_near_copy_and_odd_rows(spark):
     assert got == [(1, "Apache-2.0"), (1, "Apache-2.0"), (5, "MIT"), (None, "CC-BY-NC-4.0")]
     assert license_scan(df.limit(0)).collect() == []
     assert license_scan(df, []).collect() == []
+
+
+def test_short_notices(spark):
+    rows = [
+        (1, "w " * 40 + "(c) 2020. ALL  rights\nreserved."), (2, "all rights are reserved"), (3, "All rights reserved. " * 50), (4, "// SPDX-License-Identifier: MIT"), (5, "rights reserved"), (6, None),
+        (7, "Released under the MIT License. All rights reserved."), (8, "X y all rights reserved"), (8, "X y all rights reserved"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.license_id, r.containment, r.word) for r in license_scan(df).collect())
+    reserved = "All-rights-reserved"
+    assert got == [(1, reserved, 1.0, 42), (3, reserved, 1.0, 0), (4, "MIT", 1.0, 0), (7, reserved, 1.0, 5), (7, "MIT", 1.0, 0), (8, reserved, 1.0, 2), (8, reserved, 1.0, 2)]
+    own = [("A", "x"), ("B", "X, y"), ("B", "w w"), ("C", "..."), ("D", "reserved rights")]
+    got = sorted((r.doc_id, r.license_id, r.word) for r in license_scan(df, own).collect())
+    assert got == [(1, "B", 0), (8, "A", 0), (8, "A", 0), (8, "B", 0), (8, "B", 0)]

@@ -1,5 +1,6 @@
 """License scans: MinHash bands over overlapping windows find candidate templates, exact shingle containment decides.
 
+Templates shorter than a shingle are found as they are, word by word.
 DataFrame functions only: no Python runs on the executors.
 """
 
@@ -30,6 +31,9 @@ TEMPLATES: list[tuple[str, str]] = [
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("All-rights-reserved", "All rights reserved."),
+    ("MIT", "SPDX-License-Identifier: MIT"),
+    ("Unlicense", "SPDX-License-Identifier: Unlicense"),
 ]
 
 
@@ -66,14 +70,28 @@ def band_hashes(window: str, b: Bands) -> Column:
 
 
 def template_table(spark: SparkSession, templates: list[tuple[str, str]], b: Bands) -> DataFrame:
-    """template, license_id, n (distinct shingles), step (between windows) and their hashes; as small as the list given."""
+    """template, license_id, w (words), n (distinct shingles), step (between windows) and their hashes; as small as the list given."""
     if not templates:
         templates = [("", "")]
     given = F.array(*(F.struct(F.lit(i).alias("template"), F.lit(name).alias("license_id"), F.lit(text).alias("text")) for i, (name, text) in enumerate(templates)))
     rows = spark.range(1).select(F.explode(given).alias("t")).select("t.template", "t.license_id", words(F.col("t.text")).alias("w"))
-    rows = rows.select("template", "license_id", F.array_distinct(shingle_hashes("w", b.shingle)).alias("marks"))
+    rows = rows.select("template", "license_id", "w", F.array_distinct(shingle_hashes("w", b.shingle)).alias("marks"))
     n = F.size("marks")
-    return rows.select("template", "license_id", "marks", n.alias("n"), F.greatest(F.lit(1), F.floor(n / 8)).cast("int").alias("step")).filter("n > 0")
+    return rows.select("template", "license_id", "w", "marks", n.alias("n"), F.greatest(F.lit(1), F.floor(n / 8)).cast("int").alias("step"))
+
+
+def short_places(of: str, notices: list[list[str]]) -> Column:
+    """(key, word) for each place in an array of words where one of these short notices stands; key is the notice, joined by blanks."""
+
+    def places(k: int) -> Column:
+        own = [x for x in notices if len(x) == k]
+        key = lambda i: F.concat_ws(" ", *(F.get(of, i + j) for j in range(k)))
+        here = lambda i: F.get(of, i).isin(sorted({x[0] for x in own})) & key(i).isin([" ".join(x) for x in own])
+        at = F.filter(F.sequence(F.lit(0), F.size(of) - k), here)
+        return F.when(F.size(of) >= k, F.transform(at, lambda i: F.struct(key(i).alias("key"), i.alias("word")))).otherwise(none)
+
+    none = F.expr("cast(array() as array<struct<key:string,word:int>>)")
+    return F.concat(none, *map(places, sorted({len(x) for x in notices})))
 
 
 def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, b: Bands = Bands()) -> DataFrame:
@@ -83,19 +101,22 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None
     from whole texts wherever they hold one of its shingles (a window without any could share no MinHash).  A window that
     shares a band with the template is verified: containment is the share of the template's distinct shingles that lie in the
     window or one step around it; at least b.least, or there is no match.  word is the first word of the best window (the
-    earliest of equal ones).  Templates of fewer than five words, null and empty texts match nothing; repeated rows match each; other
-    columns are left out.
+    earliest of equal ones).  A template with fewer words than a shingle matches where the text holds all its words in a row
+    (containment 1).  Templates without words, null and empty texts match nothing; repeated rows match each; other columns
+    are left out.
     """
     spark = docs.sparkSession
-    table = template_table(spark, TEMPLATES if templates is None else templates, b)
+    given = template_table(spark, TEMPLATES if templates is None else templates, b)
+    table, brief = given.filter("n > 0").drop("w"), given.filter("n = 0 and size(w) > 0").select("license_id", "w").distinct()
+    notices = [r.w for r in brief.select("w").distinct().collect()]
     known = [r.mark for r in table.select(F.explode("marks").alias("mark")).distinct().collect()]  # bounded by the templates given
     marks = F.col("h").isNull() if not known else None
-    split = docs.select("doc_id", words("text").alias("w")).select("doc_id", shingle_hashes("w", b.shingle).alias("h"))
+    split = docs.select("doc_id", words("text").alias("w")).select("doc_id", shingle_hashes("w", b.shingle).alias("h"), short_places("w", notices).alias("short"))
     inside = (lambda i: marks) if marks is not None else (lambda i: F.get("h", i).isin(known))
     places = F.filter(F.sequence(F.lit(0), F.size("h") - 1), inside)
     at = F.when(F.size("h") > 0, places)
     # the row's number also keeps the filter from being computed twice
-    held = stored(split.select("doc_id", "h", at.alias("at"), F.monotonically_increasing_id().alias("row")).filter("size(at) > 0"), "licenses")
+    held = stored(split.select("doc_id", "h", at.alias("at"), "short", F.monotonically_increasing_id().alias("row")).filter("size(at) > 0 or size(short) > 0"), "licenses")
     shapes = table.select("n", "step", F.explode("marks").alias("mark")).distinct()
     spots = held.select("row", F.explode("at").alias("p"), "h").select("row", "p", F.expr("get(h, p)").alias("mark")).join(F.broadcast(shapes), "mark")
     spans = F.expr("sequence(cast(greatest(0, ceil((p - n + 1) / step)) as int), cast(floor(p / step) as int))")
@@ -106,6 +127,9 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None
     met = banded.join(F.broadcast(keys), ["n", "band", "hash"])
     share = F.size(F.array_intersect("marks", "around")) / F.col("n")
     verified = met.select("row", "doc_id", "license_id", share.alias("containment"), (F.col("k") * F.col("step")).cast("long").alias("word")).filter(F.col("containment") >= b.least)
+    exact = held.select("row", "doc_id", F.inline("short")).groupBy("row", "doc_id", "key").agg(F.min("word").cast("long").alias("word"))
+    exact = exact.join(F.broadcast(brief.select("license_id", F.concat_ws(" ", "w").alias("key"))), "key")
+    verified = verified.unionByName(exact.select("row", "doc_id", "license_id", F.lit(1.0).alias("containment"), "word"))
     best = F.max(F.struct("containment", (-F.col("word")).alias("early")))
     out = verified.groupBy("row", "doc_id", "license_id").agg(best.alias("best"))
     return out.select("doc_id", "license_id", F.col("best.containment").alias("containment"), (-F.col("best.early")).alias("word"))
