@@ -56,7 +56,7 @@ def gdelt(ctx: Context) -> Batch:
     return Batch(out, {"last_stamp": last or ctx.state.get("last_stamp", "")})
 
 
-@register("github", "repositories, events and snapshots, from landed API answers")
+@register("github", "repositories and events, from landed API answers")
 def github(ctx: Context) -> Batch:
     """option path: folders repositories and events of JSON pages."""
     read = lambda name: ctx.spark.read.text(f"{ctx.options['path']}/{name}", wholetext=True)
