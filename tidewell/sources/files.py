@@ -28,8 +28,8 @@ MENTIONS = [
     ("global_event_id", 0, "n"), ("event_time_date", 1, "n"), ("mention_time_date", 2, "n"), ("mention_time_at", 2, "s"), ("mention_type", 3, "n"), ("mention_source_name", 4, "t"), ("mention_identifier", 5, "t"),
     ("sentence_id", 6, "n"), ("in_raw_text", 10, "n"), ("confidence", 11, "n"), ("mention_doc_len", 12, "n"), ("mention_doc_tone", 13, "d"),
 ]
-#: Lines longer than these (bytes) are errors of the file.
-TSV_LINE, CDX_LINE = 16 << 20, 8 << 20
+#: Lines longer than this (bytes) are errors of the file.
+TSV_LINE = 16 << 20
 
 
 def zip_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -93,10 +93,10 @@ CDX_META = "url string, mime string, `mime-detected` string, status string, dige
 
 
 def cdx_rows(lines: DataFrame, crawl: str) -> DataFrame:
-    """Index rows of lines (column value: 'surt stamp {json}'); lines without JSON or without a URL are left out."""
+    """Index rows of lines (column value: 'surt stamp {json}'); lines of any length count, those without JSON or without a URL are left out."""
     parts = F.split("value", " ", 3)
-    rows = lines.filter(F.length("value") <= CDX_LINE).select(F.get(parts, F.lit(0)).alias("surt"), F.get(parts, F.lit(1)).alias("stamp"), F.get(parts, F.lit(2)).alias("blob"))
-    rows = rows.filter(F.col("blob").startswith("{")).withColumn("m", F.from_json("blob", CDX_META)).filter("m.url <> ''")
+    rows = lines.select(F.get(parts, F.lit(0)).alias("surt"), F.get(parts, F.lit(1)).alias("stamp"), F.get(parts, F.lit(2)).alias("blob"))
+    rows = rows.filter(F.col("blob").startswith("{")).withColumn("m", F.from_json("blob", CDX_META, {"maxStringLen": str((1 << 31) - 1)})).filter("m.url <> ''")
     n = lambda c: int64(F.col(f"m.{c}"), trim=False).alias(c)
     t = lambda c, a=None: empty_to_null(F.col(f"m.`{c}`")).alias(a or c)
     return rows.select(F.lit(crawl).alias("crawl"), "surt", F.col("m.url").alias("url"), "stamp", stamp_time("stamp").alias("fetched_at"), n("status"), t("mime"), t("mime-detected", "mime_detected"), t("charset"), t("languages"), t("digest"), n("length"), n("offset"), t("filename"))
