@@ -16,6 +16,8 @@ from tidewell.llm.common import chunks
 BUCKETS = 1 << 15
 #: Labels a model may have; what goes to the driver and to executors is this times BUCKETS numbers at most.
 MOST_LANGUAGES = 200
+#: Shares up to this are nothing but rounding: such languages are taken out together.
+ZERO = 1e-12
 LETTER = re.compile(r"[^\W\d_]")
 #: What isn't a letter of ASCII or a byte of a longer character counts as a blank.
 LETTERS = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -89,7 +91,7 @@ def shares(logs: np.ndarray, n: np.ndarray, start: np.ndarray) -> tuple[np.ndarr
 def mixture(model: Model, text: str, penalty: float = 1.0) -> dict[str, float]:
     """Shares of the languages of a text with letters, most first.
 
-    Languages with the least share are taken out one by one and the shares fitted anew; of these sets the one
+    The language with the least share is taken out and the shares fitted anew, until one is left; of these sets the one
     with the best log-likelihood less penalty * log(trigrams) * sqrt(trigrams) for each language after the first wins
     (overlapping trigrams aren't independent, so the usual half a log for each language would add too many).
     """
@@ -105,8 +107,8 @@ def mixture(model: Model, text: str, penalty: float = 1.0) -> dict[str, float]:
             best = (score, names, w)
         if len(names) == 1:
             break
-        keep = w > 0.02
-        if keep.all() or not keep.any():
+        keep = w > ZERO
+        if keep.all():
             keep = np.arange(len(w)) != int(np.argmin(w))
         names, w = names[keep], w[keep] / w[keep].sum()
     _, names, w = best
