@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -122,5 +122,12 @@ def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "le
     return left.join(right, on, how).drop(*(f"tw_{k}" for k in keys))
 
 
+def set_aside(df: DataFrame, *used: str) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """df with all columns but `used` named own0, own1, ..., so that no name of an operator meets one of them, and what names them back (with `more` columns)."""
+    names = df.columns
+    inner = [n if n in used else f"own{i}" for i, n in enumerate(names)]
+    return df.toDF(*inner), lambda out, *more: out.select(*inner, *more).toDF(*names, *more)
+
+
 def docs_of(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

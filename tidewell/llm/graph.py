@@ -5,34 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import discard, stored
+from tidewell.llm.common import BROADCAST_ROWS, discard, look_up, stored
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, whole: int = BROADCAST_ROWS) -> DataFrame:
     """(node, root) for each node of the edges (a, b): root is the least node of its component.
 
-    Large-star and small-star steps in turn (Kiveris et al., 2014) until only stars are left.  Each step takes
-    least neighbours with map-side combining and joins them back, so a node of any degree is never one group.
-    A round is written once, by its distinct edges.
+    Large-star and small-star steps in turn (Kiveris et al., 2014) until only stars are left.  A step takes each
+    node's least neighbour with map-side combining and gives it back to the node's edges by look_up(): nodes with over a
+    thousandth of all edges by broadcast, so the edges of a hot node stay where they are, the others by a shuffle.  One table
+    of the nodes serves the check for stars and the next step.  A round is written once, by its distinct edges.
     """
     edges = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "edges")
-    while not only_stars(edges):
+    while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
-        large = large.filter("a <> b")  # repeats go with the write
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        up = F.count(F.when(F.col("b") < F.col("a"), 1))
+        nodes = stored(both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"), up.alias("up")), "nodes")
+        # a star: each node with a lesser neighbour has no other one.  Steps keep what is connected, so stars are components
+        if nodes.filter("up > 0 and n > 1").isEmpty():
+            discard(nodes)
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        of = 2 * edges.count()
+        large = look_up(both.filter("b > a"), nodes.select("a", "m", "n"), "a", "n", of, whole)
+        large = large.select(F.col("b").alias("a"), F.least("a", "m").alias("b")).filter("a <> b")  # repeats go with the write
+        lowest = stored(large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")), "lowest")
         pairs = F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a"), F.col("m").alias("b")))
-        small = large.join(low, "a").select(F.inline(pairs))
+        small = look_up(large, lowest, "a", "n", of, whole).select(F.inline(pairs))
         nxt = stored(small.filter("a <> b").distinct(), "edges")
-        discard(edges)
+        for t in (edges, nodes, lowest):
+            discard(t)
         edges = nxt
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-
-
-def only_stars(edges: DataFrame) -> bool:
-    """Whether each node with a lesser neighbour has one only, and is nobody's.  Steps keep what is connected, so stars are components."""
-    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
-    ends = ends.unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
-    per = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
-    return per.filter("up > 1 or (up = 1 and down = 1)").isEmpty()

@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 
 from tidewell.llm.common import BROADCAST_ROWS, chunks, look_up, partitions, stored, utf8
 from tidewell.llm.graph import components
-from tidewell.llm.simhash import PAIRWISE, named, one_of_each
+from tidewell.llm.simhash import named, one_of_each
 
 #: Similar: intersection / union of at least LEAST / OF.
 LEAST, OF = 4, 5
+#: Buckets of up to so many texts give all their pairs to be verified.
+PAIRWISE = 32
 #: About so many texts tell which shingles are common; those that COMMON of them hold, at most MOST_COMMON shingles, come last.
 SAMPLE, COMMON, MOST_COMMON = 20_000, 3, 200_000
 

@@ -5,21 +5,20 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import chunks, look_up, null_safe, partitions, stored, utf8
+from tidewell.llm.common import chunks, look_up, null_safe, partitions, set_aside, stored, utf8
 from tidewell.llm.graph import components
 
 #: Two halves: of three differing bits one half holds one at most.
 HALF = 32
-#: Buckets of up to so many fingerprints are compared pair by pair in a join; larger ones are searched by group.
-PAIRWISE = 32
-#: Larger buckets than this are dealt out once more, by variants of quarter fingerprints of the other half.
+#: Buckets of more fingerprints than this are dealt out once more, by variants of quarter fingerprints of the other half.
 GROUP = 8192
+#: About so many fingerprints tell which buckets are hot: those that hold a thousandth of them.
+SAMPLE = 20_000
 
 
 def fingerprint(text: bytes | None) -> int:
@@ -77,46 +76,109 @@ def linked(fps: np.ndarray, bits: int) -> np.ndarray:
     return root
 
 
-def group_links(bits: int):
-    def links(pdf: pd.DataFrame) -> pd.DataFrame:
-        fps = np.unique(pdf["fp"].to_numpy().view(np.uint64))
-        root = linked(fps, bits)
-        new = root != fps
-        return pd.DataFrame({"a": fps[new].view(np.int64), "b": root[new].view(np.int64)})
+def runs(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int, np.ndarray, bool]]:
+    """First key, fingerprints and whether these are all, of each group of two rows or more; rows come sorted by all columns but the last, the fingerprint.
 
-    return links
-
-
-def links(fps: DataFrame, bits: int = 3) -> DataFrame:
+    A group of more than `most` rows comes in parts; groups of one row are passed over without a look.
+    """
+    key: tuple[int, ...] = ()
+    held: list[np.ndarray] = []
+    size, parted = 0, False
+
+    def close() -> Iterator[tuple[int, np.ndarray, bool]]:
+        nonlocal held, size, parted
+        if size > 1 or parted and size:
+            yield key[0], np.concatenate(held), not parted
+        held, size, parted = [], 0, False
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        *keys, fp = (c.to_numpy(zero_copy_only=False) for c in b.columns)
+        new = np.ones(len(fp), bool)
+        new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+        starts = np.append(np.flatnonzero(new), len(fp))
+        seen = np.diff(starts) > 1
+        seen[0] = seen[-1] = True  # may go on from the last batch or into the next
+        for i in np.flatnonzero(seen).tolist():
+            lo, hi = int(starts[i]), int(starts[i + 1])
+            at = tuple(int(k[lo]) for k in keys)
+            if at != key:
+                yield from close()
+                key = at
+            held.append(fp[lo:hi])
+            size += hi - lo
+            if size > most:
+                yield key[0], np.concatenate(held), False
+                held, size, parted = [], 0, True
+    yield from close()
+
+
+def forest(fps: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of a spanning forest of the links inside a group."""
+    fps = np.unique(fps.view(np.uint64))
+    root = linked(fps, bits)
+    new = root != fps
+    return fps[new].view(np.int64), root[new].view(np.int64)
+
+
+def links(fps: DataFrame, bits: int = 3, group: int = GROUP) -> DataFrame:
     """Edges (a, b) between distinct fingerprints of fps (column fp, distinct) that connect all that lie `bits` (3 at most) or fewer apart.
 
     Each fingerprint is indexed under 64 buckets, its two halves each with one bit deleted; two at most three bits apart
-    share one.  Buckets of up to PAIRWISE give their pairs, each from one bucket only.  Of larger ones a breadth-first
-    search gives a spanning forest, as long as they hold GROUP fingerprints or fewer.  Those beyond are dealt out by
-    one-bit deletions of quarters of the other half (again one of them differs by one bit at most), where
-    a group fixes 46 bits and so holds 2**18 fingerprints at most, whatever the input.
+    share one.  One shuffle brings buckets together; a breadth-first search gives a spanning forest of each, so copies
+    cost no pairs.  Buckets of over `group` fingerprints are dealt out by one-bit deletions of quarters of the other half
+    (again one of them differs by one bit at most), where a group leaves 18 bits open and so holds 2**18 fingerprints at
+    most, whatever the input; of that many a search step takes out hundreds, for no more than 2**18 / 19 can lie
+    unlinked.  Buckets that a sample of fps shows to be hot go there at once, so no task sees one whole.
     """
     if not 0 <= bits <= 3:
         raise ValueError("bits: 0 to 3")
+    n = partitions(fps.sparkSession)
     # dealt out first, by another key than the one fps may have been grouped by (else the planner keeps that shuffle and
     # merges it into few tasks): each row becomes 64
-    fps = fps.repartition(partitions(fps.sparkSession), F.xxhash64("fp"))
-    index = fps.select("fp", F.explode(F.expr(BUCKETS)).alias("bucket"))
-    sizes = index.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    members = stored(index.join(sizes, "bucket"), "buckets")
-    small = members.filter(F.col("n") <= PAIRWISE).select("bucket", "fp")
-    x = F.col("a").bitwiseXOR(F.col("b"))
-    pairs = small.withColumnRenamed("fp", "a").join(small.withColumnRenamed("fp", "b"), "bucket").filter((F.col("a") < F.col("b")) & (F.bit_count(x) <= bits))
-    # a pair counts in the first bucket that holds it: the upper half's if that differs by one bit at most
-    high, low, p = F.shiftrightunsigned(x, 32), x.bitwiseAND(F.lit(4294967295)), F.shiftrightunsigned("bucket", 32)
-    first = F.when(F.bit_count(high) <= 1, F.when(high == 0, p == 0).otherwise(F.expr("shiftrightunsigned(a ^ b, 32) = shiftleft(1L, cast(shiftrightunsigned(bucket, 32) as int))")))
-    first = first.otherwise(F.when(low == 0, p == 32).otherwise(F.expr("(a ^ b) & 4294967295L = shiftleft(1L, cast(shiftrightunsigned(bucket, 32) as int) - 32)") & (p >= 32)))
-    pairs = pairs.filter(first).select("a", "b")
-    large = members.filter(F.col("n") > PAIRWISE)
-    found = large.filter(F.col("n") <= GROUP).groupBy("bucket").applyInPandas(group_links(bits), "a long, b long")
-    again = large.filter(F.col("n") > GROUP).select("bucket", "fp", F.explode(F.expr(QUARTERS)).alias("quarter"))
-    deep = again.groupBy("bucket", "quarter").applyInPandas(group_links(bits), "a long, b long")
-    return pairs.unionByName(found).unionByName(deep)
+    index = fps.repartition(n, F.xxhash64("fp")).select(F.explode(F.expr(BUCKETS)).alias("bucket"), "fp")
+    total = fps.count()
+    hot = hot_buckets(fps, total, group) if total > group else None
+
+    def search(most: int):
+        def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: list[list[np.ndarray]] = []
+            for bucket, part, whole in runs(batches, most):
+                a, b = forest(part, bits) if whole else (part, part)
+                held.append([np.full(len(a), bucket), a, b, np.full(len(a), not whole)])
+                if len(part) > 10_000 or len(held) > 1000:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names=["bucket", "a", "b", "large"])
+                    held = []
+            if held:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names=["bucket", "a", "b", "large"])
+
+        return found
+
+    schema = "bucket long, a long, b long, large boolean"
+    cold = index if hot is None else index.join(F.broadcast(hot), "bucket", "left_anti")
+    cold = cold.repartition(n, "bucket").sortWithinPartitions("bucket")
+    found = stored(cold.mapInArrow(search(group), schema), "buckets")
+    near, large = found.filter("not large").select("a", "b"), found.filter("large").select("bucket", F.col("a").alias("fp"))
+    if hot is not None:
+        large = large.unionByName(index.join(F.broadcast(hot), "bucket"))
+    elif large.isEmpty():
+        return near
+    again = large.select("bucket", F.explode(F.expr(QUARTERS)).alias("quarter"), "fp")
+    again = again.repartition(n, "bucket", "quarter").sortWithinPartitions("bucket", "quarter")
+    return near.unionByName(again.mapInArrow(search(1 << 18), schema).select("a", "b"))
+
+
+def hot_buckets(fps: DataFrame, total: int, group: int) -> DataFrame | None:
+    """Buckets (64 thousands at most) that hold over a thousandth of a sample, and likely over `group` of all fingerprints; None if none do.
+
+    Fingerprints are dealt to the sample by hash; it decides by which way a bucket is searched, not what is found.
+    """
+    every = max(total // SAMPLE, 1)
+    some = fps.filter(F.pmod(F.xxhash64("fp", F.lit(1)), F.lit(every)) == 0).select(F.explode(F.expr(BUCKETS)).alias("bucket"))
+    many = max(SAMPLE // 1000, group // every)
+    hot = stored(some.groupBy("bucket").count().filter(F.col("count") > many).select("bucket"), "hot")
+    return None if hot.isEmpty() else hot
 
 
 def near_duplicates(docs: DataFrame, bits: int = 3) -> DataFrame:
@@ -128,7 +190,7 @@ def near_duplicates(docs: DataFrame, bits: int = 3) -> DataFrame:
     repeated rows get the same answer; other columns are left out; an empty table gives an empty result.
     """
     rows = stored(fingerprints(docs), "fingerprints")
-    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_rows"))
+    nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_rows")), "prints")
     out = named(rows, nodes, links(nodes.select("fp"), bits))
     return out.select("doc_id", "text_hash", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
@@ -146,7 +208,8 @@ def named(rows: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, bits: int = 3) -> DataFrame:
     """docs, columns as they are, with one row of each component: the one of the least doc_id (nulls last, then by hash of the text).
 
-    Rows alike in doc_id and text are one.  Only ids and hashes are shuffled to decide; texts are joined to the decision once.
+    Rows alike in doc_id and text are one.  Null and empty texts are a component like any other; an empty table stays
+    empty; columns may have any names.  Only ids and hashes are shuffled to decide; texts are joined to the decision once.
     """
     return one_of_each(docs, near_duplicates(docs, bits))
 
@@ -156,12 +219,11 @@ def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     group = F.when(F.col("component_id").isNull(), F.col("fp"))  # components of null ids alone go by their fingerprint
     alike = found.groupBy("doc_id", "text_hash", "component_id", group.alias("g")).agg(F.count("*").alias("n"))
     best = F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_hash", "n"))
-    kept = alike.groupBy("component_id", "g").agg(best.alias("best")).select("best.doc_id", "best.text_hash", F.col("best.n").alias("tw_n"))
+    kept = alike.groupBy("component_id", "g").agg(best.alias("best")).select("best.doc_id", "best.text_hash", F.col("best.n").alias("n_alike"))
     kept = stored(kept, "kept")
-    own = "text_hash" in docs.columns
-    rows = (docs.withColumnRenamed("text_hash", "tw_own") if own else docs).withColumn("text_hash", F.xxhash64("text"))
+    mine, restore = set_aside(docs, "doc_id", "text")
+    rows = mine.withColumn("text_hash", F.xxhash64("text"))
     out = null_safe(rows, kept, ["doc_id", "text_hash"], "inner")
-    if kept.filter("tw_n > 1").limit(1).count():  # else no text needs to be shuffled once more
-        out = out.filter("tw_n = 1").unionByName(out.filter("tw_n > 1").dropDuplicates(["doc_id", "text_hash"]))
-    out = out.drop("tw_n", "text_hash")
-    return out.withColumnRenamed("tw_own", "text_hash").select(*docs.columns) if own else out
+    if not kept.filter("n_alike > 1").isEmpty():  # else no text needs to be shuffled once more
+        out = out.filter("n_alike = 1").unionByName(out.filter("n_alike > 1").dropDuplicates(["doc_id", "text_hash"]))
+    return restore(out.drop("n_alike", "text_hash"))
