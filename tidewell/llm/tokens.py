@@ -85,28 +85,35 @@ def cache(path: str, room: int) -> Lengths:
     return Lengths(path, room)
 
 
-def frequent_lengths(docs: DataFrame, path: str, size: int = 32_768, task_size: int = 8_192) -> dict[str, int]:
-    """Lengths of `size` frequent pre-tokens of all texts.
+def frequent_lengths(docs: DataFrame, path: str, size: int = 32_768, sample_rows: int = 4_000, row_size: int = 500) -> dict[str, int]:
+    """Lengths of `size` frequent pre-tokens, by their counts in about sample_rows rows of docs.
 
-    Each task counts its own and sends its `task_size` most frequent; these are summed.  The table only saves time:
-    counts don't depend on what is in it, so it needn't be the exact top.  Its size is fixed.
+    Each task counts the pre-tokens of its sampled rows and sends one row of the most frequent, row_size for each sampled
+    row at most; so sample_rows * row_size bounds what the driver gets, whatever the input, and no pre-token is the
+    key of a shuffle.  The table only saves time: counts of tokens don't depend on what is in it.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[str] = Counter()
+        n = 0
         for b in chunks(batches):
+            n += b.num_rows
             b = b.filter(pc.greater(pc.binary_length(b.column(0)), 0))
             if b.num_rows:
                 keys, which, _ = distinct_pre_tokens(b.column(0))
                 seen.update(dict(zip(keys, np.bincount(which, minlength=len(keys)).tolist())))
             if len(seen) > 400_000:
                 seen = Counter(dict(seen.most_common(200_000)))
-        top = seen.most_common(task_size)
-        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], names=["pre", "n"])
-
-    tops = docs.select("text").mapInArrow(count, "pre string, n long")
-    rows = tops.groupBy("pre").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "pre").limit(size).collect()
-    keys = [r.pre for r in rows]
+        if seen:
+            top = seen.most_common(n * row_size)
+            yield pa.RecordBatch.from_arrays([pa.array([[k for k, _ in top]], pa.list_(pa.string())), pa.array([[c for _, c in top]], pa.list_(pa.int64()))], names=["pre", "n"])
+
+    share = min(1.0, sample_rows / max(docs.count(), 1))
+    tops = docs.select("text").sample(share, seed=1).mapInArrow(count, "pre array<string>, n array<long>")
+    total: Counter[str] = Counter()
+    for r in tops.toLocalIterator():
+        total.update(dict(zip(r.pre, r.n)))
+    keys = sorted(total, key=lambda k: (-total[k], k))[:size]
     return dict(zip(keys, lengths_by(model(path), keys))) if keys else {}
 
 
