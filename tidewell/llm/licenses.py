@@ -11,31 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import stored
-
-# Statements by which texts declare their license, each with the identifier that it stands for.
-TEMPLATES: list[tuple[str, str]] = [
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
-    ("Apache-2.0", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Licensed under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction"),
-    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
-    ("LGPL", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
-    ("Unlicense", "This is free and unencumbered software released into the public domain."),
-    ("All-rights-reserved", "All rights reserved."),
-    ("MIT", "SPDX-License-Identifier: MIT"),
-    ("Unlicense", "SPDX-License-Identifier: Unlicense"),
-]
-
+from tidewell.llm.common import partitions, stored
+from tidewell.llm.license_texts import TEMPLATES
 
 @dataclass(frozen=True)
 class Bands:
@@ -97,9 +74,10 @@ def short_places(of: str, notices: list[list[str]]) -> Column:
 def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, b: Bands = Bands()) -> DataFrame:
     """doc_id, license_id, containment and word: one row for each row of docs and license whose template it holds.
 
-    Texts are lower-cased words of ASCII letters and digits.  Windows as long as a template, an eighth of it apart, are taken
-    from whole texts wherever they hold one of its shingles (a window without any could share no MinHash).  A window that
-    shares a band with the template is verified: containment is the share of the template's distinct shingles that lie in the
+    Texts are lower-cased words of ASCII letters and digits.  Windows as long as a template, an eighth of it apart, overlap
+    over whole texts; those without any shingle of a template can share no MinHash and are passed over unhashed (templates'
+    shingles stand in the plan as one set, so a list of some hundred thousand words is the most to give).  A window that
+    shares a band with the template is verified, others aren't: containment is the share of the template's distinct shingles that lie in the
     window or one step around it; at least b.least, or there is no match.  word is the first word of the best window (the
     earliest of equal ones).  A template with fewer words than a shingle matches where the text holds all its words in a row
     (containment 1).  Templates without words, null and empty texts match nothing; repeated rows match each; other columns
@@ -110,16 +88,16 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None
     table, brief = given.filter("n > 0").drop("w"), given.filter("n = 0 and size(w) > 0").select("license_id", "w").distinct()
     notices = [r.w for r in brief.select("w").distinct().collect()]
     known = [r.mark for r in table.select(F.explode("marks").alias("mark")).distinct().collect()]  # bounded by the templates given
-    marks = F.col("h").isNull() if not known else None
+    is_known = f"get(h, i) in ({', '.join(f'{m}L' if m > -(2**63) else f'({m + 1}L - 1L)' for m in known)})" if known else "false"
     split = docs.select("doc_id", words("text").alias("w")).select("doc_id", shingle_hashes("w", b.shingle).alias("h"), short_places("w", notices).alias("short"))
-    inside = (lambda i: marks) if marks is not None else (lambda i: F.get("h", i).isin(known))
-    places = F.filter(F.sequence(F.lit(0), F.size("h") - 1), inside)
-    at = F.when(F.size("h") > 0, places)
+    at = F.expr(f"if(size(h) > 0, filter(sequence(0, size(h) - 1), i -> {is_known}), cast(array() as array<int>))")
     # the row's number also keeps the filter from being computed twice
     held = stored(split.select("doc_id", "h", at.alias("at"), "short", F.monotonically_increasing_id().alias("row")).filter("size(at) > 0 or size(short) > 0"), "licenses")
     shapes = table.select("n", "step", F.explode("marks").alias("mark")).distinct()
     spots = held.select("row", F.explode("at").alias("p"), "h").select("row", "p", F.expr("get(h, p)").alias("mark")).join(F.broadcast(shapes), "mark")
     spans = F.expr("sequence(cast(greatest(0, ceil((p - n + 1) / step)) as int), cast(floor(p / step) as int))")
+    # dealt out by a fixed number: by their bytes these windows would be joined into a few tasks, and they cost time, not room
+    spots = spots.repartition(partitions(spark), "row")
     windows = spots.select("row", "n", "step", F.explode(spans).alias("k")).distinct().join(held.select("row", "doc_id", "h"), "row")
     windows = windows.withColumn("window", F.expr("slice(h, k * step + 1, n)")).withColumn("around", F.expr("slice(h, greatest(0, (k - 1) * step) + 1, n + (if(k > 0, 2, 1)) * step)"))
     banded = windows.select("row", "doc_id", "n", "step", "k", "around", F.posexplode(band_hashes("window", b)).alias("band", "hash"))
