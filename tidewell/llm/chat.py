@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import in_order, look_up, null_safe, stored
+from tidewell.llm.common import in_order, look_up, stored
 
 #: Quote marks at the start of a line, blanks between them allowed; one blank after them belongs to them.
 MARKS = r"^(?:[ \t]*>)+ ?"
@@ -61,11 +61,16 @@ def passages(lines: DataFrame) -> DataFrame:
 
 
 def depths(parents: DataFrame) -> DataFrame:
-    """tw_rank and depth for rows tw_rank, parent (null at a root): pointers double until all reach their roots."""
+    """tw_rank and depth for rows tw_rank, parent (null at a root): pointers double until all reach their roots.
+
+    A message that many others point to is looked up by broadcast, so they needn't meet in one task.
+    """
     now = stored(parents.select("tw_rank", F.col("parent").alias("up"), F.col("parent").isNotNull().cast("long").alias("depth")), "depths")
-    while now.filter("up is not null").limit(1).count():
-        to = now.select(F.col("tw_rank").alias("up"), F.col("up").alias("further"), F.col("depth").alias("more"))
-        now = stored(now.join(to, "up", "left").select("tw_rank", F.col("further").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")), "depths")
+    while not now.filter("up is not null").isEmpty():
+        asked = now.filter("up is not null").groupBy("up").agg(F.count("*").alias("n"))
+        to = now.select(F.col("tw_rank").alias("up"), F.col("up").alias("further"), F.col("depth").alias("more")).join(asked, "up")
+        further = look_up(now, stored(to, "pointers"), "up", "n", max(now.count(), 1))
+        now = stored(further.select("tw_rank", F.col("further").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")), "depths")
     return now.drop("up")
 
 
@@ -80,22 +85,24 @@ def link_quotes(conversations: DataFrame, template: Template = Template()) -> Da
     Quoted lines and passages are normalised (white space, case), hashed and joined to the earliest message that has them
     as its own.  A message replies to the one that most characters of its outermost quotes come from (the latest of equal
     ones), or else to the message before it.  Null texts are empty; null conv_ids are one conversation; turns that tie or are
-    null (first) go on by role and text; repeated rows are messages of their own; other columns are left out.
+    null (first) go on by role and text; repeated rows are messages of their own; other columns are left
+    out; an empty table gives an empty result.  No group of a hot conversation, passage or message meets in one task.
     """
     kept = conversations.select("conv_id", "turn", "role", "text")
     kept = kept.withColumns({"tw_1": F.xxhash64("role", "text"), "tw_2": F.xxhash64("text", "role")})
     rows = in_order(kept, [F.col(c) for c in ("conv_id", "turn", "tw_1", "tw_2")], label="messages").drop("tw_1", "tw_2")
-    firsts = rows.groupBy("conv_id").agg(F.min("tw_rank").alias("first"), F.count("*").alias("n"))
-    n = max(rows.count(), 1)
-    rows = look_up(rows, stored(firsts, "firsts"), "conv_id", "n", n)
     lines = parsed_lines(F.col("text"))
-    rows = stored(rows.select("conv_id", "turn", "role", "tw_rank", "first", lines.alias("lines")), "lines")
-    exploded = rows.select("tw_rank", "conv_id", F.posexplode("lines").alias("at", "x")).select("tw_rank", "conv_id", "at", "x.level", "x.body")
-    quoting = rows.filter(F.exists("lines", lambda x: x["level"] > 0)).select("conv_id").distinct()
-    found = passages(null_safe(exploded, quoting, ["conv_id"], "left_semi"))
+    rows = stored(rows.select("conv_id", "turn", "role", "tw_rank", lines.alias("lines")), "lines")
+    quotes_some = F.max(F.exists("lines", lambda x: x["level"] > 0)).alias("quoting")
+    firsts = rows.groupBy("conv_id").agg(F.min("tw_rank").alias("first"), F.count("*").alias("n"), quotes_some)
+    rows = look_up(rows, stored(firsts, "firsts"), "conv_id", "n", max(rows.count(), 1))
+    exploded = rows.filter("quoting").select("tw_rank", "conv_id", F.posexplode("lines").alias("at", "x")).select("tw_rank", "conv_id", "at", "x.level", "x.body")
+    found = passages(exploded).select("tw_rank", "level", "chars", F.struct("conv_id", "h1", "h2").alias("what"))
     found = stored(found, "passages")
-    origins = found.filter("level = 0").groupBy("conv_id", "h1", "h2").agg(F.min("tw_rank").alias("origin"))
-    quotes = null_safe(found.filter("level > 0"), origins, ["conv_id", "h1", "h2"]).withColumn("origin", F.when(F.col("origin") < F.col("tw_rank"), F.col("origin")))
+    quoted = F.count(F.when(F.col("level") > 0, 1))
+    origins = found.groupBy("what").agg(F.min(F.when(F.col("level") == 0, F.col("tw_rank"))).alias("origin"), quoted.alias("n")).filter("origin is not null and n > 0")
+    quotes = found.filter("level > 0")
+    quotes = look_up(quotes, stored(origins, "origins"), "what", "n", max(quotes.count(), 1)).withColumn("origin", F.when(F.col("origin") < F.col("tw_rank"), F.col("origin")))
     counts = quotes.groupBy("tw_rank").agg(F.count("*").alias("n_quotes"), F.count("origin").alias("n_linked"))
     votes = quotes.filter("level = 1 and origin is not null").groupBy("tw_rank", "origin").agg(F.sum("chars").alias("chars"))
     linked = votes.groupBy("tw_rank").agg(F.max(F.struct("chars", "origin"))["origin"].alias("quoted"))
@@ -103,9 +110,9 @@ def link_quotes(conversations: DataFrame, template: Template = Template()) -> Da
     position = F.col("tw_rank") - F.col("first")
     parent = F.coalesce("quoted", F.when(position > 0, F.col("tw_rank") - 1))
     own = F.array_join(own_lines(F.col("lines")), "\n")
-    out = out.select("conv_id", "turn", "role", "tw_rank", "first", position.alias("position"), parent.alias("parent"), F.coalesce("n_quotes", F.lit(0)).alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).alias("n_linked"), F.trim(F.regexp_replace(own, r"\n{3,}", "\n\n")).alias("text"))
+    out = out.select("conv_id", "turn", "role", "tw_rank", "first", "quoting", position.alias("position"), parent.alias("parent"), F.coalesce("n_quotes", F.lit(0)).alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).alias("n_linked"), F.trim(F.regexp_replace(own, r"\n{3,}", "\n\n")).alias("text"))
     out = stored(out, "replies")
-    deep = depths(null_safe(out, quoting, ["conv_id"], "left_semi").select("tw_rank", "parent"))
+    deep = depths(out.filter("quoting").select("tw_rank", "parent"))
     out = out.join(deep, "tw_rank", "left").withColumn("depth", F.coalesce("depth", "position"))
     out = out.withColumnRenamed("tw_rank", "rank")
     ordered = in_order(out, [F.col("first"), F.col("depth"), F.col("position")], label="replies")
