@@ -153,17 +153,71 @@ def test_language(spark, table):
     assert sum(good) >= 0.85 * len(good)
 
 
+def near_copies(texts):
+    """Least id of each text's component under links of five-word shingle sets with a Jaccard similarity of 0.8 or more."""
+    sets = {}
+    for i, t in texts.items():
+        w = WORD.findall((t or "").translate(ASCII_LOWER))
+        sets[i] = {" ".join(w[k : k + 5]) for k in range(max(len(w) - 4, 1))} if w else set()
+    root = {i: i for i in texts}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(texts)
+    for n, a in enumerate(ids):
+        for b in ids[n + 1 :]:
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                x, y = sorted((top(a), top(b)))
+                root[y] = x
+    return {i: top(i) for i in ids}
+
+
+def cut(text, windows):
+    """Words (of decontamination) of a text, and which of them lie in a window."""
+    words = re.findall(r"[0-9a-z\x80-\U0010ffff]+", (text or "").translate(ASCII_LOWER))
+    hit = [False] * len(words)
+    for n in {len(w) for w in windows}:
+        for i in range(len(words) - n + 1):
+            if tuple(words[i : i + n]) in windows:
+                hit[i : i + n] = [True] * n
+    return words, hit
+
+
 @needs_tables
 def test_pipeline(spark, table):
-    """Stages by brute force where they are exact; the mix and the shards by their laws."""
+    """Near copies and benchmark passages by brute force; language, the mix and the shards by their laws."""
     docs = corpus_pipeline.docs_of(spark, SF_DIR)
+    items = duckdb.sql(f"SELECT text FROM read_parquet('{SF_DIR}/benchmark.parquet')").fetchall()
     kept = {r.doc_id: r for r in corpus_pipeline.language(spark, docs, SF_DIR).collect()}
     assert len(kept) >= 0.7 * len(table)
     one = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(list(kept.values()), docs.schema), SF_DIR)
-    want = set(components({i: fingerprint(r.text) for i, r in kept.items()}).values())
+    want = set(near_copies({i: r.text for i, r in kept.items()}).values())
     assert sorted(r.doc_id for r in one.collect()) == sorted(want) and one.columns == docs.columns
+    windows = set()
+    for (text,) in items:
+        w, _ = cut(text, set())
+        n = min(10, len(w))
+        windows |= {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if n else set()
+    left = {}
+    for r in one.collect():
+        words, hit = cut(r.text, windows)
+        if sum(hit) <= 0.5 * len(words):
+            left[r.doc_id] = [w for w, h in zip(words, hit) if not h]
+    clean = corpus_pipeline.benchmarks(spark, one, SF_DIR)
+    assert {r.doc_id: cut(r.text, set())[0] for r in clean.collect()} == left and clean.columns == docs.columns
     out = corpus_pipeline.run(spark, SF_DIR).collect()
-    assert {r.doc_id for r in out} <= want
+    texts = {r.doc_id: r.text for r in clean.collect()}
+    size = {i: len(WORD.findall(t or "")) for i, t in texts.items()}
+    taken = Counter()
+    for r in out:
+        words = WORD.findall(r.text)
+        taken[r.doc_id] += len(words)
+        assert words == WORD.findall(texts[r.doc_id]) or set(words) <= set(WORD.findall(texts[r.doc_id]))
+    assert all(n <= 2 * size[i] for i, n in taken.items())
+    assert sum(taken.values()) == pytest.approx(1.5 * sum(size.values()), rel=0.02)
     counts = Counter(r.shard for r in out)
     assert max(counts.values()) - min(counts.get(k, 0) for k in range(40)) <= 1
 

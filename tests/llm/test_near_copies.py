@@ -1,10 +1,11 @@
 import random
 
+import pyarrow as pa
+
 from tidewell.llm import near_copies
 
 import corpus_pipeline
 
-
 def shingles(text):
     w = (text or "").lower().split()
     return {tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} if w else set()
@@ -53,3 +54,31 @@ def test_all_near_copies_and_only_them(spark, docs_schema):
     kept = corpus_pipeline.near_duplicates(spark, docs, "")
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values())) and kept.columns == docs.columns
     assert corpus_pipeline.near_duplicates(spark, docs.limit(0), "").count() == 0
+
+
+def test_every_way_gives_the_same(spark, docs_schema, monkeypatch):
+    """Hot shingles in parts, further rounds for texts without a link, and large buckets held against each other in parts."""
+    rows = planted()
+    want = components(rows)
+    docs = spark.createDataFrame(rows, docs_schema)
+    for changed in ({"HOT": 10_000, "SINGLES": 2, "GROUP": 16}, {"SINGLES": 0}):
+        for name, value in changed.items():
+            monkeypatch.setattr(near_copies, name, value)
+        assert {r.doc_id: r.component_id for r in near_copies.near_copies(docs).collect()} == want
+
+
+def test_buckets_pass_in_parts(monkeypatch):
+    rng = random.Random(1)
+    sizes = [1, 2, 3, 1, 1, 40, 2, 5, 30, 1, 2]
+    rows = [(shingle, -1, fp, 9) for shingle, size in enumerate(sizes) for fp in sorted(rng.sample(range(1000), size))]
+    want = []
+    for shingle in range(len(sizes)):
+        own = [fp for s, _, fp, _ in rows if s == shingle]
+        if len(own) > 1:
+            want += [(shingle, fp, 9, own[0], 9, len(own) > 2) for fp in own if len(own) > 2 or fp != own[0]]
+    for group in (100, 7):
+        monkeypatch.setattr(near_copies, "GROUP", group)
+        for step in (1, 4, 33, 1000):
+            batches = [pa.RecordBatch.from_pylist([dict(zip(("shingle", "salt", "fp", "n"), r)) for r in rows[i : i + step]]) for i in range(0, len(rows), step)]
+            got = [tuple(r.values()) for b in near_copies.stars(iter(batches)) for r in b.to_pylist()]
+            assert got == want

@@ -1,7 +1,11 @@
 """Near copies: texts whose sets of word shingles have a Jaccard similarity of at least 4/5, all of them and no others.
 
-Prefix filter (Bayardo et al., 2007): in any one order of all shingles, two such sets share one of the first n // 5 + 1 of
+SimHash can't find these: two such texts differ in 9.7 of 64 bits on average, and segments of which one surely differs by one
+bit at most would then be of 6 bits and tell nothing apart, at any length of the fingerprint.  So candidates come from
+a prefix filter (Bayardo et al., 2007): in any one order of all shingles, two such sets share one of the first n // 5 + 1 of
 their n.  Shingles that are common in a sample come last in the order, which keeps buckets small and decides nothing else.
+A bucket's texts are held against one of them first; after that only texts that no link connects are held against each other,
+by counts of their shingles in 64 cells, which bound what two sets can share from above.  What passes is decided by the sets.
 """
 
 from __future__ import annotations
@@ -20,10 +24,14 @@ from tidewell.llm.simhash import named, one_of_each
 
 #: Similar: intersection / union of at least LEAST / OF.
 LEAST, OF = 4, 5
-#: Buckets of up to so many texts give all their pairs to be verified.
-PAIRWISE = 32
 #: About so many texts tell which shingles are common; those that COMMON of them hold, at most MOST_COMMON shingles, come last.
 SAMPLE, COMMON, MOST_COMMON = 20_000, 3, 200_000
+#: Shingles of over a HOTth of the sample are hot; their buckets are dealt out in SALTS parts.
+HOT, SALTS = 100, 64
+#: Rows of a bucket that a task holds at once; and texts without a link in a bucket that needn't get one in another round.
+GROUP, SINGLES = 8192, 64
+#: Cells of the counts that bound what two sets share.
+CELLS = 64
 
 
 def shingle_set(text: bytes | None, k: int = 5) -> np.ndarray:
@@ -39,8 +47,8 @@ def shingle_set(text: bytes | None, k: int = 5) -> np.ndarray:
     return np.unique(np.array([digest(joined[a:b], 42) for a, b in zip(starts[: 1 - k].tolist(), ends[k - 1 :].tolist())], np.uint64).view(np.int64))
 
 
-def common_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that are common in a sample of the distinct texts, sorted, and their places by rising count."""
+def common_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """Shingles that are common in a sample of the distinct texts, sorted, their places by rising count, and the hot ones."""
     every = max(docs.count() // SAMPLE, 1)
     texts = docs.select("text").filter(F.pmod(F.xxhash64("text"), F.lit(every)) == 0).distinct()
 
@@ -51,30 +59,36 @@ def common_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
 
     sums = texts.mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).filter(F.col("n") >= COMMON)
     found = sums.orderBy(F.desc("n"), "shingle").limit(MOST_COMMON).toArrow()
-    h = found.column("shingle").to_numpy()
+    h, n = found.column("shingle").to_numpy(), found.column("n").to_numpy()
     order = np.argsort(h)
-    return h[order], -order
+    return h[order], -order, h[n > SAMPLE // HOT].tolist()
 
 
-def prefixes(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, text_hash, fp (a hash of the set), n (its size) and first (its shingles that the prefix filter needs)."""
+def prefixes(docs: DataFrame, k: int, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """doc_id, text_hash, fp (a hash of the set), n (its size), cells (counts) and first (its shingles that the prefix filter needs)."""
     kept = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    sent = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, k))
-    schema = f"doc_id {kept.schema['doc_id'].dataType.simpleString()}, text_hash long, fp long, n long, first array<long>"
+    sent = docs.sparkSession.sparkContext.broadcast(common)
+    schema = f"doc_id {kept.schema['doc_id'].dataType.simpleString()}, text_hash long, fp long, n long, cells binary, first array<long>"
 
     def first(h: np.ndarray) -> np.ndarray:
-        common, place = sent.value
-        at = np.minimum(np.searchsorted(common, h), max(len(common) - 1, 0))
-        late = common[at] == h if len(common) else np.zeros(len(h), bool)
+        known, place = sent.value
+        at = np.minimum(np.searchsorted(known, h), max(len(known) - 1, 0))
+        late = known[at] == h if len(known) else np.zeros(len(h), bool)
         last = h[late][np.argsort(place[at[late]])]
         return np.concatenate((h[~late], last))[: len(h) + 1 - -(-LEAST * len(h) // OF)]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches):
-            sets = [shingle_set(t, k) for t in utf8(b.column(2))]
-            fp = np.array([xxhash.xxh64_intdigest(h.tobytes(), 42) for h in sets], np.uint64).view(np.int64)
-            n = np.array([len(h) for h in sets], np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp), pa.array(n), pa.array([first(h) for h in sets], pa.list_(pa.int64()))], names=["doc_id", "text_hash", "fp", "n", "first"])
+            fp, n, cells, prefix = [], [], [], []
+            for t in utf8(b.column(2)):
+                h = shingle_set(t, k)
+                fp.append(xxhash.xxh64_intdigest(h.tobytes(), 42))
+                n.append(len(h))
+                cells.append(np.bincount(h & (CELLS - 1), minlength=CELLS).astype(np.int32).tobytes())
+                prefix.append(first(h))
+            ends = np.concatenate(([0], np.cumsum([len(x) for x in prefix])))
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *prefix])))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.array(fp, np.uint64).view(np.int64)), pa.array(n, pa.int64()), pa.array(cells, pa.binary()), lists], names=["doc_id", "text_hash", "fp", "n", "cells", "first"])
 
     return kept.mapInArrow(rows, schema)
 
@@ -103,36 +117,171 @@ def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return out.filter((LEAST + OF) * both >= LEAST * (F.size("set_a") + F.size("set_b"))).select("a", "b")
 
 
-def links(docs: DataFrame, rows: DataFrame, k: int) -> DataFrame:
+def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows (shingle, salt, fp, n), sorted, each bucket's members with the first of them: shingle, fp, n, pivot, n_pivot, and whether the bucket has three or more.
+
+    Buckets of one are left out, as is the pivot's own row in those of two.  Parts of hot buckets have salts from 0, other
+    buckets -1.  A bucket passes in parts, so it may be of any size.
+    """
+    names = ["shingle", "salt", "fp", "n"]
+    held = [np.zeros(0, np.int64)] * 4
+    parted = False  # held is the pivot of a bucket of which more may come
+
+    def members(cols: list[np.ndarray], first_parted: bool) -> pa.RecordBatch:
+        shingle, salt, fp, n = cols
+        new = np.ones(len(fp), bool)
+        new[1:] = (shingle[1:] != shingle[:-1]) | (salt[1:] != salt[:-1])
+        starts = np.flatnonzero(new)
+        size = np.diff(np.append(starts, len(fp)))
+        large = (size > 2) | (salt[starts] >= 0)  # parts of a hot bucket belong to a large one
+        if first_parted and len(size):
+            large[0] = True
+        at = np.repeat(starts, size)
+        keep = np.repeat((size > 1) | large, size) & (~new | np.repeat(large, size))
+        if first_parted:
+            keep[:1] = False
+        out = [shingle, fp, n, fp[at], n[at], np.repeat(large, size)]
+        return pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in out], names=["shingle", "fp", "n", "pivot", "n_pivot", "large"])
+
+    for b in batches:
+        cols = [np.concatenate((h, b.column(i).to_numpy(zero_copy_only=False))) for i, h in enumerate(held)]
+        if not len(cols[0]):
+            continue
+        last = int(np.flatnonzero(np.append(True, (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1])))[-1])
+        if last:
+            yield members([c[:last] for c in cols], parted)
+            parted = False
+        held = [c[last:] for c in cols]
+        if len(held[0]) > GROUP:
+            yield members(held, parted)
+            held, parted = [c[:1] for c in held], True
+    if len(held[0]):
+        yield members(held, parted)
+
+
+def most_shared(cells: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """What sets can share at most, by their counts in cells."""
+    return np.minimum(cells, others).sum(-1)
+
+
+def cells_of(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.int32).reshape(-1, CELLS)
+
+
+def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """Those of the pairs (a, b) of fps whose sets are similar, each once: first by what their counts allow, then by the sets."""
+    pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    total, out = pairs.count(), pairs
+    for end in ("a", "b"):
+        of = pairs.groupBy(end).agg(F.count("*").alias(f"of_{end}"))
+        table = nodes.select(F.col("fp").alias(end), F.col("n").alias(f"n_{end}"), F.col("cells").alias(f"cells_{end}")).join(of, end)
+        out = look_up(out, table, end, f"of_{end}", total, whole=0)
+    out = out.select("a", "b", "n_a", "n_b", "cells_a", "cells_b")
+
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in chunks(batches, 8192):
+            n = b.column(2).to_numpy() + b.column(3).to_numpy()
+            good = (LEAST + OF) * most_shared(cells_of(b.column(4)), cells_of(b.column(5))) >= LEAST * n
+            yield b.select(["a", "b"]).filter(pa.array(good))
+
+    left = stored(out.mapInArrow(possible, "a long, b long"), "possible")
+    ends = left.select(F.col("a").alias("fp")).unionByName(left.select(F.col("b").alias("fp"))).distinct()
+    sets = stored(sets_of(docs, nodes.select("fp", "text_hash").join(ends, "fp"), k), "sets")
+    return stored(similar(left, sets), "links")
+
+
+def links(docs: DataFrame, rows: DataFrame, k: int, hot: list[int]) -> DataFrame:
     """Edges (a, b) between the nodes fp of rows (of prefixes()) that connect all whose sets are similar.
 
-    Pairs of buckets of up to PAIRWISE nodes are all verified.  In larger buckets all nodes are held against one of
-    them; after that only pairs that no link connects so far are left, and they are all verified.
+    One shuffle brings the texts of a shingle together.  Each is held against the first of its bucket, in hot buckets against
+    the first of its part and firsts against each other; further rounds do so for texts that no link connects, while a
+    bucket has many of them.  Then texts of a bucket that are still apart are held against all others of it.
+    """
+    spark = docs.sparkSession
+    n = partitions(spark)
+    nodes = stored(rows.groupBy("fp").agg(F.first("n").alias("n"), F.first("first").alias("first"), F.first("cells").alias("cells"), F.min("text_hash").alias("text_hash")), "sets")
+    index = nodes.repartition(n, F.xxhash64("fp")).select("fp", "n", F.explode("first").alias("shingle"))
+    if hot:  # SAMPLE * HOT at most; a part's first is likely one of the few with a small fp
+        table = spark.createDataFrame([(h, True) for h in hot], "shingle long, hot boolean")
+        index = index.join(F.broadcast(table), "shingle", "left")
+        part, last, none = F.pmod("fp", F.lit(SALTS)).cast("long"), F.lit(SALTS).cast("long"), F.lit(-1).cast("long")
+        few = F.col("fp") < F.lit(-(1 << 63) + (1 << 54))
+        salts = F.when(F.col("hot") & few, F.array(part, last)).when(F.col("hot"), F.array(part)).otherwise(F.array(none))
+        index = index.select("shingle", F.explode(salts).alias("salt"), "fp", "n")
+    else:
+        index = index.select("shingle", F.lit(-1).cast("long").alias("salt"), "fp", "n")
+    index = index.repartition(n, "shingle", "salt").sortWithinPartitions("shingle", "salt", "fp")
+    near = lambda a, b: OF * F.least(a, b) >= LEAST * F.greatest(a, b)
+    found = stored(index.mapInArrow(stars, "shingle long, fp long, n long, pivot long, n_pivot long, large boolean"), "shingles")
+    edges = verified(found.filter((F.col("fp") != F.col("pivot")) & near("n", "n_pivot")).select(F.col("fp").alias("a"), F.col("pivot").alias("b")), nodes, docs, k)
+    large = stored(found.filter("large").select("shingle", "fp", "n").distinct(), "large")
+    for turn in range(8):
+        edges = components(edges).select(F.col("node").alias("a"), F.col("root").alias("b"))
+        if large.isEmpty():
+            return edges
+        roots = stored(edges.select(F.col("a").alias("fp"), F.col("b").alias("root")), "roots")
+        apart = stored(large.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "apart")
+        per = stored(apart.groupBy("shingle", "root").agg(F.count("*").alias("c")), "counts")
+        single = F.count(F.when(F.col("c") == 1, 1))
+        main = per.groupBy("shingle").agg(F.max(F.struct("c", "root"))["root"].alias("main"), F.sum("c").alias("m"), F.count("*").alias("roots"), single.alias("singles"))
+        main = stored(main.filter("roots > 1"), "main")
+        if turn == 7 or main.filter(F.col("singles") > SINGLES).isEmpty():
+            break
+        alone = apart.join(per.filter("c = 1").select("shingle", "root"), ["shingle", "root"]).join(main.filter(F.col("singles") > SINGLES).select("shingle"), "shingle")
+        one = F.min(F.struct(F.xxhash64("fp", F.lit(turn)).alias("h"), F.col("fp").alias("b"), F.col("n").alias("n_b")))
+        tried = alone.join(alone.groupBy("shingle").agg(one.alias("x")).select("shingle", "x.b", "x.n_b"), "shingle")
+        tried = tried.filter((F.col("fp") != F.col("b")) & near("n", "n_b")).select(F.col("fp").alias("a"), "b")
+        edges = edges.unionByName(verified(tried, nodes, docs, k))
+    return edges.unionByName(verified(across(apart, main, nodes, n), nodes, docs, k))
+
+
+def across(apart: DataFrame, main: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
+    """Pairs (a, b) of a bucket's texts with different roots that may be similar by their sizes and counts.
+
+    apart: shingle, fp, n, root.  main: shingle, main (the root of most of its texts) and m (their number), of buckets with
+    several roots.  Texts of other roots are held against all of the bucket; a bucket of over GROUP is dealt out in parts,
+    each with a part of the texts of the main root and all others.
     """
-    nodes = rows.groupBy("fp").agg(F.first("n").alias("n"), F.first("first").alias("first"), F.min("text_hash").alias("text_hash"))
-    nodes = nodes.repartition(partitions(rows.sparkSession), F.xxhash64("fp"))
-    index = nodes.select("fp", "n", "text_hash", F.explode("first").alias("shingle"))
-    sizes = index.groupBy("shingle").agg(F.count("*").alias("m")).filter("m > 1")
-    members = stored(index.join(sizes, "shingle"), "shingles")
-    near = OF * F.least("n", "n_b") >= LEAST * F.greatest("n", "n_b")
-    small = members.filter(F.col("m") <= PAIRWISE).select("shingle", F.col("fp").alias("a"), "n")
-    pairs = small.join(small.withColumnsRenamed({"a": "b", "n": "n_b"}), "shingle").filter((F.col("a") < F.col("b")) & near).select("a", "b")
-    large = members.filter(F.col("m") > PAIRWISE).select("shingle", "fp", "n")
-    one = F.min(F.struct(F.xxhash64("shingle", "fp").alias("h"), F.col("fp").alias("b"), F.col("n").alias("n_b")))
-    stars = large.join(large.groupBy("shingle").agg(one.alias("x")).select("shingle", "x.b", "x.n_b"), "shingle")
-    pairs = stored(pairs.unionByName(stars.filter((F.col("fp") != F.col("b")) & near).select(F.col("fp").alias("a"), "b")).distinct(), "pairs")
-    ends = pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).unionByName(large.select("fp")).distinct()
-    sets = stored(sets_of(docs, members.select("fp", "text_hash").distinct().join(ends, "fp"), k), "sets")
-    found = stored(similar(pairs, sets), "links")
-    if large.isEmpty():
-        return found
-    roots = components(found).withColumnRenamed("node", "fp")
-    large = stored(large.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "large")
-    per = large.groupBy("shingle", "root").agg(F.count("*").alias("c"))
-    main = per.groupBy("shingle").agg(F.max(F.struct("c", "root")).alias("x")).select("shingle", F.col("x.root").alias("main"))
-    rest = large.join(main, "shingle").filter("root <> main").select("shingle", F.col("fp").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
-    left = large.join(rest, "shingle").filter((F.col("root") != F.col("root_b")) & near).select(F.col("fp").alias("a"), "b")
-    return found.unionByName(similar(left, sets))
+    rows = look_up(apart, main.select("shingle", "main", "m"), "shingle", "m", max(apart.count(), 1)).filter("main is not null")
+    parts = F.ceil(F.col("m") / GROUP).cast("int")
+    rest = F.col("root") != F.col("main")
+    rows = rows.withColumn("part", F.explode(F.when(rest, F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.pmod(F.xxhash64("fp"), parts).cast("int")))))
+    rows = rows.select("shingle", F.col("part").cast("long").alias("part"), rest.cast("int").alias("late"), "fp", "n", "root").join(nodes.select("fp", "cells"), "fp")
+    rows = rows.repartition(n, "shingle", "part").sortWithinPartitions("shingle", "part", "late")
+    names = ["shingle", "part", "late", "fp", "n", "root", "cells"]
+
+    def compared(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        late, fp, n, root = (b.column(names.index(c)).to_numpy() for c in ("late", "fp", "n", "root"))
+        cells = cells_of(b.column(6))
+        for i in np.flatnonzero(late).tolist():  # against main ones and later ones of the rest
+            j = np.flatnonzero((root != root[i]) & ((late == 0) | (np.arange(len(fp)) > i)) & (OF * np.minimum(n, n[i]) >= LEAST * np.maximum(n, n[i])))
+            j = j[(LEAST + OF) * most_shared(cells[j], cells[i]) >= LEAST * (n[j] + n[i])]
+            if len(j):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(j), fp[i])), pa.array(fp[j])], names=["a", "b"])
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        key = None
+        out: list[pa.RecordBatch] = []
+        for b in batches:
+            b = b.select(names)
+            at = np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()], 1)
+            cuts = [0, *(np.flatnonzero((at[1:] != at[:-1]).any(1)) + 1).tolist(), len(at)] if len(at) else []
+            for lo, hi in zip(cuts, cuts[1:]):
+                if tuple(at[lo]) != key and held:
+                    out += compared(pa.concat_batches(held))
+                    held = []
+                key = tuple(at[lo])
+                held.append(b.slice(lo, hi - lo))
+                if sum(x.num_rows for x in out) > 10_000 or len(out) > 1000:
+                    yield pa.concat_batches(out)
+                    out = []
+        if held:
+            out += compared(pa.concat_batches(held))
+        if out:
+            yield pa.concat_batches(out)
+
+    return rows.select(*names).mapInArrow(pairs, "a long, b long").distinct()
 
 
 def near_copies(docs: DataFrame, k: int = 5) -> DataFrame:
@@ -140,8 +289,9 @@ def near_copies(docs: DataFrame, k: int = 5) -> DataFrame:
 
     As simhash.near_duplicates, but by exact similarity; fp is a hash of the set.  Texts that are null or have no word are alike.
     """
-    rows = stored(prefixes(docs, k), "prefixes")
-    edges = links(docs, rows, k)
+    *common, hot = common_shingles(docs, k)
+    rows = stored(prefixes(docs, k, tuple(common)), "prefixes")
+    edges = links(docs, rows, k, hot)
     rows = rows.select("doc_id", "text_hash", "fp")
     return named(rows, rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_rows")), edges)
 
