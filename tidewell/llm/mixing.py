@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import in_order, look_up, null_safe, partitions, stored, utf8
+from tidewell.llm.common import in_order, look_up, null_safe, partitions, set_aside, stored, utf8
 
 
 @dataclass(frozen=True)
@@ -23,12 +23,18 @@ class Recipe:
     share: float = 1.5
     #: A source's target is at most so many times its words.
     most_epochs: int = 2
-    #: Words in a block; output shards; seed of all draws.
-    block: int = 64
-    shards: int = 64
+    #: Words in a block and output shards; 0: by the corpus, see sized().  Seed of all draws.
+    block: int = 0
+    shards: int = 0
     seed: int = 1
 
 
+def sized(recipe: Recipe, total: int) -> Recipe:
+    """recipe with blocks of at least 64 and at most 4096 words, about 2**18 of them between these, and a shard for each 100,000 slots, at least 64."""
+    block = recipe.block or min(max(64, total >> 18), 4096)
+    return replace(recipe, block=block, shards=recipe.shards or max(64, int(recipe.share * total) // block // 100_000))
+
+
 def sizes(docs: DataFrame, source: str) -> DataFrame:
     kept = docs.select("doc_id", F.col(source).alias("source"), F.xxhash64("text").alias("text_hash"), "text")
     schema = f"doc_id {kept.schema['doc_id'].dataType.simpleString()}, source {kept.schema['source'].dataType.simpleString()}, text_hash long, size long"
@@ -41,8 +47,8 @@ def sizes(docs: DataFrame, source: str) -> DataFrame:
     return kept.mapInArrow(count, schema)
 
 
-def targets(rows: DataFrame, recipe: Recipe) -> DataFrame:
-    """source, number, source_size, n_docs, weight, target for each source of rows.
+def targets(rows: DataFrame, recipe: Recipe) -> tuple[DataFrame, int]:
+    """source, number, source_size, n_docs, weight, target for each source of rows; and the words of all.
 
     The level (words for each unit of weight) rises as sources reach their limits; only sums go to the driver.
     """
@@ -62,7 +68,7 @@ def targets(rows: DataFrame, recipe: Recipe) -> DataFrame:
         if nxt <= level:
             break
         level = nxt
-    return per.withColumn("target", F.least(F.lit(level) * F.col("weight"), top.cast("double")))
+    return per.withColumn("target", F.least(F.lit(level) * F.col("weight"), top.cast("double"))), total
 
 
 def permuted(at: np.ndarray, n: int, key: int) -> np.ndarray:
@@ -139,12 +145,13 @@ def mix(docs: DataFrame, recipe: Recipe = Recipe(), source: str = "source") -> M
     """The mix of docs by recipe.
 
     The words of each source's documents, in order of doc_id, make one stream; it is cut into blocks of recipe.block words
-    (the last one may be shorter).  Slots of output shards name blocks by index, and blocks are joined by it.  Each
+    (or as sized() says; the last one may be shorter).  Slots of output shards name blocks by index, and blocks are joined by it.  Each
     epoch is a permutation of all blocks, so no word is taken more than most_epochs times.  Null texts have no words; a
     null source is a source, the last; repeated rows are documents of their own; the same rows give the same mix again.
     """
     rows = stored(sizes(docs, source), "sizes")
-    per = stored(targets(rows, recipe), "targets")
+    per, total = targets(rows, recipe)
+    per, recipe = stored(per, "targets"), sized(recipe, total)
     rows = in_order(rows, [F.col("source").asc_nulls_last(), F.col("doc_id"), F.col("text_hash"), F.col("size")], "size", "stream")
     starts = stored(rows.groupBy("source").agg(F.min("tw_before").alias("tw_first")), "starts")
     n = max(rows.count(), 1)
@@ -192,26 +199,46 @@ def words_taken(text: bytes, parts: list[tuple[int, int]], size: int) -> bytes:
     return b"\n".join(out)
 
 
+def by_copy(rows: DataFrame, alike: DataFrame) -> DataFrame:
+    """rows with copy: 0, or for rows alike in doc_id and text_hash (which `alike` lists) their number, by their other columns.
+
+    Rows alike are numbered by a sort by range, so no number of them is one group.
+    """
+    names = rows.columns
+    rows = rows.withColumn("k", F.struct("doc_id", "text_hash"))
+    flagged = look_up(rows, alike.select("k", "n_alike"), "k", "n_alike", max(rows.count(), 1))
+    several = in_order(flagged.filter("n_alike is not null").drop("n_alike"), [F.col("doc_id"), F.col("text_hash"), F.xxhash64(*names)], label="alike")
+    first = several.groupBy("k").agg(F.min("tw_rank").alias("first"), F.count("*").alias("n"))
+    several = look_up(several, stored(first, "first"), "k", "n", max(several.count(), 1))
+    one = flagged.filter("n_alike is null").select(*names, F.lit(0).cast("long").alias("copy"))
+    return one.unionByName(several.select(*names, (F.col("tw_rank") - F.col("first")).alias("copy")))
+
+
 def mixed_documents(docs: DataFrame, recipe: Recipe = Recipe(), source: str = "source") -> DataFrame:
-    """docs as the mix has them, columns as they are: for each epoch a row of each document of which it takes words.
+    """docs as the mix has them, columns as they are and of any names: for each epoch a row of each document of which it takes words.
 
     The text is whole if the epoch takes all its words, else its taken passages, in order; n_chars, if there, follows.
-    Documents without words aren't in a mix.  Texts are joined once, to the words taken.
+    Documents without words, null texts among them, aren't in a mix; an empty table gives an empty one.  Texts are
+    joined once, to the words taken; of rows alike in doc_id and text each gets its own share of them.
     """
     m = mix(docs, recipe, source)
     parts = m.drawn.groupBy("tw_rank", "epoch").agg(F.collect_list(F.struct("word", "n")).alias("parts"))
-    taken = m.rows.select("tw_rank", "doc_id", "text_hash", "size").join(parts, "tw_rank")
-    copies = taken.groupBy("doc_id", "text_hash", "tw_rank").agg(F.first("size").alias("size"), F.collect_list("parts").alias("epochs"))
-    # rows alike in doc_id and text are dealt out in any order: the first of them takes the first one's words
-    copies = copies.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("tw_rank", "size", "epochs"))).alias("tw_copies"))
-    rows = docs.withColumn("tw_hash", F.xxhash64("text"))
-    joined = null_safe(rows, copies.withColumnRenamed("text_hash", "tw_hash"), ["doc_id", "tw_hash"], "inner")
-    several = joined.filter(F.size("tw_copies") > 1).withColumn("tw_copy", F.row_number().over(Window.partitionBy("doc_id", "tw_hash").orderBy(F.lit(0))))
-    joined = joined.filter(F.size("tw_copies") == 1).withColumn("tw_copy", F.lit(1)).unionByName(several)
-    mine = F.try_element_at("tw_copies", F.col("tw_copy"))
-    flat = joined.withColumn("tw_mine", mine).withColumn("tw_parts", F.explode("tw_mine.epochs"))
-    names = docs.columns
-    flat = flat.select(*names, F.col("tw_mine.size").alias("tw_size"), F.expr("transform(tw_parts, p -> p.word)").alias("tw_word"), F.expr("transform(tw_parts, p -> p.n)").alias("tw_n"))
+    k = F.struct("doc_id", "text_hash")
+    alike = m.rows.groupBy("doc_id", "text_hash").agg(F.min("tw_rank").alias("base"), F.count("*").alias("n_alike")).filter("n_alike > 1")
+    alike = stored(alike.select(k.alias("k"), "base", "n_alike"), "alike")
+    mine, restore = set_aside(docs, "doc_id", "text", "n_chars")
+    rows = mine.withColumn("text_hash", F.xxhash64("text"))
+    named = m.rows.select("tw_rank", "doc_id", "text_hash", "size")
+    if alike.isEmpty():
+        rows, named = (x.withColumn("copy", F.lit(0).cast("long")) for x in (rows, named))
+    else:
+        rows = by_copy(rows, alike)
+        named = look_up(named.withColumn("k", k), alike, "k", "n_alike", max(named.count(), 1))
+        named = named.withColumn("copy", F.coalesce(F.col("tw_rank") - F.col("base"), F.lit(0).cast("long")))
+    taken = named.select("tw_rank", "doc_id", "text_hash", "copy", "size").join(parts, "tw_rank").drop("tw_rank")
+    joined = null_safe(rows, taken, ["doc_id", "text_hash", "copy"], "inner")
+    names = mine.columns
+    flat = joined.select(*names, "size", F.expr("transform(parts, p -> p.word)").alias("word"), F.expr("transform(parts, p -> p.n)").alias("n"))
     at = names.index("text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,4 +253,4 @@ def mixed_documents(docs: DataFrame, recipe: Recipe = Recipe(), source: str = "s
                 cols[c] = pa.array([v if x is y else len(y.decode()) for v, x, y in zip(cols[c].to_pylist(), old, new)], cols[c].type)
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return flat.mapInArrow(cut, docs.schema)
+    return restore(flat.mapInArrow(cut, mine.schema))
