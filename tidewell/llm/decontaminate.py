@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidewell.llm.common import chunks, utf8
+from tidewell.llm.common import chunks, in_order, null_safe, set_aside, stored, utf8
 
 #: Words are runs of ASCII digits and letters (A-Z lower-cased) and of all bytes from \x80; the rest separates.
 WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
-#: Items' words in one automaton at most, which bounds what is broadcast at once (a few hundred bytes a word).
-AUTOMATON_WORDS = 200_000
+#: Items' words in one automaton, and in a piece of an item; both bound what a task builds and what is broadcast at once.
+AUTOMATON_WORDS, PIECE_WORDS = 200_000, 10_000
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -157,22 +162,38 @@ def matches(a: Automaton, words: list[bytes]) -> tuple[list[tuple[int, int]], se
     return spans, items
 
 
-def item_groups(benchmark: DataFrame, window: int) -> list[Automaton]:
-    """Automata of all items, each of at most AUTOMATON_WORDS words (an item longer than that has its own).
+def pieces(benchmark: DataFrame, window: int) -> DataFrame:
+    """item, words (joined by blanks) and n of pieces of at most PIECE_WORDS + window - 1 words that hold all windows of all items."""
 
-    Read item by item, so that the driver holds one automaton's words at a time besides the automata.
-    """
-    out, items, n = [], [], 0
-    for r in benchmark.select("item_id", F.col("text").cast("binary").alias("text")).toLocalIterator():
-        words = words_of(bytes(r.text)) if r.text is not None else []
-        if not words:
-            continue
-        if items and n + len(words) > AUTOMATON_WORDS:
-            out.append(automaton(items, window))
-            items, n = [], 0
-        items.append((r.item_id, words))
-        n += len(words)
-    return [*out, automaton(items, window)] if items else out
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in chunks(batches, 16):
+            out = []
+            for item, text in zip(b.column(0).to_pylist(), utf8(b.column(1))):
+                words = words_of(text)
+                for at in range(0, max(len(words) - window, 0) + 1 if words else 0, PIECE_WORDS):
+                    part = words[at : at + PIECE_WORDS + window - 1]
+                    out.append((item, b" ".join(part), len(part)))
+            item, words, n = zip(*out) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(item, pa.string()), pa.array(words, pa.binary()), pa.array(n, pa.int64())], names=["item", "words", "n"])
+
+    return benchmark.select(F.col("item_id").cast("string").alias("item"), "text").mapInArrow(cut, "item string, words binary, n long")
+
+
+def automata(benchmark: DataFrame, window: int) -> list[DataFrame]:
+    """A one-row table (automaton, pickled) for each AUTOMATON_WORDS words of the items; tasks build them, none holds more than that."""
+    cut = stored(pieces(benchmark, window), "pieces")
+    total = cut.agg(F.sum("n")).first()[0] or 0
+    number = F.lit(0).cast("long")
+    if total > AUTOMATON_WORDS:
+        cut, number = in_order(cut, [F.col("item"), F.col("words")], "n", "pieces"), F.expr(f"tw_before div {AUTOMATON_WORDS}")
+
+    def build(pdf: pd.DataFrame) -> pd.DataFrame:
+        a = automaton([(None if pd.isna(i) else i, w.split()) for i, w in zip(pdf["item"], pdf["words"])], window)
+        return pd.DataFrame({"number": pdf["number"].iloc[:1], "automaton": [pickle.dumps(a)]})
+
+    built = cut.select(number.alias("number"), "item", "words").groupBy("number").applyInPandas(build, "number long, automaton binary")
+    built = stored(built, "automata")
+    return [built.filter(F.col("number") == i).select("automaton") for i in range(-(-total // AUTOMATON_WORDS))]
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -185,45 +206,83 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """Spans of each document that benchmark windows cover, and the items they are of.
+FOUND = {"n_words": pa.int64(), "spans": pa.list_(pa.list_(pa.int64())), "items": pa.list_(pa.string())}
+FOUND_FIELDS = [T.StructField("n_words", T.LongType()), T.StructField("spans", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("items", T.ArrayType(T.StringType()))]
 
-    doc_id, n_words, spans (array of [from, to) word numbers, merged) and items (array of item_id as string, sorted):
-    one row for each row of docs.  A window is `window` consecutive words of an item; a shorter item with words is one
-    window.  Null texts and texts without words match nothing; items without words and an empty benchmark match
-    nothing; repeated items are found alike; other columns are left out.
-    """
-    kept = docs.select("doc_id", "text")
-    find = finder(docs, benchmark, window)
-    schema = f"doc_id {kept.schema['doc_id'].dataType.simpleString()}, n_words long, spans array<array<long>>, items array<string>"
+
+def finder(docs: DataFrame, automaton: DataFrame | None) -> Callable[[bytes | None], tuple[int, list[tuple[int, int]], list[str | None]]]:
+    """For executors: number of words, spans and items of a text, by one automaton (None: nothing matches).  It is broadcast: a few hundred bytes for each of its words."""
+    row = automaton.first() if automaton is not None else None
+    sent = docs.sparkSession.sparkContext.broadcast(pickle.loads(bytes(row.automaton)) if row else None)
+
+    def find(text: bytes | None) -> tuple[int, list[tuple[int, int]], list[str | None]]:
+        words, a = words_of(text), sent.value
+        spans, items = matches(a, words) if a else ([], set())
+        return len(words), spans, in_text_order({a.items[k] for k in items}) if items else []
+
+    return find
+
+
+def searched(docs: DataFrame, automaton: DataFrame | None, hits_only: bool = False) -> DataFrame:
+    """docs with n_words, spans and items by one automaton."""
+    find = finder(docs, automaton)
+    names = docs.columns
+    at = names.index("text")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, 128):
-            found = [find(words_of(t)) for t in utf8(b.column(1))]
-            n, spans, items = zip(*found)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(spans, pa.list_(pa.list_(pa.int64()))), pa.array(items, pa.list_(pa.string()))], names=["doc_id", "n_words", "spans", "items"])
+            found = zip(*(find(t) for t in utf8(b.column(at))))
+            out = pa.RecordBatch.from_arrays([*b.columns, *(pa.array(c, t) for c, t in zip(found, FOUND.values()))], names=[*names, *FOUND])
+            yield out.filter(pc.greater(pc.list_value_length(out.column(len(names) + 1)), 0)) if hits_only else out
 
-    return kept.mapInArrow(scan, schema)
+    return docs.mapInArrow(scan, T.StructType([*docs.schema.fields, *FOUND_FIELDS]))
 
 
-def finder(docs: DataFrame, benchmark: DataFrame, window: int):
-    """A function words -> (their number, merged spans, sorted item ids), for executors; each automaton is a broadcast of bounded size."""
-    sent = [docs.sparkSession.sparkContext.broadcast(a) for a in item_groups(benchmark, window)]
+def in_text_order(items: Iterable[str | None]) -> list[str | None]:
+    return sorted(items, key=lambda i: (i is None, i or ""))
 
-    def find(words: list[bytes]) -> tuple[int, list[tuple[int, int]], list[str]]:
-        spans: list[tuple[int, int]] = []
-        items: set[str] = set()
-        for b in sent:
-            s, i = matches(b.value, words)
-            spans += s
-            items.update(str(b.value.items[k]) for k in i)
-        return len(words), merged(spans) if len(sent) > 1 else spans, sorted(items)
 
-    return find
+def located(docs: DataFrame, found: list[DataFrame]) -> DataFrame:
+    """docs (doc_id, text and columns named own0, own1, ...) with n_words, spans and items, by all automata.
+
+    A benchmark that one automaton holds is found in one pass without any shuffle.  Else each pass over the texts finds what
+    one automaton holds, of bounded size, and leaves the documents it hit; spans are combined by doc_id and text.
+    """
+    if len(found) <= 1:
+        return searched(docs, found[0] if found else None)
+    key = ["doc_id", "text_hash"]
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    hits = [stored(searched(keyed, a, True).drop("text", "n_words"), "hits").distinct() for a in found]
+    hits = reduce(DataFrame.unionByName, hits).groupBy(*key).agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
+    rows = searched(docs, None).drop("spans", "items").withColumn("text_hash", F.xxhash64("text"))
+    both = null_safe(rows, hits, key).drop("text_hash")
+    at = both.columns.index("spans")
+
+    def combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            spans = [merged([(x, y) for x, y in s or []]) for s in b.column(at).to_pylist()]
+            items = [in_text_order(set(i or [])) for i in b.column(at + 1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:at], pa.array(spans, FOUND["spans"]), pa.array(items, FOUND["items"])], names=b.schema.names)
+
+    return both.mapInArrow(combined, both.schema)
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
+    """Spans of each document that benchmark windows cover, and the items they are of.
+
+    doc_id, n_words, spans (array of [from, to) word numbers, merged) and items (array of item_id as string, sorted, a null
+    one last): one row for each row of docs.  A window is `window` consecutive words of an item; a shorter item with words
+    is one window.  Null texts and texts without words match nothing; items without words and an empty benchmark match
+    nothing; repeated items are found alike, those without an id as one; other columns are left out.
+    """
+    return located(docs.select("doc_id", "text"), automata(benchmark, window)).drop("text")
 
 
 def contamination_summary(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated for each row of docs, from contamination()."""
+    """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated for each row of docs, from contamination().
+
+    Items without an id count in n_items, as one, and add nothing to items_sha256.
+    """
     found = contamination(docs, benchmark, window)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
     return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
@@ -247,29 +306,43 @@ def without_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_coverage: float = 0.5) -> DataFrame:
     """docs without benchmark passages: spans under windows go; documents of which they cover over max_coverage go whole.
 
-    Columns stay as they are; n_chars, if there, follows the text.  Other documents, null texts included, are untouched.
+    Columns stay as they are and may have any names; n_chars, if there, follows the text.  Other documents, null and empty
+    texts included, are untouched; repeated rows are treated alike; an empty table stays empty.
     """
-    find = finder(docs, benchmark, window)
-    names, schema = docs.columns, docs.schema
+    mine, restore = set_aside(docs, "doc_id", "text", "n_chars")
+    names = mine.columns
     at = names.index("text")
 
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in chunks(batches, 128):
-            texts, keep, cut = utf8(b.column(at)), [], []
-            for i, text in enumerate(texts):
-                n, spans, _ = find(words_of(text))
-                keep.append(sum(y - x for x, y in spans) <= max_coverage * n)
-                if spans and keep[-1]:
-                    texts[i] = without_spans(text, spans)
-                    cut.append(i)
-            cols = list(b.columns)
+    def clean(b: pa.RecordBatch, spans: list[list[Sequence[int]]], n_words: list[int]) -> pa.RecordBatch:
+        keep = [sum(y - x for x, y in s) <= max_coverage * n for s, n in zip(spans, n_words)]
+        hit = [i for i, s in enumerate(spans) if s and keep[i]]
+        cols = b.columns[: len(names)]
+        if hit:
+            texts = utf8(cols[at])
+            for i in hit:
+                texts[i] = without_spans(texts[i], spans[i])
             cols[at] = pa.array(texts, pa.binary()).cast(cols[at].type)
             if "n_chars" in names:
                 k = names.index("n_chars")
                 n_chars = cols[k].to_pylist()
-                for i in cut:
+                for i in hit:
                     n_chars[i] = len(texts[i].decode())
                 cols[k] = pa.array(n_chars, cols[k].type)
-            yield pa.RecordBatch.from_arrays(cols, names=names).filter(pa.array(keep, pa.bool_()))
+        return pa.RecordBatch.from_arrays(cols, names=names).filter(pa.array(keep, pa.bool_()))
+
+    found = automata(benchmark, window)
+    if len(found) <= 1:  # found and cut in one pass
+        find = finder(docs, found[0] if found else None)
+
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in chunks(batches, 128):
+                n_words, spans, _ = zip(*(find(t) for t in utf8(b.column(at))))
+                yield clean(b, spans, n_words)
+
+        return restore(mine.mapInArrow(cut, mine.schema))
+
+    def cut_found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in chunks(batches, 128):
+            yield clean(b, b.column(b.schema.get_field_index("spans")).to_pylist(), b.column(b.schema.get_field_index("n_words")).to_pylist())
 
-    return docs.mapInArrow(clean, schema)
+    return restore(located(mine, found).mapInArrow(cut_found, mine.schema))
