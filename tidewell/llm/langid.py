@@ -11,11 +11,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import chunks
+from tidewell.llm.common import chunks, set_aside, stored
 
 BUCKETS = 1 << 15
-#: Labels a model may have; what goes to the driver and to executors is this times BUCKETS numbers at most.
-MOST_LANGUAGES = 200
 #: Shares up to this are nothing but rounding: such languages are taken out together.
 ZERO = 1e-12
 LETTER = re.compile(r"[^\W\d_]")
@@ -36,36 +34,48 @@ class Model:
     logs: np.ndarray
 
 
-def train(docs: DataFrame, where: Column | None = None, lang: str = "lang") -> Model:
+def train(docs: DataFrame, where: Column | None = None, lang: str = "lang", most_languages: int = 200) -> Model:
     """Smoothed trigram models from all rows with a label and a text for which `where` holds.
 
-    Tasks count for themselves and send one row for each language and trigram they saw.
+    Tasks count for themselves and send one row for each language and trigram they saw.  A model has the most_languages
+    labels with the most trigrams (of equal ones the first by code point), so BUCKETS numbers times that bound what goes
+    to the driver and the executors; rarer labels, as a dirty column has them, aren't learned and never predicted.
     """
     rows = docs.filter(F.col(lang).isNotNull() & F.col("text").isNotNull())
     rows = (rows if where is None else rows.filter(where)).select(F.col(lang).cast("string").alias("lang"), "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, np.ndarray] = {}
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            for name, n in seen.items():
+                at = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at), pa.array(n[at])], names=["lang", "gram", "n"])
+            seen.clear()
+
         for b in chunks(batches):
             for name, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if LETTER.search(text):
                     if name not in seen:
+                        if len(seen) == most_languages:
+                            yield from counted()
                         seen[name] = np.zeros(BUCKETS, np.int64)
                     seen[name] += np.bincount(trigrams(text), minlength=BUCKETS)
-        for name, n in seen.items():
-            at = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at), pa.array(n[at])], names=["lang", "gram", "n"])
-
-    sums = rows.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    per = F.collect_list(F.struct("gram", "n"))  # BUCKETS entries at most
-    found = sums.groupBy("lang").agg(per.alias("counts")).limit(MOST_LANGUAGES + 1).collect()
-    if len(found) > MOST_LANGUAGES:
-        raise ValueError(f"over {MOST_LANGUAGES} languages")
-    found.sort(key=lambda r: r.lang)
-    counts = np.full((len(found), BUCKETS), 0.5)
-    for i, r in enumerate(found):
-        for gram, n in r.counts:
-            counts[i, gram] += n
+        yield from counted()
+
+    sums = stored(rows.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "trigrams")
+    top = sums.groupBy("lang").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "lang").limit(most_languages)
+    per = sums.join(F.broadcast(top), "lang").groupBy("lang").agg(F.collect_list(F.struct("gram", "n")).alias("counts"))  # BUCKETS entries at most
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in chunks(batches, 16):
+            flat, ends = b.column(1).flatten(), b.column(1).offsets.to_numpy()
+            gram, n, ends = flat.field(0).to_numpy(), flat.field(1).to_numpy(), ends - ends[0]
+            out = [np.bincount(gram[i:j], n[i:j], BUCKETS).astype(np.int64).tobytes() for i, j in zip(ends, ends[1:])]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["lang", "counts"])
+
+    found = sorted(per.mapInArrow(packed, "lang string, counts binary").collect(), key=lambda r: r.lang)
+    counts = np.array([np.frombuffer(r.counts, np.int64) for r in found], float).reshape(-1, BUCKETS) + 0.5
     return Model([r.lang for r in found], np.log(counts / counts.sum(1, keepdims=True)) if found else counts)
 
 
@@ -138,9 +148,14 @@ def identify(docs: DataFrame, model: Model, penalty: float = 1.0) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, model: Model, least: float = 0.5, penalty: float = 1.0) -> DataFrame:
-    """The rows of docs, columns as they are, whose text has a main language of at least this share; the others go."""
+    """The rows of docs, columns as they are and of any names, whose text has a main language of at least this share; the others go.
+
+    Null and empty texts and those without a letter go, as do all texts under a model without languages; each of repeated rows
+    stays or goes as the text says; an empty table stays empty.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index("text")
+    mine, restore = set_aside(docs, "text")
+    at = mine.columns.index("text")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
@@ -148,4 +163,4 @@ def keep_identified(docs: DataFrame, model: Model, least: float = 0.5, penalty:
             good = [bool(t and m.languages and LETTER.search(t)) and next(iter(mixture(m, t, penalty).values())) >= least for t in b.column(at).to_pylist()]
             yield b.filter(pa.array(good, pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return restore(mine.mapInArrow(keep, mine.schema))
