@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.llm.common import in_order
+from tidewell.llm.common import in_order, set_aside
 
 
 def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -42,27 +42,40 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-def as_number(df: DataFrame, name: str) -> Column:
-    """A column as a double that keeps its order: strings by their first six bytes; nulls and NaN come first."""
+def as_number(df: DataFrame, name: str, bits: int) -> tuple[Column, np.ndarray | None]:
+    """A column as a double that keeps its order, nulls and NaN first, and its cuts if they are known already.
+
+    Strings are cut where their distinct values, in order and each with the rows that have it, fill another
+    2**-bits of all rows; these cuts, fewer than 2**bits, go to the driver, and a string's number is how many of them it reaches.
+    """
     kind = df.schema[name].dataType
     if isinstance(kind, (T.StringType, T.BinaryType)):
-        v = F.conv(F.hex(F.rpad(F.substring(F.col(name).cast("binary"), 1, 6), 6, F.lit(b"\0"))), 16, 10).cast("double")
-    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        per = df.groupBy(F.col(name).alias("value")).agg(F.count("*").alias("n"))
+        per = in_order(per.filter("value is not null"), [F.col("value")], "n", "values")
+        total = max(per.agg(F.sum("n")).first()[0] or 0, 1)
+        cell = F.expr(f"(tw_before << {bits}) div {total}")
+        cuts = sorted(r.least for r in per.groupBy(cell.alias("cell")).agg(F.min("value").alias("least")).collect())[1:]
+        reached = [(F.col(name) >= F.lit(bytes(c) if isinstance(c, bytearray) else c)).cast("int") for c in cuts]
+        return F.coalesce(sum(reached, F.lit(0)).cast("double"), F.lit(0.0)), np.arange(len(cuts)) + 0.5
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         v = F.unix_timestamp(F.col(name).cast("timestamp")).cast("double")
     elif isinstance(kind, (T.NumericType, T.BooleanType)):
         v = F.col(name).cast("double")
         v = F.when(~F.isnan(v), v)
     else:
         raise TypeError(f"{name}: no dimension of type {kind.simpleString()}")
-    return F.coalesce(v, F.lit(-1.7976931348623157e308))
+    return F.coalesce(v, F.lit(-1.7976931348623157e308)), None
 
 
 def shard_order(rows: DataFrame, dims: list[str], bits: int = 5) -> DataFrame:
     """rows with tw_curve.  Each dimension is quantised at its quantiles (at most 2**bits - 1 cuts go to the driver)."""
-    rows = rows.withColumns({f"tw_d{i}": as_number(rows, d) for i, d in enumerate(dims)})
-    names = [f"tw_d{i}" for i in range(len(dims))]
+    numbers = {f"tw_d{i}": as_number(rows, d, bits) for i, d in enumerate(dims)}
+    rows = rows.withColumns({n: c for n, (c, _) in numbers.items()})
+    names = list(numbers)
+    open_dims = [n for n, (_, cuts) in numbers.items() if cuts is None]
     at = [i / (1 << bits) for i in range(1, 1 << bits)]
-    cuts = [np.array(sorted(set(q))) for q in rows.approxQuantile(names, at, 0.005)]
+    found = dict(zip(open_dims, rows.approxQuantile(open_dims, at, 0.005))) if open_dims else {}
+    cuts = [np.array(sorted(set(found[n]))) if n in found else known for n, (_, known) in numbers.items()]
     schema = T.StructType([*rows.drop(*names).schema.fields, T.StructField("tw_curve", T.LongType())])
     keep = rows.drop(*names).columns
 
@@ -80,10 +93,10 @@ def assign_shards(rows: DataFrame, dims: list[str], n_shards: int, bits: int = 5
 
     Counts differ by one at most ("rows").  Rows in one curve cell are ordered by `ties`; what ties in those too is
     ordered by all its other columns, so a hot cell or a repeated row is cut as any other.  Nulls sort first.
-    An empty table gives an empty result; fewer rows than shards leave shards empty.  Columns named shard, slot
-    or tw_* are replaced.
+    An empty table gives an empty result; fewer rows than shards leave shards empty.  Columns named shard or slot are
+    replaced, others may have any names.
     """
-    rows = rows.drop("shard", "slot", *(c for c in rows.columns if c.startswith("tw_")))
+    rows, restore = set_aside(rows.drop("shard", "slot"), *dims, *ties)
     short = [c for c in rows.columns if c not in ties]
     rest = F.xxhash64(*short) if short else F.lit(0)
     rows = shard_order(rows.withColumn("tw_rest", rest), dims, bits)
@@ -92,7 +105,7 @@ def assign_shards(rows: DataFrame, dims: list[str], n_shards: int, bits: int = 5
     out = ranked.withColumn("shard", F.expr(f"(tw_rank * {n_shards}) div {max(n, 1)}"))
     first = F.expr(f"(shard * {n} + {n_shards - 1}) div {n_shards}")  # the shard's least rank
     out = out.withColumn("slot", F.col("tw_rank") - first).withColumn("shard", F.col("shard").cast("int"))
-    return out.drop("tw_curve", "tw_rest", "tw_rank")
+    return restore(out, "shard", "slot")
 
 
 def shard_ranges(sharded: DataFrame, dims: list[str]) -> DataFrame:
