@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import xml.etree.ElementTree as ET
+from html import unescape
 from html.entities import html5
 from typing import Any
 
@@ -74,13 +75,59 @@ def item_of(e: ET.Element) -> dict[str, Any]:
     }
 
 
+_TOKEN = re.compile(r"<!--.*?-->|<!\[CDATA\[(?P<raw>.*?)\]\]>|<\?.*?\?>|<![^>]*>|<(?P<end>/?)(?P<name>[A-Za-z_][\w.-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|(?P<text>[^<]+|<)", re.S)
+_ATTRIBUTE = re.compile(r"([A-Za-z_][\w.-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>/]+)))?")
+
+
+def loose_tree(text: str) -> ET.Element:
+    """The tree of XML that isn't well formed: attributes may lack quotes or values, and an end tag closes all that is open inside its element.
+
+    An end tag of nothing open, and an end of the text inside an element, are errors still.
+    """
+    build, names = ET.TreeBuilder(), []
+    for m in _TOKEN.finditer(text):
+        if names and (m["raw"] is not None or m["text"] is not None):
+            build.data(m["raw"] if m["raw"] is not None else unescape(m["text"]))
+        elif m["name"] and m["end"]:
+            if m["name"] not in names:
+                raise ValueError(f"unexpected end of {m['name']!r}")
+            while (last := names.pop()) != m["name"]:
+                build.end(last)
+            build.end(last)
+            if not names:
+                break
+        elif m["name"]:
+            attrs = m["attrs"].rstrip()
+            empty = attrs.endswith("/")
+            found = {k: unescape(a or b or c or "") for k, a, b, c in _ATTRIBUTE.findall(attrs.removesuffix("/"))}
+            build.start(m["name"], found)
+            if empty:
+                build.end(m["name"])
+            else:
+                names.append(m["name"])
+            if not names:
+                break
+    if names:
+        raise ValueError(f"unexpected end of the text inside {names[-1]!r}")
+    if (root := build.close()) is None:
+        raise ValueError("no element")
+    return root
+
+
 def raw_feed(data: bytes | None) -> dict[str, Any]:
     out: dict[str, Any] = {"error": None, "channel": None, "root": None, "items": None}
     try:
         text = _NOT_XML.sub("", entities(decoded(data or b"")))
         # prefixes that nothing declares are dropped: only local names count
         text = re.sub(r"(</?)[A-Za-z_][\w.-]*:([A-Za-z_])", r"\1\2", text)
-        root = ET.fromstring(re.sub(r"(\s)[A-Za-z_][\w.-]*:([\w.-]+\s*=)", r"\1\2", re.sub(r"\sxmlns(:[\w.-]+)?\s*=\s*(\"[^\"]*\"|'[^']*')", "", text)))
+        text = re.sub(r"(\s)[A-Za-z_][\w.-]*:([\w.-]+\s*=)", r"\1\2", re.sub(r"\sxmlns(:[\w.-]+)?\s*=\s*(\"[^\"]*\"|'[^']*')", "", text))
+        try:
+            root = ET.fromstring(text)
+        except ET.ParseError as strict:
+            try:
+                root = loose_tree(text)
+            except (ValueError, AssertionError, ET.ParseError):
+                raise strict from None
     except (ET.ParseError, ValueError, UnicodeError) as e:
         return out | {"error": f"parse feed: {e}"}
     channel = (children(root, "channel") or [ET.Element("channel")])[-1]

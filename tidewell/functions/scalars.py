@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: White space as Unicode has it; Spark's trim() and a plain \s know less.
-_SPACE = r"(?U)^\s+|\s+$"
+#: White space as Unicode has it; Spark's trim() alone and a plain \s know less.
+BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def as_column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def trim_blanks(c: Column) -> Column:
+    return F.btrim(c, F.lit(BLANKS))
+
+
 def trim_u(c: Column | str) -> Column:
     """Without leading and trailing Unicode white space."""
-    return F.regexp_replace(as_column(c), _SPACE, "")
+    return trim_blanks(as_column(c))
 
 
 def field(cols: Column | str, i: int) -> Column:
@@ -38,14 +42,13 @@ def int64(c: Column | str, trim: bool = True) -> Column:
     return F.when(x.rlike("^[+-]?[0-9]+$"), x.try_cast("bigint"))
 
 
-def float64(c: Column | str) -> Column:
+def float64(c: Column | str, trim: bool = True) -> Column:
     """A decimal or exponent number as double, or inf, infinity or nan; null for others and for what overflows."""
-    x = trim_u(c)
+    x = trim_u(c) if trim else as_column(c)
     number = F.when(x.rlike(r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"), x.try_cast("double"))
-    named = F.lower(F.regexp_replace(x, "^[+-]", ""))
     sign = F.when(x.startswith("-"), -1.0).otherwise(1.0)
-    special = F.when(named.isin("inf", "infinity"), sign * F.lit(float("inf"))).when(named == "nan", F.lit(float("nan")))
-    return F.coalesce(F.when(F.abs(number) < float("inf"), number), special)
+    special = F.when(x.rlike("(?i)^[+-]?inf(inity)?$"), sign * F.lit(float("inf"))).when(x.rlike("(?i)^[+-]?nan$"), F.lit(float("nan")))
+    return F.coalesce(F.nullif(F.nullif(number, F.lit(float("inf"))), F.lit(float("-inf"))), special)
 
 
 def stamp_time(c: Column | str) -> Column:
@@ -74,13 +77,13 @@ def at_least_zero(c: Column | str) -> Column:
 
 def collapse(c: Column | str) -> Column:
     """Runs of Unicode white space become one blank; none at the ends."""
-    return trim_u(F.regexp_replace(as_column(c), r"(?U)\s+", " "))
+    return F.btrim(F.regexp_replace(as_column(c), r"(?U)\s+", " "))
 
 
 def words_length(c: Column | str) -> Column:
     """Sum over words of their UTF-8 bytes plus one."""
-    x = collapse(c)
-    return F.when(x == "", 0).otherwise(F.octet_length(x) + 1).cast("long")
+    n = F.octet_length(collapse(c))
+    return (n + F.least(n, F.lit(1))).cast("long")
 
 
 def pick_link(links: Column | str) -> Column:
@@ -109,9 +112,14 @@ TIME_PATTERNS = [
 
 
 def parse_time(c: Column | str) -> Column:
-    """A feed's date by the first pattern that fits; null if none does.  Zone names count with their real offset."""
+    """A feed's date by the first pattern that fits; null if none does.  Zone names count with their real offset, years of two digits from 1969 on."""
     x = F.regexp_replace(trim_u(c), r"^[A-Za-z]{3},\s*", "")
-    return F.coalesce(*(F.try_to_timestamp(x, F.lit(p)) for p in TIME_PATTERNS))
+
+    def by(pattern: str) -> Column:
+        at = F.try_to_timestamp(x, F.lit(pattern))
+        return F.when(F.year(at) >= 2069, at - F.make_ym_interval(F.lit(100))).otherwise(at) if " yy " in pattern else at
+
+    return F.coalesce(*map(by, TIME_PATTERNS))
 
 
 def category_names(categories: Column | str) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.functions.scalars import blank_to_null, bool_int, empty_to_null, field, float64, int64, stamp_time, topic_names, trim_u
+from tidewell.functions.scalars import bool_int, empty_to_null, float64, int64, stamp_time, topic_names, trim_blanks, trim_u
 
 # Places of the columns in the tab-separated event files.  n: integer, d: double, t: text, s: 14-digit stamp as well.
 EVENT_FIELDS = 61
@@ -32,44 +33,79 @@ MENTIONS = [
 TSV_LINE = 16 << 20
 
 
-def zip_lines(spark: SparkSession, path: str) -> DataFrame:
-    """source_file and line of all members of zip files; empty lines are left out.  Archives are read member by member, line by line."""
+def faults(z: zipfile.ZipFile) -> str | None:
+    """What is wrong with an archive: a member that doesn't unpack or fails its checksum, or a line that is too long; None for a good one.
+
+    All is unpacked once, a piece at a time.
+    """
+    for member in z.infolist():
+        with z.open(member) as f:
+            open_line = 0
+            while part := f.read(1 << 20):
+                *ended, rest = part.split(b"\n")
+                if max(open_line + len(ended[0]) if ended else open_line + len(rest), *map(len, ended), len(rest)) > TSV_LINE:
+                    return f"a line of over {TSV_LINE} bytes"
+                open_line = len(rest) if ended else open_line + len(rest)
+    return None
+
+
+def zip_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """source_file, line and error for all members of zip files; empty lines are left out.
+
+    A file that can't be read, or with a line of over TSV_LINE bytes, gives one row, with error and no line, and no others.
+    Archives are read member by member, line by line.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
+    names = ["source_file", "line", "error"]
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for name, data in zip(b.column(0).to_pylist(), b.column(1)):
-                with zipfile.ZipFile(io.BytesIO(data.as_py())) as z:
-                    for member in z.infolist():
-                        with z.open(member) as f:
-                            while part := f.readlines(4 << 20):
-                                rows = [x.rstrip(b"\r\n").decode(errors="replace") for x in part]
-                                if any(len(x) > TSV_LINE for x in part):
-                                    raise ValueError(f"{name}: a line of over {TSV_LINE} bytes")
-                                rows = [x for x in rows if x.strip()]
-                                yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows), pa.string()), pa.array(rows, pa.string())], names=["source_file", "line"])
+                wrong = None
+                try:
+                    z = zipfile.ZipFile(io.BytesIO(data.as_py()))
+                    wrong = faults(z)
+                except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError, OSError, ValueError) as e:
+                    wrong = f"{type(e).__name__}: {e}"
+                if wrong:
+                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([None], pa.string()), pa.array([wrong])], names=names)
+                    continue
+                for member in z.infolist():
+                    with z.open(member) as f:
+                        while part := f.readlines(4 << 20):
+                            rows = [x.rstrip(b"\r\n").decode(errors="replace") for x in part if x.strip()]
+                            yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows), pa.string()), pa.array(rows, pa.string()), pa.nulls(len(rows), pa.string())], names=names)
+
+    return files.mapInArrow(lines, "source_file string, line string, error string")
 
-    return files.mapInArrow(lines, "source_file string, line string")
+
+def line_errors(lines: DataFrame) -> DataFrame:
+    """error and context (the file) of the files of zip_lines() that can't be read."""
+    return lines.filter("error is not null").select("error", F.concat(F.lit("ingest "), F.col("source_file")).alias("context"))
 
 
 def typed_fields(cols: str, layout: list[tuple[str, int, str]]) -> list[Column]:
-    kinds = {"n": int64, "d": float64, "t": blank_to_null, "s": lambda c: stamp_time(trim_u(c))}
+    """Columns of an array of trimmed fields."""
+    kinds = {"n": lambda c: int64(c, trim=False), "d": lambda c: float64(c, trim=False), "t": empty_to_null, "s": stamp_time}
     return [kinds[kind](F.get(cols, F.lit(i))).alias(name) for name, i, kind in layout]
 
 
-def _tsv(lines: DataFrame) -> DataFrame:
-    return lines.withColumn("cols", F.split("line", "\t", -1))
+def _tsv(lines: DataFrame, layout: list[tuple[str, int, str]], n: int) -> DataFrame:
+    """Lines of n fields or more; the fields up to the last one of the layout are trimmed, each once."""
+    cols = F.split("line", "\t", -1)
+    rows = lines.withColumn("cols", cols).filter(F.size("cols") >= n)
+    return rows.withColumn("cols", F.transform(F.slice("cols", 1, max(i for _, i, _ in layout) + 1), trim_blanks))
 
 
 def event_rows(lines: DataFrame) -> DataFrame:
     """Events of lines (source_file, line): at least 61 fields and a whole-number id."""
-    rows = _tsv(lines).filter(F.size("cols") >= EVENT_FIELDS)
+    rows = _tsv(lines, EVENTS, EVENT_FIELDS)
     return rows.select(*typed_fields("cols", EVENTS), "source_file").filter("global_event_id is not null")
 
 
 def mention_rows(lines: DataFrame) -> DataFrame:
     """Mentions of lines: at least 14 fields, a whole-number id and an identifier."""
-    rows = _tsv(lines).filter((F.size("cols") >= MENTION_FIELDS) & (field("cols", 5) != ""))
+    rows = _tsv(lines, MENTIONS, MENTION_FIELDS).filter(F.get("cols", F.lit(5)) != "")
     return rows.select(*typed_fields("cols", MENTIONS), "source_file").filter("global_event_id is not null")
 
 
@@ -102,15 +138,19 @@ def cdx_rows(lines: DataFrame, crawl: str) -> DataFrame:
     return rows.select(F.lit(crawl).alias("crawl"), "surt", F.col("m.url").alias("url"), "stamp", stamp_time("stamp").alias("fetched_at"), n("status"), t("mime"), t("mime-detected", "mime_detected"), t("charset"), t("languages"), t("digest"), n("length"), n("offset"), t("filename"))
 
 
-def read_cdx(spark: SparkSession, path: str, crawl: str) -> DataFrame:
+def read_cdx(spark: SparkSession, path: str | list[str], crawl: str) -> DataFrame:
     """Index shards (gzip text, a task for each shard) with their file names."""
     return cdx_rows(spark.read.text(path), crawl)
 
 
-def shard_lines(spark: SparkSession, path: str) -> DataFrame:
+def shard_of(path: Column) -> Column:
+    """A shard's name from its file's path."""
+    return F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"\.gz$", "")
+
+
+def shard_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """shard (file name) and lines: all lines, malformed ones included."""
-    name = F.regexp_replace(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1), r"\.gz$", "")
-    return spark.read.text(path).select(name.alias("shard")).groupBy("shard").agg(F.count("*").alias("lines"))
+    return spark.read.text(path).select(shard_of(F.col("_metadata.file_path")).alias("shard")).groupBy("shard").agg(F.count("*").alias("lines"))
 
 
 def shard_name(n: int) -> str:
@@ -132,6 +172,11 @@ NODE = (
 )
 
 
+def page_errors(pages: DataFrame, schema: str) -> DataFrame:
+    """error and context (column path) of JSON pages (column value) that aren't what the schema says."""
+    return pages.filter(F.from_json("value", schema).isNull() & F.col("value").isNotNull()).select(F.lit("malformed JSON page").alias("error"), F.col("path").alias("context"))
+
+
 def repository_rows(json: DataFrame) -> DataFrame:
     """Repositories of JSON pages (column value: an array)."""
     r = json.select(F.explode(F.from_json("value", array_of(REPOSITORY))).alias("r"))

@@ -168,9 +168,12 @@ def fetch_records(targets: DataFrame, base: str) -> DataFrame:
 
 
 def page_rows(fetched: DataFrame, store_text: bool = False, text_limit: int = 4096, collect_links: bool = True) -> DataFrame:
-    """Rows of commoncrawl_pages, and error for those that failed (null for good ones)."""
+    """Rows of commoncrawl_pages, and error for those that failed (null for good ones).
+
+    Bytes of a body that aren't UTF-8 count as replacement characters.
+    """
     rows = with_responses(fetched)
-    rows = rows.withColumn("doc", extract_html(F.decode("http.body", "UTF-8"), "target_uri", collect_links, text_limit))
+    rows = rows.withColumn("doc", extract_html(F.make_valid_utf8(F.col("http.body").cast("string")), "target_uri", collect_links, text_limit))
     t = lambda c, a: empty_to_null(F.col(c)).alias(a)
     return rows.select(
         "index_id", t("crawl", "crawl"), first_non_empty("target_uri", "index_url").alias("url"), t("stamp", "stamp"), F.col("http.status").alias("status"), t("http.content_type", "content_type"),
