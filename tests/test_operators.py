@@ -52,7 +52,8 @@ def test_fail_policy(spark):
 
 def test_ignore_counts_and_batches(spark, tmp_path):
     store = Catalog(spark, str(tmp_path))
-    assert store.init() == len(store.tables) and store.init() == 0
+    assert store.init() == 7 and store.init() == 0
+    assert [(r.version, r.name) for r in store.table("_migrations").orderBy("version").collect()][::6] == [(1, "meta"), (7, "landed_files")]
     rows = spark.range(2500).selectExpr("id % 2000 as seq", "'p' as payload", f"id as {merge.ORDINAL}")
     assert store.commit({"test_records": rows}, {"test": "{}"}, ("s", 0))["test_records"] == {"fetched": 2500, "inserted": 2000, "duplicates": 500}
     assert store.commit({"test_records": rows}, batch=("s", 0)) == {}
@@ -75,6 +76,21 @@ def test_runs(spark, tmp_path):
     assert latest["test"].id == 4 and json.loads(latest["test"].state)["seq"] == 100
 
 
+def test_a_run_stands_as_running_until_it_ends(spark, tmp_path, monkeypatch):
+    store = Catalog(spark, str(tmp_path))
+    seen = []
+
+    def interrupted(ctx):
+        seen.append([(r.id, r.source, r.status, r.finished_at) for r in store.table("_runs").collect()])
+        raise KeyboardInterrupt
+
+    monkeypatch.setitem(runs.SOURCES, "test", (interrupted, "stops"))
+    row = runs.run(store, "test")
+    assert seen == [[(1, "test", "running", None)]] and row["status"] == "cancelled"
+    assert [(r.status, r.finished_at is None) for r in store.table("_runs").collect()] == [("cancelled", False)]
+    assert store.state("test") == "" and store.start_run("rss", row["started_at"]) == 2
+
+
 def test_zipped_events(spark, tmp_path):
     landed = tmp_path / "landed"
     landed.mkdir()
@@ -105,6 +121,9 @@ def test_feed_text():
     assert raw_feed("<?xml version='1.0' encoding='ISO-8859-1'?><rss><channel><title>é</title></channel></rss>".encode("latin-1"))["channel"]["title"] == "é"
     assert raw_feed(b"<?xml version='1.0' encoding='koi8-r'?><rss/>")["error"]
     assert raw_feed(None)["error"] and raw_feed(b"")["error"]
+    loose = raw_feed(b"<rss version=2.0><channel><title>a<br>b</title><item><title>x<b>y</title></item></channel></rss>")
+    assert (loose["error"], loose["channel"]["title"], loose["items"][0]["title"]) == (None, "a", "x")
+    assert all(raw_feed(x)["error"] for x in (b"<rss><channel><title>x", b"<a></b></a>", b"no feed"))
     assert raw_feed(b"<rss><channel><title>a & b&nbsp;<![CDATA[<c>]]></title></channel></rss>")["channel"]["title"] == "a & b\xa0<c>"
 
 
@@ -158,7 +177,7 @@ def test_export(spark, tmp_path):
             export_rows(spark, **bad)
 
 
-def test_command_line(spark, tmp_path, capsys):
+def test_command_line(spark, tmp_path, capsys, monkeypatch):
     from tidewell.__main__ import main
 
     settings = tmp_path / "c.yaml"
@@ -168,5 +187,8 @@ def test_command_line(spark, tmp_path, capsys):
     assert main([*common, "export", "--table", "test_records", "--order-by", "seq", "--limit", "2"]) == 0
     assert main([*common, "export", "--query", "select max(seq) as m from test_records"]) == 0 and main([*common, "export", "--table", "none"]) == 2
     assert main([*common, "status"]) == 0 and main([*common, "sources"]) == 0
+    assert main([*common, "run", "test", "--since", "soon"]) == 2 and main([*common, "export", "--query", "select nothing"]) == 2
+    monkeypatch.setitem(runs.SOURCES, "test", (lambda ctx: (_ for _ in ()).throw(KeyboardInterrupt), "stops"))
+    assert main([*common, "run", "test", "rss"]) == 130
     out = capsys.readouterr().out
     assert "test: completed, 5 rows" in out and '{"m":4}' in out and "rss\tdisabled" in out

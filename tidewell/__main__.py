@@ -7,10 +7,12 @@ import os
 import sys
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from tidewell.operators.catalog import Catalog
 from tidewell.operators.export import export_rows, json_lines, stream_json_lines
+from tidewell.operators.options import time_flag
 from tidewell.operators.runs import SOURCES, run, status
 from tidewell.sources import collectors
 
@@ -43,7 +45,7 @@ def parser() -> argparse.ArgumentParser:
     r = sub.add_parser("run")
     r.add_argument("sources", nargs="+", help="names, or all")
     r.add_argument("--max-records", type=int, default=0)
-    r.add_argument("--since")
+    r.add_argument("--since", help="so long ago (36h), RFC 3339, date and time, or date")
     r.add_argument("--until")
     r.add_argument("--no-resume", action="store_true")
     r.add_argument("--reset", action="store_true", help="forget the saved state first; rows stay")
@@ -66,6 +68,12 @@ def run_sources(store: Catalog, args: argparse.Namespace, sections: dict[str, An
     if unknown := sorted(set(names) - set(SOURCES)):
         print(f"unknown sources: {', '.join(unknown)}", file=sys.stderr)
         return 2
+    try:
+        for k in ("since", "until"):
+            time_flag(getattr(args, k))
+    except ValueError as e:
+        print(e, file=sys.stderr)
+        return 2
     failed = False
     for name in names:
         if args.reset:
@@ -74,6 +82,8 @@ def run_sources(store: Catalog, args: argparse.Namespace, sections: dict[str, An
         row = run(store, name, options, args.max_records, not args.no_resume)
         failed |= row["status"] == "failed"
         print(f"{name}: {row['status']}, {row['records']:,} rows, {row['duplicates']:,} duplicates, {row['errors']:,} errors")
+        if row["status"] == "cancelled":  # no other source starts
+            return 130
     return 1 if failed else 0
 
 
@@ -90,7 +100,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("tidewell").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     store = Catalog(spark, args.store)
     if args.command == "init":
-        print(f"{store.init()} tables declared")
+        print(f"{store.init()} migrations applied")
     elif args.command == "status":
         for r in status(store).toLocalIterator():
             print(f"{r.source}\trun {r.id}\t{r.status}\t{r.records:,} rows\t{r.state}")
@@ -101,7 +111,7 @@ def main(argv: list[str] | None = None) -> int:
         try:
             rows = export_rows(spark, args.query, args.table, args.where, args.order_by, args.limit)
             stream_json_lines(json_lines(rows, [c for c in args.json_columns.split(",") if c], args.detect_json), args.output, args.progress)
-        except ValueError as e:
+        except (ValueError, AnalysisException) as e:
             print(e, file=sys.stderr)
             return 2
         except BrokenPipeError:

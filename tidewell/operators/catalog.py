@@ -9,22 +9,27 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 from functools import reduce
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.operators.merge import POLICIES
-from tidewell.plans.schemas import TABLES, Table
+from tidewell.operators.merge import ORDINAL, POLICIES, with_ordinal
+from tidewell.plans.schemas import MIGRATIONS, TABLES, Table
 
 
 @dataclass
 class Manifest:
     number: int = 0
     tables: dict[str, list[str]] = field(default_factory=dict)
-    #: Saved state (JSON text) and last batch of each source.
+    #: Saved state (JSON text), when it was saved, and last batch of each source.
     states: dict[str, str] = field(default_factory=dict)
+    saved: dict[str, str] = field(default_factory=dict)
     batches: dict[str, int] = field(default_factory=dict)
+    #: Runs that have started and not ended: id to source and start.
+    running: dict[str, list[str]] = field(default_factory=dict)
 
 
 class Catalog:
@@ -34,6 +39,7 @@ class Catalog:
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         self._text = jvm.org.apache.commons.io.IOUtils
+        self._staged: list[str] = []
 
     def _manifests(self) -> list[str]:
         folder = self._path(f"{self.base}/_manifest")
@@ -63,18 +69,48 @@ class Catalog:
             raise RuntimeError(f"another writer committed {m.number}")
 
     def init(self) -> int:
-        """Declares tables that aren't yet; returns how many were new."""
+        """Applies the migrations that aren't yet, each once; returns how many.  Other tables are declared with them."""
         m = self.manifest()
-        new = [t for t in self.tables if t not in m.tables]
-        if new:
+        done = {r.version for r in self.table("_migrations", m).select("version").collect()} if "_migrations" in m.tables else set()
+        known = [(v, n, [t for t in names if t in self.tables]) for v, n, names in MIGRATIONS]
+        todo = [x for x in known if x[0] not in done and x[2]]
+        rest = [t for t in self.tables if not any(t in names for *_, names in known)]
+        new = [t for names in [*(x[2] for x in todo), rest] for t in names if t not in m.tables]
+        if todo or new:
             m.tables |= {t: [] for t in new}
+            if todo and "_migrations" in self.tables:
+                now = datetime.now(timezone.utc)
+                rows = self.spark.createDataFrame([(v, n, now) for v, n, _ in todo], self.tables["_migrations"].schema)
+                self._append("_migrations", rows, m)
             m.number += 1
             self._publish(m)
-        return len(new)
+        return len(todo)
+
+    def _append(self, name: str, rows: DataFrame, m: Manifest) -> str:
+        folder = f"{name}/{uuid.uuid4().hex}"
+        rows.write.parquet(f"{self.base}/{folder}")
+        m.tables[name] = [*m.tables.get(name, []), folder]
+        return folder
+
+    def stage(self, df: DataFrame) -> DataFrame:
+        """df written once and read again: what is counted, merged and looked at is then the same rows.  Kept until the next commit."""
+        path = f"{self.base}/_staging/{uuid.uuid4().hex}"
+        self._staged.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def table(self, name: str, m: Manifest | None = None) -> DataFrame:
         schema = self.tables[name].schema
-        folders = (m or self.manifest()).tables.get(name, [])
+        m = m or self.manifest()
+        if name == "_source_state":
+            rows = [(k, v, datetime.fromisoformat(m.saved[k]) if k in m.saved else None) for k, v in m.states.items()]
+            return self.spark.createDataFrame(rows, schema)
+        folders = m.tables.get(name, [])
+        if name == "_runs" and m.running:
+            rows = [(int(k), source, datetime.fromisoformat(at), "running") for k, (source, at) in m.running.items()]
+            open_runs = self.spark.createDataFrame(rows, "id long, source string, started_at timestamp, status string")
+            done = self.spark.read.schema(schema).parquet(*(f"{self.base}/{x}" for x in folders)) if folders else self.spark.createDataFrame([], schema)
+            return done.unionByName(open_runs, allowMissingColumns=True)
         return self.spark.read.schema(schema).parquet(*(f"{self.base}/{x}" for x in folders)) if folders else self.spark.createDataFrame([], schema)
 
     def state(self, source: str) -> str:
@@ -82,10 +118,27 @@ class Catalog:
 
     def clear_state(self, source: str) -> None:
         m = self.manifest()
+        m.saved.pop(source, None)
         if m.states.pop(source, None) is not None:
             m.number += 1
             self._publish(m)
 
+    def start_run(self, source: str, at: datetime) -> int:
+        """The id of a new run, which stands in _runs as running until finish_run()."""
+        m = self.manifest()
+        last = self.table("_runs", m).agg(F.max("id")).first()[0] or 0
+        m.running[str(last + 1)] = [source, at.isoformat()]
+        m.number += 1
+        self._publish(m)
+        return last + 1
+
+    def finish_run(self, row: dict[str, Any]) -> None:
+        m, schema = self.manifest(), self.tables["_runs"].schema
+        m.running.pop(str(row["id"]), None)
+        self._append("_runs", self.spark.createDataFrame([tuple(row[c] for c in schema.names)], schema), m)
+        m.number += 1
+        self._publish(m)
+
     def register(self) -> None:
         """Temporary views of all tables, for SQL."""
         m = self.manifest()
@@ -104,34 +157,35 @@ class Catalog:
         counts: dict[str, dict[str, int]] = {}
         for name, df in rows.items():
             spec = self.tables[name]
+            df = self.stage(with_ordinal(self._shaped(df, spec)))  # parsed once, whatever is asked of it below
             fetched = df.count()
             if not fetched:
                 counts[name] = {"fetched": 0, "inserted": 0, "duplicates": 0}
                 continue
-            merged = POLICIES[spec.policy](self.table(name, m), self._shaped(df, spec), spec.keys)
-            folder = f"{name}/{uuid.uuid4().hex}"
-            merged.appended.write.parquet(f"{self.base}/{folder}")
-            inserted = self.spark.read.schema(spec.schema).parquet(f"{self.base}/{folder}").count()
-            folders = m.tables.get(name, [])
+            before, folders = self.table(name, m), m.tables.get(name, [])
+            merged = POLICIES[spec.policy](before, df, spec.keys)
+            added = self.spark.read.schema(spec.schema).parquet(f"{self.base}/{self._append(name, merged.appended, m)}")
+            inserted = added.count()
             if spec.policy == "replace" and folders:
                 kept = f"{name}/{uuid.uuid4().hex}"
-                added = self.spark.read.schema(spec.schema).parquet(f"{self.base}/{folder}")
-                reduce(lambda t, k: t.join(added.select(*k), k, "left_anti"), spec.keys, self.table(name, m)).select(*spec.schema.names).write.parquet(f"{self.base}/{kept}")
-                folders = [kept]
-            m.tables[name] = [*folders, folder]
+                reduce(lambda t, k: t.join(added.select(*k), k, "left_anti"), spec.keys, before).select(*spec.schema.names).write.parquet(f"{self.base}/{kept}")
+                m.tables[name] = [kept, m.tables[name][-1]]
             counts[name] = {"fetched": fetched, "inserted": inserted, "duplicates": 0 if spec.policy == "replace" else fetched - inserted}
         m.states |= states or {}
+        m.saved |= dict.fromkeys(states or {}, datetime.now(timezone.utc).isoformat())
         if batch:
             m.batches[batch[0]] = batch[1]
         m.number += 1
         self._publish(m)
+        while self._staged:
+            self._fs.delete(self._path(self._staged.pop()), True)
         return counts
 
     @staticmethod
     def _shaped(df: DataFrame, spec: Table) -> DataFrame:
         """The table's columns in order and type; columns that df lacks are null, an ordinal stays for the merge."""
         have = set(df.columns)
-        extra = [c for c in ("tw_ordinal",) if c in have]
+        extra = [c for c in (ORDINAL,) if c in have]
         return df.select(*(F.col(f.name).cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in spec.schema.fields), *extra)
 
     def compact(self, name: str) -> None:

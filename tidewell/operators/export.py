@@ -29,7 +29,8 @@ def export_rows(spark: SparkSession, query: str | None = None, table: str | None
         if not NAME.match(table):
             raise ValueError(f"invalid table name {table!r}")
         if not spark.catalog.tableExists(table):
-            raise ValueError(f"no table {table!r}")
+            known = sorted(t.name for t in spark.catalog.listTables())
+            raise ValueError(f"no table {table!r}; there are: {', '.join(known) or 'none'}")
         rows = spark.table(f"`{table}`")
         rows = rows.where(where) if where else rows
         rows = spark.sql(f"SELECT * FROM {{rows}} ORDER BY {order_by}", rows=rows) if order_by else rows
@@ -78,7 +79,7 @@ def json_lines(rows: DataFrame, json_columns: list[str] = (), detect_json: bool
             out = []
             for values in zip(*(c.to_pylist() for c in b.columns)):
                 row = {k: json_column(k, v, k in strict) if k in strict or detect_json else v for k, v in zip(names, values)}
-                out.append(json.dumps({k: plain(v) for k, v in row.items()}, ensure_ascii=False, allow_nan=False))
+                out.append(json.dumps({k: plain(v) for k, v in row.items()}, ensure_ascii=False, allow_nan=False, separators=(",", ":")))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
 
     return rows.mapInArrow(convert, "value string")

@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.plans.shared import shared_dir
+
 #: Order of the rows of a batch: a column that callers may give; added where they don't.
 ORDINAL = "tw_ordinal"
 
@@ -45,13 +47,14 @@ def without(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(table.select(*keys).distinct(), keys, "left_anti")
 
 
-def first_of_two_keys(batch: DataFrame, keys: list[list[str]], checkpoint: bool = True) -> DataFrame:
+def first_of_two_keys(batch: DataFrame, keys: list[list[str]]) -> DataFrame:
     """Rows that a pass in order would insert under several unique keys.
 
     In each round rows that come first in all of their keys are taken, and rows that conflict with them go;
     the rest goes on.  That gives what one pass row by row would, in as many rounds as conflicts are chained.
+    Each round is checkpointed, so plans don't grow from round to round.
     """
-    spark = batch.sparkSession
+    shared_dir(batch.sparkSession)
     left, taken = batch, []
     while True:
         marked = left
@@ -59,16 +62,13 @@ def first_of_two_keys(batch: DataFrame, keys: list[list[str]], checkpoint: bool
             first = left.filter(complete(k)).groupBy(*k).agg(F.min(ORDINAL).alias(f"tw_first{i}"))
             marked = marked.join(first, k, "left")
         wins = reduce(Column.__and__, (F.coalesce(F.col(f"tw_first{i}") == F.col(ORDINAL), F.lit(True)) for i in range(len(keys))))
-        marked = marked.withColumn("tw_wins", wins).select(*batch.columns, "tw_wins")
-        if checkpoint and spark.sparkContext.getCheckpointDir():
-            marked = marked.checkpoint()
+        marked = marked.withColumn("tw_wins", wins).select(*batch.columns, "tw_wins").checkpoint()
         won = marked.filter("tw_wins").drop("tw_wins")
         rest = marked.filter("not tw_wins").drop("tw_wins")
         taken.append(won)
         for k in keys:
             rest = without(rest, won, k)
-        if checkpoint and spark.sparkContext.getCheckpointDir():
-            rest = rest.checkpoint()
+        rest = rest.checkpoint()
         if rest.isEmpty():
             return reduce(DataFrame.unionByName, taken)
         left = rest

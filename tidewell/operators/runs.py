@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from tidewell.operators.catalog import Catalog
 from tidewell.operators.merge import ORDINAL, with_ordinal
+from tidewell.operators.options import Options
 from tidewell.operators.sweeps import latest_runs
 
 
@@ -31,8 +32,9 @@ class Context:
     spark: SparkSession
     catalog: Catalog
     state: dict[str, Any]
-    options: dict[str, Any] = field(default_factory=dict)
+    options: Options = field(default_factory=Options)
     run_id: int = 0
+    started: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
 
 
 Collect = Callable[[Context], Batch]
@@ -65,31 +67,36 @@ def within_budget(rows: dict[str, DataFrame], most: int) -> dict[str, DataFrame]
 
 
 def run(catalog: Catalog, source: str, options: dict[str, Any] | None = None, max_records: int = 0, resume: bool = True) -> dict[str, Any]:
-    """One run of a source: its rows, state, errors and the run's own row are committed together.  Returns the run's row."""
+    """One run of a source: its rows, state, errors and the files it read are committed together.  Returns the run's row.
+
+    The row stands there as `running` from the start, so a crash leaves it so; at the end it is `completed`, `failed` or
+    `cancelled` (by an interrupt; nothing of the run is committed then, and the next one starts where this did).
+    requests and bytes count the landed files that the run read.
+    """
     spark = catalog.spark
     started = datetime.now(timezone.utc)
-    run_id = (catalog.table("_runs").agg(F.max("id")).first()[0] or 0) + 1
+    run_id = catalog.start_run(source, started)
     state = json.loads(catalog.state(source) or "{}") if resume else {}
-    row = {"id": run_id, "source": source, "started_at": started, "finished_at": started, "status": "completed", "records": 0, "errors": 0, "duplicates": 0, "requests": 0, "bytes": 0}
-    schema = catalog.tables["_runs"].schema
+    row = {"id": run_id, "source": source, "started_at": started, "finished_at": None, "status": "running", "records": 0, "errors": 0, "duplicates": 0, "requests": 0, "bytes": 0}
     try:
-        batch = SOURCES[source][0](Context(spark, catalog, state, options or {}, run_id))
+        batch = SOURCES[source][0](Context(spark, catalog, state, Options(options or {}), run_id, started))
         now = F.lit(started).cast(T.TimestampType())
         rows = {t: df.withColumns({c: v for c, v in (("collected_at", now), ("run_id", F.lit(run_id))) if c not in df.columns and c in catalog.tables[t].schema.names}) for t, df in batch.rows.items()}
         rows = within_budget(rows, max_records)
         if batch.errors is not None:
             rows["_errors"] = batch.errors.select(F.lit(run_id).alias("run_id"), F.lit(source).alias("source"), now.alias("occurred_at"), "error", "context")
+        read = rows["_landed_files"].agg(F.count("*"), F.sum("bytes")).first() if "_landed_files" in rows else (0, 0)
         saved = json.dumps(batch.state)
         counts = catalog.commit(rows, {source: saved})
         data = {t: c for t, c in counts.items() if not t.startswith("_")}
-        row |= {"records": sum(c["inserted"] for c in data.values()), "duplicates": sum(c["duplicates"] for c in data.values()), "errors": counts.get("_errors", {}).get("inserted", 0)}
+        row |= {"status": "completed", "records": sum(c["inserted"] for c in data.values()), "duplicates": sum(c["duplicates"] for c in data.values()), "errors": counts.get("_errors", {}).get("inserted", 0), "requests": read[0], "bytes": read[1] or 0}
     except KeyboardInterrupt:
         row["status"] = "cancelled"
     except Exception as e:
         row |= {"status": "failed", "errors": 1}
         catalog.commit({"_errors": spark.createDataFrame([(run_id, source, started, str(e)[:4000], None)], catalog.tables["_errors"].schema)})
     row["finished_at"] = datetime.now(timezone.utc)
-    catalog.commit({"_runs": spark.createDataFrame([tuple(row[c] for c in schema.names)], schema)})
+    catalog.finish_run(row)
     return row
 
 

@@ -261,7 +261,7 @@ SELECT doc_id, coalesce(sum(strlen(w) + 1), 0)::BIGINT AS text_length
 FROM (SELECT doc_id, unnest(CASE WHEN coalesce(text, '') = '' THEN [''] ELSE string_split_regex(text, '[\s\x0B\x{85}\x{A0}\p{Z}]+') END) AS w FROM documents) WHERE w <> '' GROUP BY doc_id
 """)
 def text_byte_length(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return t(spark, sf_dir, "documents").select("doc_id", scalars.words_length("text").alias("text_length")).filter("text_length > 0")
+    return t(spark, sf_dir, "documents").filter(F.col("text").rlike(r"(?U)\S")).select("doc_id", scalars.words_length("text").alias("text_length"))
 
 
 @query("SELECT range AS seq, 'synthetic record ' || range AS payload, sha256('synthetic record ' || range) AS hash FROM range(50, 1050)")
@@ -421,13 +421,13 @@ def export_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- runs and streams -------------------------------------------------------------------------------------------------
 
 
-def _store(spark: SparkSession, tables: dict[str, Table] = TABLES) -> Catalog:
+def store_of(spark: SparkSession, tables: dict[str, Table] = TABLES) -> Catalog:
     return Catalog(spark, f"{shared_dir(spark)}/store-{uuid.uuid4().hex}", tables)
 
 
 @query("SELECT range AS seq, sha256('synthetic record ' || range) AS hash, (1 + range // 1000)::BIGINT AS run_id FROM range(2000)")
 def run_and_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = _store(spark)
+    store = store_of(spark)
     for _ in range(2):
         run(store, "test", {"count": 1000})
     return store.table("test_records").select("seq", "hash", "run_id")
@@ -438,7 +438,7 @@ SEEN = {"seen": Table("seen", "user_id long, event_type string", [["user_id", "e
 
 @query("SELECT DISTINCT user_id, event_type FROM events")
 def stream_dedup_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = _store(spark, SEEN)
+    store = store_of(spark, SEEN)
     events = t(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
     for part in ("event_id % 3 <> 0", "event_id % 3 = 0", "false"):  # each run takes what landed since the last
         events.filter(part).drop("event_id").write.mode("append").parquet(f"{store.base}/landed")

@@ -77,4 +77,11 @@ _TABLES = [
         "ignore",
     ),
 ]
-TABLES: dict[str, Table] = {t.name: t for t in _TABLES}
+#: Landed files that sources have read, each by its path and time.
+_LANDED = Table("_landed_files", "source string, path string, modified timestamp, bytes long, run_id long", [["source", "path", "modified"]], "ignore")
+TABLES: dict[str, Table] = {t.name: t for t in [*_TABLES, _LANDED]}
+# Names of the steps of the store's layout, in order; the first has the tables named _*, others those of their prefix.
+_STEPS = ["meta", "test", "rss", "gdelt", "github", "commoncrawl"]
+#: Version, name and tables of each step; init() applies those that it hasn't yet.
+MIGRATIONS: list[tuple[int, str, list[str]]] = [(i, n, [t.name for t in _TABLES if t.name.startswith("_" if n == "meta" else f"{n}_")]) for i, n in enumerate(_STEPS, 1)]
+MIGRATIONS.append((len(MIGRATIONS) + 1, "landed_files", [_LANDED.name]))

@@ -1,86 +1,204 @@
-"""Sources over landed files: each reads what its state hasn't seen and says where it came to."""
+"""Sources over landed files: each reads what it hasn't read yet and says where it came to.
+
+Files that were read are known by path and time (table _landed_files), so a file is read whenever it lands, and again
+when it changes.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions.feeds import feed_errors, feed_heads, feed_items, feed_rows
 from tidewell.operators.merge import ORDINAL
+from tidewell.operators.options import stamp_flag
 from tidewell.operators.runs import Batch, Context, register
-from tidewell.operators.sweeps import file_refs, not_collected, page_targets, select_files
+from tidewell.operators.sweeps import contiguous_cursor, file_refs, not_collected, page_targets, refresh_targets, select_files
 from tidewell.sources import files, warc
 
+LANDED = "source string, path string, modified timestamp, bytes long"
+
+
+def listed(ctx: Context, path: str) -> DataFrame:
+    """path, modified and bytes of the files of a folder.  Contents aren't read."""
+    found = ctx.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return found.select("path", F.col("modificationTime").alias("modified"), F.col("length").alias("bytes"))
+
+
+def there(ctx: Context, path: str) -> bool:
+    at = ctx.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(ctx.spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def unread(ctx: Context, source: str, path: str, most: int = 0) -> tuple[list[str], DataFrame]:
+    """Paths of a folder's files that the source hasn't read, in order (the first `most` of them if that isn't 0), and their rows of _landed_files.
+
+    The driver holds this list as it holds the listing of any folder that Spark reads.
+    """
+    seen = ctx.catalog.table("_landed_files").filter(F.col("source") == source)
+    new = listed(ctx, path).join(seen, ["path", "modified"], "left_anti").orderBy("path")
+    rows = (new.limit(most) if most else new).select(F.lit(source).alias("source"), "path", "modified", "bytes").collect()
+    return [r.path for r in rows], ctx.spark.createDataFrame(rows, LANDED)
 
-def landed(ctx: Context, path: str) -> DataFrame:
-    """path, length and content of the files of a folder."""
-    return ctx.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+
+def pages_of(ctx: Context, paths: list[str]) -> DataFrame:
+    """value (all of a text file) and path."""
+    return ctx.spark.read.text(paths, wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
+
+
+def together(parts: list[DataFrame]) -> DataFrame | None:
+    return reduce(DataFrame.unionByName, parts) if parts else None
 
 
 @register("test", "synthetic records")
 def test_records(ctx: Context) -> Batch:
-    start, count = ctx.state.get("seq", 0), int(ctx.options.get("count", 1000))
+    start, count = ctx.state.get("seq", 0), ctx.options.whole("count", 1000)
     return Batch({"test_records": files.synthetic(ctx.spark, start, count).withColumn(ORDINAL, F.col("seq"))}, {"seq": start + count})
 
 
 @register("rss", "syndication feeds")
 def feeds(ctx: Context) -> Batch:
-    """option path: landed feeds; a file is read again when its modification time changes."""
-    found = landed(ctx, ctx.options["path"])
-    last = ctx.state.get("modified", "")
-    new = found.withColumn("at", F.date_format("modificationTime", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).filter(F.col("at") > last)
-    newest = new.agg(F.max("at")).first()[0] or last
-    parsed = feed_rows(new.select(F.col("path").alias("url"), "content"))
+    """options path (landed feeds), feeds and feeds_file (which of them to read, by file name; all without these)."""
+    paths, landed = unread(ctx, "rss", ctx.options.text("path"))
+    if "feeds" in ctx.options or "feeds_file" in ctx.options:
+        last = lambda c: F.element_at(F.split(c, "/"), -1)
+        wanted = files.feed_list(ctx.spark, ctx.options.texts("feeds"), ctx.options.text("feeds_file")).select(last(F.col("url")).alias("name"))
+        landed = landed.withColumn("name", last(F.col("path"))).join(wanted, "name", "left_semi").drop("name")
+        paths = [r.path for r in landed.select("path").orderBy("path").collect()]
+    if not paths:
+        return Batch({}, ctx.state)
+    content = ctx.spark.read.format("binaryFile").load(paths).select(F.col("path").alias("url"), "content")
+    parsed = ctx.catalog.stage(feed_rows(content))
     now = F.current_timestamp()
     heads = feed_heads(parsed).withColumns({"last_status": F.lit(200), "last_fetched_at": now, "updated_at": now})
-    return Batch({"rss_feeds": heads, "rss_items": feed_items(parsed)}, {"modified": newest}, feed_errors(parsed))
+    return Batch({"rss_feeds": heads, "rss_items": feed_items(parsed), "_landed_files": landed}, ctx.state, feed_errors(parsed))
 
 
 @register("gdelt", "events and mentions of news, from zipped tables")
 def gdelt(ctx: Context) -> Batch:
-    """options path (landed zips), kinds, max_files, since, until.  What was collected is known by file, so no cursor can skip one."""
-    found = landed(ctx, ctx.options["path"]).select(F.col("path").alias("url"), F.col("length").alias("bytes"))
+    """options path (landed zips), list (a file list: its order of files, by name), kinds, max_files, since, until.
+
+    What was collected is known by file, so no cursor can skip one.  A file that can't be read, or that the list names and
+    that hasn't landed, is an error; the others go on, and it is tried again by the next run.
+    """
+    found = listed(ctx, ctx.options.text("path")).select(F.col("path").alias("url"), "modified", "bytes")
     refs = file_refs(found).join(found, "url")
-    kinds = ctx.options.get("kinds", ["export", "mentions"])
-    todo = select_files(not_collected(refs, ctx.catalog.table("gdelt_files")), kinds, "", ctx.options.get("since"), ctx.options.get("until"), int(ctx.options.get("max_files", 0)))
-    names = {k: [r.url for r in todo.filter(F.col("kind") == k).select("url").collect()] for k in ("export", "mentions")}
-    out, counted = {}, None
+    errors = []
+    if "list" in ctx.options:
+        named = file_refs(files.file_list(ctx.spark, ctx.options.text("list"))).select("name", F.col("url").alias("listed")).distinct()
+        named = named.join(refs, "name", "left")
+        errors.append(named.filter("url is null").select(F.lit("not landed").alias("error"), F.concat(F.lit("download "), F.col("listed")).alias("context")))
+        refs = named.filter("url is not null").select(*refs.columns)
+    kinds = ctx.options.texts("kinds") or ["export", "mentions"]
+    since, until = (stamp_flag(ctx.options.text(k)) for k in ("since", "until"))
+    todo = select_files(not_collected(refs, ctx.catalog.table("gdelt_files")), kinds, "", since, until, ctx.options.whole("max_files"))
+    todo = ctx.spark.createDataFrame(todo.collect(), todo.schema)
+    out, counted = {}, []
     for kind, table, rows in (("export", "gdelt_events", files.event_rows), ("mentions", "gdelt_mentions", files.mention_rows)):
-        if names[kind]:
-            out[table] = rows(files.zip_lines(ctx.spark, names[kind]))
+        names = [r.url for r in todo.filter(F.col("kind") == kind).select("url").collect()]
+        if names:
+            lines = ctx.catalog.stage(files.zip_lines(ctx.spark, names))
+            out[table] = rows(lines)
+            errors.append(files.line_errors(lines))
+            bad = lines.filter("error is not null").select(F.col("source_file").alias("url"))
             n = out[table].groupBy(F.col("source_file").alias("url")).agg(F.count("*").alias("rows"))
-            counted = n if counted is None else counted.unionByName(n)
-    if counted is not None:
-        out["gdelt_files"] = todo.join(counted, "url", "left").select("url", "kind", "stamp", F.coalesce("rows", F.lit(0)).alias("rows"), "bytes")
-    last = todo.agg(F.max("stamp")).first()[0]
-    return Batch(out, {"last_stamp": last or ctx.state.get("last_stamp", "")})
+            counted.append(todo.filter(F.col("kind") == kind).join(bad, "url", "left_anti").join(n, "url", "left"))
+    last = ctx.state.get("last_stamp", "")
+    if counted:
+        done = ctx.catalog.stage(together(counted))
+        out["gdelt_files"] = done.select("url", "kind", "stamp", F.coalesce("rows", F.lit(0)).alias("rows"), "bytes")
+        out["_landed_files"] = done.select(F.lit("gdelt").alias("source"), F.col("url").alias("path"), "modified", "bytes")
+        last = max(last, done.agg(F.max("stamp")).first()[0] or "")
+    return Batch(out, {"last_stamp": last}, together(errors))
 
 
-@register("github", "repositories and events, from landed API answers")
+@register("github", "repositories, events and snapshots, from landed API answers")
 def github(ctx: Context) -> Batch:
-    """option path: folders repositories and events of JSON pages."""
-    read = lambda name: ctx.spark.read.text(f"{ctx.options['path']}/{name}", wholetext=True)
-    rows = {"github_repositories": files.repository_rows(read("repositories")), "github_events": files.host_event_rows(read("events"))}
-    since = rows["github_repositories"].agg(F.max("id")).first()[0]
-    return Batch(rows, {"repositories_since": since or ctx.state.get("repositories_since", 0)})
+    """options path (folders repositories, events and snapshots of JSON pages), max_pages, event_pages, detail_batch, refresh_after (a duration).
+
+    Snapshots answer what detail_targets() asks for: a page of the folder snapshots holds `ids`, as they were asked for, and
+    `data`.  The cursor goes on to the last repository before the first one without an answer, and back to 0 when none are left.
+    """
+    base, state = ctx.options.text("path"), ctx.state
+    have = {n for n in ("repositories", "events", "snapshots") if there(ctx, f"{base}/{n}")}
+    if not have:
+        raise ValueError(f"nothing has landed in {base}")
+    rows: dict[str, DataFrame] = {}
+    landed, errors, since = [], [], state.get("repositories_since", 0)
+    for name, cap, table, parse, schema in (("repositories", "max_pages", "github_repositories", files.repository_rows, files.REPOSITORY), ("events", "event_pages", "github_events", files.host_event_rows, files.EVENT)):
+        paths, read = unread(ctx, "github", f"{base}/{name}", ctx.options.whole(cap)) if name in have else ([], None)
+        if paths:
+            pages = pages_of(ctx, paths)
+            rows[table] = ctx.catalog.stage(parse(pages))
+            landed.append(read)
+            errors.append(files.page_errors(pages, files.array_of(schema)))
+    if "github_repositories" in rows:
+        since = max(since, rows["github_repositories"].agg(F.max("id")).first()[0] or 0)
+    cursor = state.get("details_cursor", 0)
+    targets = detail_targets(ctx, cursor)
+    paths, read = unread(ctx, "github", f"{base}/snapshots") if "snapshots" in have else ([], None)
+    if paths:
+        pages = pages_of(ctx, paths)
+        answers = pages.select(F.from_json("value", "ids array<long>")["ids"].alias("ids"), "value")
+        asked = answers.filter("ids is not null").select(F.explode("ids").alias("id")).distinct().withColumn("answered", F.lit(True))
+        seen = ctx.catalog.stage(targets.select("id").join(asked, "id", "left"))
+        now = F.lit(ctx.started).cast("timestamp")
+        rows["github_repository_snapshots"] = files.snapshot_rows(answers, now).join(seen.filter("answered").select(F.col("id").alias("repository_id")), "repository_id", "left_semi")
+        landed.append(read)
+        errors.append(files.page_errors(pages, "ids array<long>"))
+        cursor = max(cursor, contiguous_cursor(seen, "id", F.col("answered").isNull(), cursor).first()[0])
+    if targets.isEmpty():
+        cursor = 0
+    if landed:
+        rows["_landed_files"] = together(landed)
+    return Batch(rows, {**state, "repositories_since": since, "details_cursor": cursor}, together(errors))
+
+
+def detail_targets(ctx: Context, after: int) -> DataFrame:
+    """id and node_id of the repositories whose snapshots are asked for next."""
+    known = ctx.catalog.table("github_repositories").filter("node_id <> ''").select("id", "node_id")
+    cutoff = F.lit(ctx.started).cast("timestamp") - F.make_dt_interval(secs=F.lit(ctx.options.seconds("refresh_after", 7 * 86400.0)))
+    return refresh_targets(known, ctx.catalog.table("github_repository_snapshots"), "id", "repository_id", "observed_at", cutoff, after, ctx.options.whole("detail_batch", 1000))
 
 
 @register("commoncrawl", "crawl index shards and pages")
 def commoncrawl(ctx: Context) -> Batch:
-    """options crawl, index (landed shards), warc (base of archives; pages of index rows without one), page_batch, store_text."""
-    rows, errors = {}, None
+    """options crawl (or latest), crawls (landed list), index (landed shards), max_shards, warc (base of archives; pages of index rows without one), page_mime, page_batch, store_text, text_limit, collect_links.
+
+    A shard is read once, by name; pages go on from a cursor: up to the last one before the first that failed, and
+    from the start again when none are left.
+    """
+    rows: dict[str, DataFrame] = {}
+    state, crawl = dict(ctx.state), ctx.options.text("crawl")
+    if "crawls" in ctx.options and crawl.lower() in ("", "latest"):
+        crawls = files.read_crawls(ctx.spark, ctx.options.text("crawls"))
+        rows["commoncrawl_crawls"] = crawls.drop("at")
+        newest = crawls.filter("at = 0").first()
+        if newest is None:
+            raise ValueError("the list of crawls is empty")
+        crawl = newest.id
     if "index" in ctx.options:
-        index, crawl = ctx.options["index"], ctx.options["crawl"]
-        lines = files.shard_lines(ctx.spark, index)
-        done = ctx.catalog.table("commoncrawl_shards").filter(F.col("crawl") == crawl)
-        new = lines.join(done.select("shard"), "shard", "left_anti")
-        cdx = files.read_cdx(ctx.spark, index, crawl) if not new.isEmpty() else None
-        if cdx is not None:
-            rows["commoncrawl_index"] = cdx.withColumn("id", F.xxhash64("crawl", "surt", "stamp").bitwiseAND(F.lit((1 << 63) - 1)))
-            rows["commoncrawl_shards"] = new.select(F.lit(crawl).alias("crawl"), "shard", "lines", F.lit(0).alias("bytes"), F.current_timestamp().alias("completed_at"))
+        done = ctx.catalog.table("commoncrawl_shards").filter(F.col("crawl") == crawl).select("shard")
+        new = listed(ctx, ctx.options.text("index")).withColumn("shard", files.shard_of(F.col("path"))).join(done, "shard", "left_anti").orderBy("shard")
+        most = ctx.options.whole("max_shards")
+        new = (new.limit(most) if most else new).collect()
+        if new:
+            paths = [r.path for r in new]
+            rows["commoncrawl_index"] = files.read_cdx(ctx.spark, paths, crawl).withColumn("id", F.xxhash64("crawl", "surt", "stamp").bitwiseAND(F.lit((1 << 63) - 1)))
+            rows["commoncrawl_shards"] = files.shard_lines(ctx.spark, paths).select(F.lit(crawl).alias("crawl"), "shard", "lines", F.lit(0).alias("bytes"), F.current_timestamp().alias("completed_at"))
+            rows["_landed_files"] = ctx.spark.createDataFrame([("commoncrawl", r.path, r.modified, r.bytes) for r in new], LANDED)
+            state["shard"] = max(r.shard for r in new)
+    if crawl != ctx.state.get("crawl", crawl) and "commoncrawl_shards" not in rows:
+        state.pop("shard", None)
+    errors = None
     if "warc" in ctx.options:
-        targets = page_targets(ctx.catalog.table("commoncrawl_index"), ctx.catalog.table("commoncrawl_pages"), ctx.options.get("mime", "text/html"), 0, int(ctx.options.get("page_batch", 256)))
-        pages = warc.page_rows(warc.fetch_records(targets.withColumnRenamed("id", "index_id"), ctx.options["warc"]), bool(ctx.options.get("store_text", False)))
+        cursor = state.get("pages_cursor", 0)
+        targets = page_targets(ctx.catalog.table("commoncrawl_index"), ctx.catalog.table("commoncrawl_pages"), ctx.options.text("page_mime", "text/html"), cursor, ctx.options.whole("page_batch", 500))
+        pages = warc.page_rows(warc.fetch_records(targets.withColumnRenamed("id", "index_id"), ctx.options.text("warc")), ctx.options.flag("store_text"), ctx.options.whole("text_limit", 4096), ctx.options.flag("collect_links", True))
+        pages = ctx.catalog.stage(pages)
         rows["commoncrawl_pages"] = pages.filter("error is null").drop("error")
-        errors = pages.filter("error is not null").select("error", F.col("url").alias("context"))
-    return Batch(rows, {"crawl": ctx.options.get("crawl", ctx.state.get("crawl", ""))}, errors)
+        errors = pages.filter("error is not null").select("error", F.concat(F.lit("warc "), F.col("url")).alias("context"))
+        state["pages_cursor"] = 0 if pages.isEmpty() else contiguous_cursor(pages, "index_id", F.col("error").isNotNull(), cursor).first()[0]
+    return Batch(rows, {**state, "crawl": crawl}, errors)
