@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pyarrow as pa
 
 from tidewell.llm import near_copies
@@ -67,6 +68,21 @@ def test_every_way_gives_the_same(spark, docs_schema, monkeypatch):
         assert {r.doc_id: r.component_id for r in near_copies.near_copies(docs).collect()} == want
 
 
+def test_counts_bound_what_sets_share():
+    rng = np.random.default_rng(3)
+    for n in (50, 900, 1100, 5000):
+        pool = rng.integers(-(2**63), 2**63, 2 * n)
+        for kept in (0, n // 2, n - n // 20, n):
+            x, y = np.unique(pool[:n]), np.unique(np.concatenate((pool[:kept], pool[n : 2 * n - kept])))
+            shared = len(np.intersect1d(x, y))
+            a, b = (np.bincount(h & (m - 1), minlength=m).astype(np.int32).tobytes() for h in (x, y) for m in [near_copies.FINE if n >= near_copies.LONG else near_copies.CELLS])
+            assert near_copies.most_shared(near_copies.coarse([a]), near_copies.coarse([b]))[0] >= shared
+            if 9 * shared >= 4 * (len(x) + len(y)):
+                assert near_copies.finely(a, b, len(x) + len(y))
+            elif kept == 0:
+                assert n < near_copies.LONG or not near_copies.finely(a, b, len(x) + len(y))
+
+
 def test_buckets_pass_in_parts(monkeypatch):
     rng = random.Random(1)
     sizes = [1, 2, 3, 1, 1, 40, 2, 5, 30, 1, 2]

@@ -30,8 +30,8 @@ SAMPLE, COMMON, MOST_COMMON = 20_000, 3, 200_000
 HOT, SALTS = 100, 64
 #: Rows of a bucket that a task holds at once; and texts without a link in a bucket that needn't get one in another round.
 GROUP, SINGLES = 8192, 64
-#: Cells of the counts that bound what two sets share.
-CELLS = 64
+#: Cells of the counts that bound what two sets share; those of sets of LONG or more have FINE cells.
+CELLS, LONG, FINE = 64, 1000, 1024
 
 
 def shingle_set(text: bytes | None, k: int = 5) -> np.ndarray:
@@ -84,7 +84,8 @@ def prefixes(docs: DataFrame, k: int, common: tuple[np.ndarray, np.ndarray]) ->
                 h = shingle_set(t, k)
                 fp.append(xxhash.xxh64_intdigest(h.tobytes(), 42))
                 n.append(len(h))
-                cells.append(np.bincount(h & (CELLS - 1), minlength=CELLS).astype(np.int32).tobytes())
+                m = FINE if len(h) >= LONG else CELLS
+                cells.append(np.bincount(h & (m - 1), minlength=m).astype(np.int32).tobytes())
                 prefix.append(first(h))
             ends = np.concatenate(([0], np.cumsum([len(x) for x in prefix])))
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *prefix])))
@@ -106,15 +107,17 @@ def sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return texts.mapInArrow(sets, "fp long, set array<long>")
 
 
-def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) whose sets are similar."""
-    pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    total, out = pairs.count(), pairs
+def with_ends(pairs: DataFrame, table: DataFrame, of: int) -> DataFrame:
+    """pairs (a, b, of rows) with each column c of table (fp, ...) as c_a and c_b; an end that many pairs have is looked up by broadcast."""
+    out = pairs
     for end in ("a", "b"):
-        table = sets.select(F.col("fp").alias(end), F.col("set").alias(f"set_{end}")).join(pairs.groupBy(end).agg(F.count("*").alias(f"of_{end}")), end)
-        out = look_up(out, table, end, f"of_{end}", total, whole=0)
-    both = F.size(F.array_intersect("set_a", "set_b"))
-    return out.filter((LEAST + OF) * both >= LEAST * (F.size("set_a") + F.size("set_b"))).select("a", "b")
+        mine = table.withColumnsRenamed({c: f"{c}_{end}" for c in table.columns if c != "fp"}).withColumnRenamed("fp", end)
+        hot = pairs.groupBy(end).agg(F.count("*").alias("many")).filter(F.col("many") > max(of // 1000, 1000))
+        if hot.isEmpty():
+            out = out.join(mine, end)
+        else:
+            out = look_up(out, mine.join(pairs.groupBy(end).agg(F.count("*").alias(f"of_{end}")), end), end, f"of_{end}", of, whole=0)
+    return out
 
 
 def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,37 +167,44 @@ def most_shared(cells: np.ndarray, others: np.ndarray) -> np.ndarray:
     return np.minimum(cells, others).sum(-1)
 
 
-def cells_of(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.int32).reshape(-1, CELLS)
+def coarse(cells: list[bytes]) -> np.ndarray:
+    """Counts in CELLS cells, a row for each set; a cell is made of the FINE ones that are equal to it modulo CELLS."""
+    return np.array([np.frombuffer(c, np.int32).reshape(-1, CELLS).sum(0) for c in cells], np.int64).reshape(-1, CELLS)
+
+
+def finely(a: bytes, b: bytes, n: int) -> bool:
+    """Whether two sets of n shingles together may be similar by their fine counts, if both have them."""
+    return len(a) != len(b) or len(a) == 4 * CELLS or (LEAST + OF) * int(most_shared(np.frombuffer(a, np.int32), np.frombuffer(b, np.int32))) >= LEAST * n
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     """Those of the pairs (a, b) of fps whose sets are similar, each once: first by what their counts allow, then by the sets."""
     pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    total, out = pairs.count(), pairs
-    for end in ("a", "b"):
-        of = pairs.groupBy(end).agg(F.count("*").alias(f"of_{end}"))
-        table = nodes.select(F.col("fp").alias(end), F.col("n").alias(f"n_{end}"), F.col("cells").alias(f"cells_{end}")).join(of, end)
-        out = look_up(out, table, end, f"of_{end}", total, whole=0)
-    out = out.select("a", "b", "n_a", "n_b", "cells_a", "cells_b")
+    total = pairs.count()
+    out = with_ends(pairs, nodes.select("fp", "n", "cells"), total).select("a", "b", "n_a", "n_b", "cells_a", "cells_b")
 
     def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in chunks(batches, 8192):
+        for b in chunks(batches, 4096):
             n = b.column(2).to_numpy() + b.column(3).to_numpy()
-            good = (LEAST + OF) * most_shared(cells_of(b.column(4)), cells_of(b.column(5))) >= LEAST * n
+            x, y = b.column(4).to_pylist(), b.column(5).to_pylist()
+            good = (LEAST + OF) * most_shared(coarse(x), coarse(y)) >= LEAST * n
+            for i in np.flatnonzero(good).tolist():
+                good[i] = finely(x[i], y[i], int(n[i]))
             yield b.select(["a", "b"]).filter(pa.array(good))
 
     left = stored(out.mapInArrow(possible, "a long, b long"), "possible")
     ends = left.select(F.col("a").alias("fp")).unionByName(left.select(F.col("b").alias("fp"))).distinct()
     sets = stored(sets_of(docs, nodes.select("fp", "text_hash").join(ends, "fp"), k), "sets")
-    return stored(similar(left, sets), "links")
+    both = F.size(F.array_intersect("set_a", "set_b"))
+    similar = with_ends(left, sets, left.count()).filter((LEAST + OF) * both >= LEAST * (F.size("set_a") + F.size("set_b")))
+    return stored(similar.select("a", "b"), "links")
 
 
 def links(docs: DataFrame, rows: DataFrame, k: int, hot: list[int]) -> DataFrame:
     """Edges (a, b) between the nodes fp of rows (of prefixes()) that connect all whose sets are similar.
 
     One shuffle brings the texts of a shingle together.  Each is held against the first of its bucket, in hot buckets against
-    the first of its part and firsts against each other; further rounds do so for texts that no link connects, while a
+    the first of its part and firsts against each other; another round does so for texts that no link connects, where a
     bucket has many of them.  Then texts of a bucket that are still apart are held against all others of it.
     """
     spark = docs.sparkSession
@@ -215,7 +225,7 @@ def links(docs: DataFrame, rows: DataFrame, k: int, hot: list[int]) -> DataFrame
     found = stored(index.mapInArrow(stars, "shingle long, fp long, n long, pivot long, n_pivot long, large boolean"), "shingles")
     edges = verified(found.filter((F.col("fp") != F.col("pivot")) & near("n", "n_pivot")).select(F.col("fp").alias("a"), F.col("pivot").alias("b")), nodes, docs, k)
     large = stored(found.filter("large").select("shingle", "fp", "n").distinct(), "large")
-    for turn in range(8):
+    for turn in range(2):
         edges = components(edges).select(F.col("node").alias("a"), F.col("root").alias("b"))
         if large.isEmpty():
             return edges
@@ -225,7 +235,7 @@ def links(docs: DataFrame, rows: DataFrame, k: int, hot: list[int]) -> DataFrame
         single = F.count(F.when(F.col("c") == 1, 1))
         main = per.groupBy("shingle").agg(F.max(F.struct("c", "root"))["root"].alias("main"), F.sum("c").alias("m"), F.count("*").alias("roots"), single.alias("singles"))
         main = stored(main.filter("roots > 1"), "main")
-        if turn == 7 or main.filter(F.col("singles") > SINGLES).isEmpty():
+        if turn == 1 or main.filter(F.col("singles") > SINGLES).isEmpty():
             break
         alone = apart.join(per.filter("c = 1").select("shingle", "root"), ["shingle", "root"]).join(main.filter(F.col("singles") > SINGLES).select("shingle"), "shingle")
         one = F.min(F.struct(F.xxhash64("fp", F.lit(turn)).alias("h"), F.col("fp").alias("b"), F.col("n").alias("n_b")))
@@ -252,10 +262,12 @@ def across(apart: DataFrame, main: DataFrame, nodes: DataFrame, n: int) -> DataF
 
     def compared(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         late, fp, n, root = (b.column(names.index(c)).to_numpy() for c in ("late", "fp", "n", "root"))
-        cells = cells_of(b.column(6))
+        fine = b.column(6).to_pylist()
+        cells = coarse(fine)
         for i in np.flatnonzero(late).tolist():  # against main ones and later ones of the rest
             j = np.flatnonzero((root != root[i]) & ((late == 0) | (np.arange(len(fp)) > i)) & (OF * np.minimum(n, n[i]) >= LEAST * np.maximum(n, n[i])))
             j = j[(LEAST + OF) * most_shared(cells[j], cells[i]) >= LEAST * (n[j] + n[i])]
+            j = np.array([x for x in j.tolist() if finely(fine[x], fine[i], int(n[x] + n[i]))], np.int64)
             if len(j):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(j), fp[i])), pa.array(fp[j])], names=["a", "b"])
 
