@@ -75,12 +75,13 @@ def test_counts_bound_what_sets_share():
         for kept in (0, n // 2, n - n // 20, n):
             x, y = np.unique(pool[:n]), np.unique(np.concatenate((pool[:kept], pool[n : 2 * n - kept])))
             shared = len(np.intersect1d(x, y))
-            a, b = (np.bincount(h & (m - 1), minlength=m).astype(np.int32).tobytes() for h in (x, y) for m in [near_copies.FINE if n >= near_copies.LONG else near_copies.CELLS])
-            assert near_copies.most_shared(near_copies.coarse([a]), near_copies.coarse([b]))[0] >= shared
+            a, b = (near_copies.counts(h, near_copies.CELLS, np.int32) for h in (x, y))
+            assert near_copies.most_shared(*(np.frombuffer(c, np.int32) for c in (a, b))) >= shared
+            a, b = (near_copies.counts(h, near_copies.FINE, np.uint16) for h in (x, y))
             if 9 * shared >= 4 * (len(x) + len(y)):
-                assert near_copies.finely(a, b, len(x) + len(y))
+                assert near_copies.finely(a, b, len(x) + len(y)) and near_copies.finely(b"", b, 0)
             elif kept == 0:
-                assert n < near_copies.LONG or not near_copies.finely(a, b, len(x) + len(y))
+                assert not near_copies.finely(a, b, len(x) + len(y))
 
 
 def test_buckets_pass_in_parts(monkeypatch):

@@ -30,8 +30,8 @@ SAMPLE, COMMON, MOST_COMMON = 20_000, 3, 200_000
 HOT, SALTS = 100, 64
 #: Rows of a bucket that a task holds at once; and texts without a link in a bucket that needn't get one in another round.
 GROUP, SINGLES = 8192, 64
-#: Cells of the counts that bound what two sets share; those of sets of LONG or more have FINE cells.
-CELLS, LONG, FINE = 64, 1000, 1024
+#: Cells of the counts that bound what two sets share; sets of LONG to MOST shingles also have counts in FINE cells.
+CELLS, LONG, FINE, MOST = 64, 1000, 512, 65_535
 
 
 def shingle_set(text: bytes | None, k: int = 5) -> np.ndarray:
@@ -65,10 +65,10 @@ def common_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray, li
 
 
 def prefixes(docs: DataFrame, k: int, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """doc_id, text_hash, fp (a hash of the set), n (its size), cells (counts) and first (its shingles that the prefix filter needs)."""
+    """doc_id, text_hash, fp (a hash of the set), n (its size), cells and fine (counts) and first (its shingles that the prefix filter needs)."""
     kept = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     sent = docs.sparkSession.sparkContext.broadcast(common)
-    schema = f"doc_id {kept.schema['doc_id'].dataType.simpleString()}, text_hash long, fp long, n long, cells binary, first array<long>"
+    schema = f"doc_id {kept.schema['doc_id'].dataType.simpleString()}, text_hash long, fp long, n long, cells binary, fine binary, first array<long>"
 
     def first(h: np.ndarray) -> np.ndarray:
         known, place = sent.value
@@ -79,17 +79,17 @@ def prefixes(docs: DataFrame, k: int, common: tuple[np.ndarray, np.ndarray]) ->
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches):
-            fp, n, cells, prefix = [], [], [], []
+            fp, n, cells, fine, prefix = [], [], [], [], []
             for t in utf8(b.column(2)):
                 h = shingle_set(t, k)
                 fp.append(xxhash.xxh64_intdigest(h.tobytes(), 42))
                 n.append(len(h))
-                m = FINE if len(h) >= LONG else CELLS
-                cells.append(np.bincount(h & (m - 1), minlength=m).astype(np.int32).tobytes())
+                cells.append(counts(h, CELLS, np.int32))
+                fine.append(counts(h, FINE, np.uint16) if LONG <= len(h) <= MOST else b"")
                 prefix.append(first(h))
             ends = np.concatenate(([0], np.cumsum([len(x) for x in prefix])))
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *prefix])))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.array(fp, np.uint64).view(np.int64)), pa.array(n, pa.int64()), pa.array(cells, pa.binary()), lists], names=["doc_id", "text_hash", "fp", "n", "cells", "first"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.array(fp, np.uint64).view(np.int64)), pa.array(n, pa.int64()), pa.array(cells, pa.binary()), pa.array(fine, pa.binary()), lists], names=["doc_id", "text_hash", "fp", "n", "cells", "fine", "first"])
 
     return kept.mapInArrow(rows, schema)
 
@@ -167,27 +167,30 @@ def most_shared(cells: np.ndarray, others: np.ndarray) -> np.ndarray:
     return np.minimum(cells, others).sum(-1)
 
 
-def coarse(cells: list[bytes]) -> np.ndarray:
-    """Counts in CELLS cells, a row for each set; a cell is made of the FINE ones that are equal to it modulo CELLS."""
-    return np.array([np.frombuffer(c, np.int32).reshape(-1, CELLS).sum(0) for c in cells], np.int64).reshape(-1, CELLS)
+def counts(h: np.ndarray, cells: int, kind: type) -> bytes:
+    return np.bincount(h & (cells - 1), minlength=cells).astype(kind).tobytes()
+
+
+def cells_of(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.int32).reshape(-1, CELLS)
 
 
 def finely(a: bytes, b: bytes, n: int) -> bool:
     """Whether two sets of n shingles together may be similar by their fine counts, if both have them."""
-    return len(a) != len(b) or len(a) == 4 * CELLS or (LEAST + OF) * int(most_shared(np.frombuffer(a, np.int32), np.frombuffer(b, np.int32))) >= LEAST * n
+    return not a or not b or (LEAST + OF) * int(most_shared(np.frombuffer(a, np.uint16).astype(np.int64), np.frombuffer(b, np.uint16))) >= LEAST * n
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     """Those of the pairs (a, b) of fps whose sets are similar, each once: first by what their counts allow, then by the sets."""
     pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     total = pairs.count()
-    out = with_ends(pairs, nodes.select("fp", "n", "cells"), total).select("a", "b", "n_a", "n_b", "cells_a", "cells_b")
+    out = with_ends(pairs, nodes.select("fp", "n", "cells", "fine"), total).select("a", "b", "n_a", "n_b", "cells_a", "cells_b", "fine_a", "fine_b")
 
     def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, 4096):
             n = b.column(2).to_numpy() + b.column(3).to_numpy()
-            x, y = b.column(4).to_pylist(), b.column(5).to_pylist()
-            good = (LEAST + OF) * most_shared(coarse(x), coarse(y)) >= LEAST * n
+            good = (LEAST + OF) * most_shared(cells_of(b.column(4)), cells_of(b.column(5))) >= LEAST * n
+            x, y = b.column(6).to_pylist(), b.column(7).to_pylist()
             for i in np.flatnonzero(good).tolist():
                 good[i] = finely(x[i], y[i], int(n[i]))
             yield b.select(["a", "b"]).filter(pa.array(good))
@@ -209,7 +212,7 @@ def links(docs: DataFrame, rows: DataFrame, k: int, hot: list[int]) -> DataFrame
     """
     spark = docs.sparkSession
     n = partitions(spark)
-    nodes = stored(rows.groupBy("fp").agg(F.first("n").alias("n"), F.first("first").alias("first"), F.first("cells").alias("cells"), F.min("text_hash").alias("text_hash")), "sets")
+    nodes = stored(rows.groupBy("fp").agg(F.first("n").alias("n"), F.first("first").alias("first"), F.first("cells").alias("cells"), F.first("fine").alias("fine"), F.min("text_hash").alias("text_hash")), "sets")
     index = nodes.repartition(n, F.xxhash64("fp")).select("fp", "n", F.explode("first").alias("shingle"))
     if hot:  # SAMPLE * HOT at most; a part's first is likely one of the few with a small fp
         table = spark.createDataFrame([(h, True) for h in hot], "shingle long, hot boolean")
@@ -262,12 +265,10 @@ def across(apart: DataFrame, main: DataFrame, nodes: DataFrame, n: int) -> DataF
 
     def compared(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         late, fp, n, root = (b.column(names.index(c)).to_numpy() for c in ("late", "fp", "n", "root"))
-        fine = b.column(6).to_pylist()
-        cells = coarse(fine)
+        cells = cells_of(b.column(6))
         for i in np.flatnonzero(late).tolist():  # against main ones and later ones of the rest
             j = np.flatnonzero((root != root[i]) & ((late == 0) | (np.arange(len(fp)) > i)) & (OF * np.minimum(n, n[i]) >= LEAST * np.maximum(n, n[i])))
             j = j[(LEAST + OF) * most_shared(cells[j], cells[i]) >= LEAST * (n[j] + n[i])]
-            j = np.array([x for x in j.tolist() if finely(fine[x], fine[i], int(n[x] + n[i]))], np.int64)
             if len(j):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(j), fp[i])), pa.array(fp[j])], names=["a", "b"])
 
