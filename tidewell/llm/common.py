@@ -122,6 +122,18 @@ def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "le
     return left.join(right, on, how).drop(*(f"tw_{k}" for k in keys))
 
 
+def maybe_in(rows: DataFrame, wanted: DataFrame, key: str, bits: int = 1 << 24) -> DataFrame:
+    """rows with tw_maybe: false means that key is in no row of wanted.
+
+    The wanted keys set bits of a map, which is broadcast by its words of 64 bits: of one size whatever the input (2 MB).
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(bits))
+    words = wanted.select(place.alias("tw_place")).groupBy(F.expr("tw_place div 64").alias("tw_word")).agg(F.expr("bit_or(shiftleft(1L, cast(tw_place % 64 as int)))").alias("tw_bits"))
+    marked = rows.withColumn("tw_place", place).withColumn("tw_word", F.expr("tw_place div 64")).join(F.broadcast(words), "tw_word", "left")
+    found = F.coalesce(F.expr("getbit(tw_bits, cast(tw_place % 64 as int)) = 1"), F.lit(False))
+    return marked.select(*rows.columns, found.alias("tw_maybe"))
+
+
 def set_aside(df: DataFrame, *used: str) -> tuple[DataFrame, Callable[..., DataFrame]]:
     """df with all columns but `used` named own0, own1, ..., so that no name of an operator meets one of them, and what names them back (with `more` columns)."""
     names = df.columns

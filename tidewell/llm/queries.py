@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import chat, decontaminate, langid, licenses, lines, mixing, quality, sharding, simhash, tokens
+from tidewell.llm import chat, decontaminate, exact_dedup, langid, licenses, lines, mixing, quality, sharding, simhash, tokens
 from tidewell.llm.common import docs_of
 
 DIMS = ["source", "lang", "n_chars"]
@@ -61,7 +61,11 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_summary(docs_of(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_licenses, op3_shards, op4_simhash, op5_chat, op6_tokens, op7_mix, op8_decontaminate, op9_language, op10_lines)}
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.duplicates(docs_of(spark, sf_dir))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_licenses, op3_shards, op4_simhash, op5_chat, op6_tokens, op7_mix, op8_decontaminate, op9_language, op10_lines, op12_exact_dedup)}
 
 OP1_SQL = r"""
 WITH d AS (
@@ -139,4 +143,14 @@ SELECT d.doc_id, len(d.lines)::BIGINT AS n_lines, k.n_dropped, k.kept_sha256
 FROM d JOIN (SELECT rid, sum(gone::INT)::BIGINT AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM kept GROUP BY rid) k USING (rid)
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_quality": OP1_SQL, "op8_decontaminate": OP8_SQL, "op10_lines": OP10_SQL}
+OP12_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents
+), ranked AS (
+  SELECT *, min(doc_id) OVER (PARTITION BY body) AS keep_id, count(*) OVER (PARTITION BY body) AS n,
+    row_number() OVER (PARTITION BY body ORDER BY doc_id NULLS LAST) AS place FROM d
+)
+SELECT doc_id, keep_id, n::BIGINT AS group_size, place = 1 AS kept, sha256(body) AS text_sha256 FROM ranked
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_quality": OP1_SQL, "op8_decontaminate": OP8_SQL, "op10_lines": OP10_SQL, "op12_exact_dedup": OP12_SQL}
