@@ -45,7 +45,7 @@ def odd(spark, docs_schema):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_agrees_with_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings"):
         con.sql(f"create view {t} as select * from read_parquet('{SF_DIR}/{t}.parquet')")
     want = con.execute(ORACLE_SQL[name])
     columns = [c[0] for c in want.description]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import chat, decontaminate, exact_dedup, langid, licenses, lines, mixing, quality, sharding, simhash, tokens
+from tidewell.llm import chat, codes, decontaminate, exact_dedup, langid, licenses, lines, mixing, quality, sharding, simhash, tokens
 from tidewell.llm.common import docs_of
 
 DIMS = ["source", "lang", "n_chars"]
@@ -61,11 +61,15 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_summary(docs_of(spark, sf_dir))
 
 
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(docs_of(spark, sf_dir, "embeddings"))
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicates(docs_of(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_licenses, op3_shards, op4_simhash, op5_chat, op6_tokens, op7_mix, op8_decontaminate, op9_language, op10_lines, op12_exact_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_licenses, op3_shards, op4_simhash, op5_chat, op6_tokens, op7_mix, op8_decontaminate, op9_language, op10_lines, op11_codes, op12_exact_dedup)}
 
 OP1_SQL = r"""
 WITH d AS (
@@ -143,6 +147,39 @@ SELECT d.doc_id, len(d.lines)::BIGINT AS n_lines, k.n_dropped, k.kept_sha256
 FROM d JOIN (SELECT rid, sum(gone::INT)::BIGINT AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM kept GROUP BY rid) k USING (rid)
 """
 
+
+
+def _op11_sql() -> str:
+    """Rounds as a chain of tables: b has the codebooks, a the nearest entries (distance * 256 + entry is least)."""
+    steps = [r"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS MATERIALIZED (
+  SELECT r, k AS part, v[len(v) // 4 * k + 1:len(v) // 4 * (k + 1)] AS x FROM v, (SELECT unnest(range(4)) AS k)
+), b0 AS MATERIALIZED (
+  SELECT part, r - 1 AS entry, x AS c FROM p WHERE r <= 256
+)"""]
+    for i in range(codes.ROUNDS + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (
+  SELECT r, part, any_value(x) AS x, min(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT * 256 + entry) AS d FROM p JOIN b{i} USING (part) GROUP BY r, part
+)""")
+        if i < codes.ROUNDS:
+            steps.append(f"""m{i} AS (
+  SELECT part, d % 256 AS entry, i, sum(x[i]) AS s, count(*) AS n FROM a{i}, LATERAL (SELECT unnest(range(1, len(x) + 1)) AS i) GROUP BY part, d % 256, i
+), b{i + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(f.c, b.c) AS c FROM b{i} b LEFT JOIN (
+    SELECT part, entry, list(((s - (s % n + n) % n) // n)::BIGINT ORDER BY i) AS c FROM m{i} GROUP BY part, entry) f ON b.part = f.part AND b.entry = f.entry
+)""")
+    steps.append(f"""coded AS (
+  SELECT r, string_agg(lower(printf('%02x', (d % 256)::INT)), '' ORDER BY part) AS code, sum(d // 256)::BIGINT AS error FROM a{codes.ROUNDS} GROUP BY r
+)
+SELECT v.vec_id, code, error, (sum(error) OVER (PARTITION BY v.label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) FROM b{codes.ROUNDS}) AS codebooks_sha256
+FROM coded JOIN v USING (r)""")
+    return ", ".join(steps)
+
+
 OP12_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents
@@ -153,4 +190,4 @@ WITH d AS (
 SELECT doc_id, keep_id, n::BIGINT AS group_size, place = 1 AS kept, sha256(body) AS text_sha256 FROM ranked
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_quality": OP1_SQL, "op8_decontaminate": OP8_SQL, "op10_lines": OP10_SQL, "op12_exact_dedup": OP12_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_quality": OP1_SQL, "op8_decontaminate": OP8_SQL, "op10_lines": OP10_SQL, "op11_codes": _op11_sql(), "op12_exact_dedup": OP12_SQL}
