@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import chat, codes, decontaminate, exact_dedup, langid, licenses, lines, mixing, quality, sharding, simhash, tokens
+from tidewell.llm import chat, codes, decontaminate, divergence, exact_dedup, langid, licenses, lines, mixing, quality, sharding, simhash, tokens
 from tidewell.llm.common import docs_of
 
 DIMS = ["source", "lang", "n_chars"]
@@ -69,7 +69,11 @@ def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicates(docs_of(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_licenses, op3_shards, op4_simhash, op5_chat, op6_tokens, op7_mix, op8_decontaminate, op9_language, op10_lines, op11_codes, op12_exact_dedup)}
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(docs_of(spark, sf_dir))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_licenses, op3_shards, op4_simhash, op5_chat, op6_tokens, op7_mix, op8_decontaminate, op9_language, op10_lines, op11_codes, op12_exact_dedup, op13_divergence)}
 
 OP1_SQL = r"""
 WITH d AS (
@@ -190,4 +194,36 @@ WITH d AS (
 SELECT doc_id, keep_id, n::BIGINT AS group_size, place = 1 AS kept, sha256(body) AS text_sha256 FROM ranked
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_quality": OP1_SQL, "op8_decontaminate": OP8_SQL, "op10_lines": OP10_SQL, "op11_codes": _op11_sql(), "op12_exact_dedup": OP12_SQL}
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), t AS MATERIALIZED (
+  SELECT rid, lang, source, unnest(terms) AS term FROM d
+), k AS MATERIALIZED (
+  SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT rid) >= 3
+), c AS MATERIALIZED (
+  SELECT lang, source, term, count(*)::HUGEINT AS n FROM t SEMI JOIN k USING (lang, term) GROUP BY lang, source, term
+), g AS MATERIALIZED (
+  SELECT lang, source, coalesce(total, 0) AS total, coalesce(v, 0) AS v FROM (SELECT DISTINCT lang, source FROM d)
+  LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source) USING (lang, source) LEFT JOIN (SELECT lang, count(*) AS v FROM k GROUP BY lang) USING (lang)
+), m AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, (1 + 1000000000 * (coalesce(c.n, 0) + 1) // (g.total + g.v))::HUGEINT AS p
+  FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), l AS (
+  SELECT m.lang, m.term, (1 + 1000000000 * (sum(m.n) + 1) // (any_value(s.total) + any_value(s.v)))::HUGEINT AS q
+  FROM m JOIN (SELECT lang, sum(total) AS total, any_value(v) AS v FROM g GROUP BY lang) s USING (lang) GROUP BY m.lang, m.term
+), sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value FROM m a JOIN m b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source
+), pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), term AS (
+  SELECT m.lang, m.source, 'term' AS part, m.term AS item, ((p - q) * (p - q) // q)::BIGINT AS value FROM m JOIN l USING (lang, term) WHERE m.n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM (SELECT * FROM pair UNION ALL SELECT * FROM term)
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_quality": OP1_SQL, "op8_decontaminate": OP8_SQL, "op10_lines": OP10_SQL, "op11_codes": _op11_sql(), "op12_exact_dedup": OP12_SQL, "op13_divergence": OP13_SQL}
