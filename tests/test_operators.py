@@ -83,6 +83,7 @@ def test_a_run_stands_as_running_until_it_ends(spark, tmp_path, monkeypatch):
     def interrupted(ctx):
         seen.append([(r.id, r.source, r.status, r.finished_at) for r in store.table("_runs").collect()])
         raise KeyboardInterrupt
+        yield
 
     monkeypatch.setitem(runs.SOURCES, "test", (interrupted, "stops"))
     row = runs.run(store, "test")

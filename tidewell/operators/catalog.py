@@ -8,12 +8,13 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Collection
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.operators.merge import ORDINAL, POLICIES, with_ordinal
@@ -30,6 +31,17 @@ class Manifest:
     batches: dict[str, int] = field(default_factory=dict)
     #: Runs that have started and not ended: id to source and start.
     running: dict[str, list[str]] = field(default_factory=dict)
+    #: By folder, its rows and the least and greatest value of the table's zone columns.
+    rows: dict[str, int] = field(default_factory=dict)
+    zones: dict[str, dict[str, list[Any]]] = field(default_factory=dict)
+    #: By table with a serial column, the number that the next row gets.
+    serials: dict[str, int] = field(default_factory=dict)
+
+    def reaching(self, name: str, column: str, after: Any) -> list[str]:
+        """A table's folders that may have a value of a zone column over `after`, by their greatest value; those without zones come first."""
+        zone = lambda x: self.zones.get(x, {}).get(column)
+        some = [x for x in self.tables.get(name, []) if zone(x) is None or zone(x)[1] > after]
+        return sorted(some, key=lambda x: (zone(x) is not None, zone(x) and zone(x)[1]))
 
 
 class Catalog:
@@ -86,18 +98,47 @@ class Catalog:
             self._publish(m)
         return len(todo)
 
+    def _written(self, name: str, rows: DataFrame, m: Manifest, number: bool = True) -> str:
+        """Writes rows to a new folder of a table.  Its rows and zones are observed by the write itself; a serial column gets its numbers there.
+
+        Numbers rise from commit to commit: each task's go on from where 2**33 rows of the task before would end.
+        """
+        spec, folder = self.tables[name], f"{name}/{uuid.uuid4().hex}"
+        serial, zones = spec.serial if number else None, spec.zones
+        if serial:
+            rows = rows.withColumn(serial, F.monotonically_increasing_id() + F.lit(m.serials.get(name, 1)))
+        seen = Observation()
+        rows.observe(seen, F.count(F.lit(1)).alias("n"), *(f(c).alias(f"{n} {c}") for c in zones for n, f in (("min", F.min), ("max", F.max)))).write.parquet(f"{self.base}/{folder}")
+        got = seen.get
+        m.rows[folder] = got["n"]
+        if zone := {c: [got[f"min {c}"], got[f"max {c}"]] for c in zones if got["n"] and got[f"max {c}"] is not None}:
+            m.zones[folder] = zone
+        if serial and got["n"]:
+            first = m.serials.get(name, 1)
+            tasks = (got[f"max {serial}"] - first >> 33) + 1
+            m.serials[name] = first + (tasks << 33)
+        return folder
+
     def _append(self, name: str, rows: DataFrame, m: Manifest) -> str:
-        folder = f"{name}/{uuid.uuid4().hex}"
-        rows.write.parquet(f"{self.base}/{folder}")
+        folder = self._written(name, rows, m)
         m.tables[name] = [*m.tables.get(name, []), folder]
         return folder
 
     def stage(self, df: DataFrame) -> DataFrame:
         """df written once and read again: what is counted, merged and looked at is then the same rows.  Kept until the next commit."""
+        return self._staged_and_counted(df)[0]
+
+    def _staged_and_counted(self, df: DataFrame) -> tuple[DataFrame, int]:
         path = f"{self.base}/_staging/{uuid.uuid4().hex}"
         self._staged.append(path)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path), seen.get["n"]
+
+    def folders(self, name: str, folders: list[str]) -> DataFrame:
+        """Some folders of a table."""
+        schema = self.tables[name].schema
+        return self.spark.read.schema(schema).parquet(*(f"{self.base}/{x}" for x in folders)) if folders else self.spark.createDataFrame([], schema)
 
     def table(self, name: str, m: Manifest | None = None) -> DataFrame:
         schema = self.tables[name].schema
@@ -109,9 +150,8 @@ class Catalog:
         if name == "_runs" and m.running:
             rows = [(int(k), source, datetime.fromisoformat(at), "running") for k, (source, at) in m.running.items()]
             open_runs = self.spark.createDataFrame(rows, "id long, source string, started_at timestamp, status string")
-            done = self.spark.read.schema(schema).parquet(*(f"{self.base}/{x}" for x in folders)) if folders else self.spark.createDataFrame([], schema)
-            return done.unionByName(open_runs, allowMissingColumns=True)
-        return self.spark.read.schema(schema).parquet(*(f"{self.base}/{x}" for x in folders)) if folders else self.spark.createDataFrame([], schema)
+            return self.folders(name, folders).unionByName(open_runs, allowMissingColumns=True)
+        return self.folders(name, folders)
 
     def state(self, source: str) -> str:
         return self.manifest().states.get(source, "")
@@ -145,10 +185,11 @@ class Catalog:
         for name in self.tables:
             self.table(name, m).createOrReplaceTempView(name)
 
-    def commit(self, rows: dict[str, DataFrame], states: dict[str, str] | None = None, batch: tuple[str, int] | None = None) -> dict[str, dict[str, int]]:
+    def commit(self, rows: dict[str, DataFrame], states: dict[str, str] | None = None, batch: tuple[str, int] | None = None, staged: Collection[str] = ()) -> dict[str, dict[str, int]]:
         """Merges rows into their tables by each table's policy and saves states, all at once.
 
         batch: (source, number); a number not over that source's last one was committed before and changes nothing.
+        staged: tables whose rows come from stage() and have an ordinal; the others are staged here.
         Returns fetched, inserted and duplicates by table; a replaced row counts as inserted.
         """
         m = self.manifest()
@@ -157,19 +198,26 @@ class Catalog:
         counts: dict[str, dict[str, int]] = {}
         for name, df in rows.items():
             spec = self.tables[name]
-            df = self.stage(with_ordinal(self._shaped(df, spec)))  # parsed once, whatever is asked of it below
-            fetched = df.count()
+            if name in staged:
+                fetched = df.count()
+                df = self._shaped(df, spec)
+            else:  # parsed once, whatever is asked of it below
+                df, fetched = self._staged_and_counted(with_ordinal(self._shaped(df, spec)))
             if not fetched:
                 counts[name] = {"fetched": 0, "inserted": 0, "duplicates": 0}
                 continue
             before, folders = self.table(name, m), m.tables.get(name, [])
-            merged = POLICIES[spec.policy](before, df, spec.keys)
-            added = self.spark.read.schema(spec.schema).parquet(f"{self.base}/{self._append(name, merged.appended, m)}")
-            inserted = added.count()
+            merged = POLICIES[spec.policy](before if folders else None, df, spec.keys)
+            new = self._append(name, merged.appended, m)
+            inserted = m.rows[new]
             if spec.policy == "replace" and folders:
-                kept = f"{name}/{uuid.uuid4().hex}"
-                reduce(lambda t, k: t.join(added.select(*k), k, "left_anti"), spec.keys, before).select(*spec.schema.names).write.parquet(f"{self.base}/{kept}")
-                m.tables[name] = [kept, m.tables[name][-1]]
+                added = self.folders(name, [new])
+                kept = self._written(name, reduce(lambda t, k: t.join(added.select(*k), k, "left_anti"), spec.keys, before).select(*spec.schema.names), m, number=False)
+                self._forget(m, name)
+                m.tables[name] = [kept, new]
+            elif not inserted:  # an empty folder says nothing
+                m.tables[name] = folders
+                m.rows.pop(new)
             counts[name] = {"fetched": fetched, "inserted": inserted, "duplicates": 0 if spec.policy == "replace" else fetched - inserted}
         m.states |= states or {}
         m.saved |= dict.fromkeys(states or {}, datetime.now(timezone.utc).isoformat())
@@ -188,12 +236,18 @@ class Catalog:
         extra = [c for c in (ORDINAL,) if c in have]
         return df.select(*(F.col(f.name).cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in spec.schema.fields), *extra)
 
+    def _forget(self, m: Manifest, name: str) -> None:
+        """Drops what the manifest says of folders that a table no longer has."""
+        for x in m.tables[name]:
+            m.rows.pop(x, None)
+            m.zones.pop(x, None)
+
     def compact(self, name: str) -> None:
-        """Rewrites a table's folders as one."""
+        """Rewrites a table's folders as one; serial numbers stay."""
         m = self.manifest()
         if len(m.tables.get(name, [])) > 1:
-            folder = f"{name}/{uuid.uuid4().hex}"
-            self.table(name, m).write.parquet(f"{self.base}/{folder}")
+            folder = self._written(name, self.table(name, m), m, number=False)
+            self._forget(m, name)
             m.tables[name] = [folder]
             m.number += 1
             self._publish(m)

@@ -13,6 +13,9 @@ class Table:
     ddl: str
     keys: list[list[str]] = field(default_factory=list)
     policy: str = "fail"
+    #: A column that the store numbers, and columns whose least and greatest value it keeps for each folder.
+    serial: str | None = None
+    zones: tuple[str, ...] = ()
 
     @property
     def schema(self) -> T.StructType:
@@ -67,6 +70,8 @@ _TABLES = [
         "filename string, collected_at timestamp, run_id long",
         [["crawl", "surt", "stamp"]],
         "ignore",
+        "id",
+        ("id",),
     ),
     Table("commoncrawl_shards", "crawl string, shard string, lines long, bytes long, completed_at timestamp, run_id long", [["crawl", "shard"]], "replace"),
     Table(
@@ -75,6 +80,7 @@ _TABLES = [
         "text_length long, text string, digest string, warc_filename string, warc_offset long, collected_at timestamp, run_id long",
         [["url", "digest"]],
         "ignore",
+        zones=("index_id",),
     ),
 ]
 #: Landed files that sources have read, each by its path and time.

@@ -128,19 +128,20 @@ def feed_list(spark: SparkSession, inline: list[str], path: str | None = None) -
 CDX_META = "url string, mime string, `mime-detected` string, status string, digest string, length string, offset string, filename string, charset string, languages string, redirect string"
 
 
-def cdx_rows(lines: DataFrame, crawl: str) -> DataFrame:
-    """Index rows of lines (column value: 'surt stamp {json}'); lines of any length count, those without JSON or without a URL are left out."""
+def cdx_fields(lines: DataFrame, crawl: str, *kept: str) -> DataFrame:
+    """Index rows of all lines (column value: 'surt stamp {json}'), with good: whether a line has JSON and a URL; lines of any length count."""
     parts = F.split("value", " ", 3)
-    rows = lines.select(F.get(parts, F.lit(0)).alias("surt"), F.get(parts, F.lit(1)).alias("stamp"), F.get(parts, F.lit(2)).alias("blob"))
-    rows = rows.filter(F.col("blob").startswith("{")).withColumn("m", F.from_json("blob", CDX_META, {"maxStringLen": str((1 << 31) - 1)})).filter("m.url <> ''")
+    rows = lines.select(F.get(parts, F.lit(0)).alias("surt"), F.get(parts, F.lit(1)).alias("stamp"), F.get(parts, F.lit(2)).alias("blob"), *kept)
+    rows = rows.withColumn("m", F.from_json(F.when(F.col("blob").startswith("{"), F.col("blob")), CDX_META, {"maxStringLen": str((1 << 31) - 1)}))
     n = lambda c: int64(F.col(f"m.{c}"), trim=False).alias(c)
     t = lambda c, a=None: empty_to_null(F.col(f"m.`{c}`")).alias(a or c)
-    return rows.select(F.lit(crawl).alias("crawl"), "surt", F.col("m.url").alias("url"), "stamp", stamp_time("stamp").alias("fetched_at"), n("status"), t("mime"), t("mime-detected", "mime_detected"), t("charset"), t("languages"), t("digest"), n("length"), n("offset"), t("filename"))
+    good = F.coalesce(F.col("m.url") != "", F.lit(False)).alias("good")
+    return rows.select(F.lit(crawl).alias("crawl"), "surt", F.col("m.url").alias("url"), "stamp", stamp_time("stamp").alias("fetched_at"), n("status"), t("mime"), t("mime-detected", "mime_detected"), t("charset"), t("languages"), t("digest"), n("length"), n("offset"), t("filename"), good, *kept)
 
 
-def read_cdx(spark: SparkSession, path: str | list[str], crawl: str) -> DataFrame:
-    """Index shards (gzip text, a task for each shard) with their file names."""
-    return cdx_rows(spark.read.text(path), crawl)
+def cdx_rows(lines: DataFrame, crawl: str) -> DataFrame:
+    """Index rows of lines; those without JSON or without a URL are left out."""
+    return cdx_fields(lines, crawl).filter("good").drop("good")
 
 
 def shard_of(path: Column) -> Column:
@@ -148,11 +149,6 @@ def shard_of(path: Column) -> Column:
     return F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"\.gz$", "")
 
 
-def shard_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """shard (file name) and lines: all lines, malformed ones included."""
-    return spark.read.text(path).select(shard_of(F.col("_metadata.file_path")).alias("shard")).groupBy("shard").agg(F.count("*").alias("lines"))
-
-
 def shard_name(n: int) -> str:
     return f"cdx-{n:05d}.gz"
 
