@@ -2,10 +2,11 @@ import random
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tidewell.llm import near_copies
 
-import corpus_pipeline
 
 def shingles(text):
     w = (text or "").lower().split()
@@ -62,7 +63,7 @@ def test_every_way_gives_the_same(spark, docs_schema, monkeypatch):
     rows = planted()
     want = components(rows)
     docs = spark.createDataFrame(rows, docs_schema)
-    for changed in ({"HOT": 10_000, "SINGLES": 2, "GROUP": 16}, {"SINGLES": 0}):
+    for changed in ({"HOT": 10_000, "SINGLES": 2, "GROUP": 16, "BLOCK": 16}, {"SINGLES": 0}, {"BLOCK": 3}):
         for name, value in changed.items():
             monkeypatch.setattr(near_copies, name, value)
         assert {r.doc_id: r.component_id for r in near_copies.near_copies(docs).collect()} == want
@@ -99,3 +100,38 @@ def test_buckets_pass_in_parts(monkeypatch):
             batches = [pa.RecordBatch.from_pylist([dict(zip(("shingle", "salt", "fp", "n"), r)) for r in rows[i : i + step]]) for i in range(0, len(rows), step)]
             got = [tuple(r.values()) for b in near_copies.stars(iter(batches)) for r in b.to_pylist()]
             assert got == want
+
+
+def test_a_bucket_of_many_unlinked_texts(spark):
+    """20,000 texts of one bucket that share little more: no part holds over two blocks, and what is dealt grows with the texts, not with their square."""
+    k = 20_000
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(k):
+        first = [7, *(rng.integers(1, 2**62, 4)).tolist(), *(1000 + rng.integers(0, 40, 2)).tolist()]
+        rows.append((i, 30, np.bincount(rng.integers(0, near_copies.CELLS, 30), minlength=near_copies.CELLS).astype(np.int32).tobytes(), first))
+    for i in range(0, 200, 2):  # pairs that the counts let pass
+        rows[i + 1] = (i + 1, 30, rows[i][2], rows[i][3])
+    nodes = spark.createDataFrame(rows, "fp long, n long, cells binary, first array<long>")
+    apart = nodes.select(F.lit(7).cast("long").alias("shingle"), "fp", "n", F.col("fp").alias("root")).cache()
+    main = near_copies.mains(apart.groupBy("shingle", "root").agg(F.count("*").alias("c")))
+    got = {tuple(sorted(r)) for r in near_copies.across(apart, main, nodes, 8).collect()}
+    assert got >= {(i, i + 1) for i in range(0, 200, 2)} and len(got) < 1000
+    many = near_copies.with_main(apart, main)
+    assert many.filter(F.col("late") > near_copies.BLOCK).count() == k
+    per = near_copies.in_blocks(many).groupBy("shingle", "part").count()
+    assert per.agg(F.max("count")).first()[0] <= 2.2 * near_copies.BLOCK and per.agg(F.sum("count")).first()[0] <= k * 7
+
+
+def test_blocks_hold_each_pair_once(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "BLOCK", 5)
+    same = np.full(near_copies.CELLS, 1, np.int32).tobytes()
+    for main in (0, 23):
+        rows = [(i, 64, same, 0 if i < main else i) for i in range(50)]
+        nodes = spark.createDataFrame(rows, "fp long, n long, cells binary, root long")
+        apart = nodes.select(F.lit(1).cast("long").alias("shingle"), "fp", "n", "root")
+        dealt = near_copies.with_main(apart, near_copies.mains(apart.groupBy("shingle", "root").agg(F.count("*").alias("c"))))
+        want = {(a, b) for a in range(50) for b in range(a + 1, 50) if rows[a][3] != rows[b][3]}
+        for way in (near_copies.in_blocks, near_copies.in_parts):
+            got = [tuple(sorted(r)) for r in near_copies.compared(way(dealt), nodes, 4).collect()]
+            assert len(got) == len(set(got)) and set(got) == want

@@ -5,7 +5,8 @@ bit at most would then be of 6 bits and tell nothing apart, at any length of the
 a prefix filter (Bayardo et al., 2007): in any one order of all shingles, two such sets share one of the first n // 5 + 1 of
 their n.  Shingles that are common in a sample come last in the order, which keeps buckets small and decides nothing else.
 A bucket's texts are held against one of them first; after that only texts that no link connects are held against each other,
-by counts of their shingles in 64 cells, which bound what two sets can share from above.  What passes is decided by the sets.
+by counts of their shingles in 64 cells, which bound what two sets can share from above.  Buckets with many of them are first cut
+by a second shingle: sets so similar share two of their first n // 5 + 2.  What passes is decided by the sets.
 """
 
 from __future__ import annotations
@@ -28,8 +29,8 @@ LEAST, OF = 4, 5
 SAMPLE, COMMON, MOST_COMMON = 20_000, 3, 200_000
 #: Shingles of over a HOTth of the sample are hot; their buckets are dealt out in SALTS parts.
 HOT, SALTS = 100, 64
-#: Rows of a bucket that a task holds at once; and texts without a link in a bucket that needn't get one in another round.
-GROUP, SINGLES = 8192, 64
+#: Rows that a bucket's first is held against at once, rows of a block of a bucket; and texts without a link in a bucket that needn't get one in another round.
+GROUP, BLOCK, SINGLES = 8192, 4096, 64
 #: Cells of the counts that bound what two sets share; sets of LONG to MOST shingles also have counts in FINE cells.
 CELLS, LONG, FINE, MOST = 64, 1000, 512, 65_535
 
@@ -65,7 +66,7 @@ def common_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray, li
 
 
 def prefixes(docs: DataFrame, k: int, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """doc_id, text_hash, fp (a hash of the set), n (its size), cells and fine (counts) and first (its shingles that the prefix filter needs)."""
+    """doc_id, text_hash, fp (a hash of the set), n (its size), cells and fine (counts) and first (its shingles that the prefix filter needs, and the next one)."""
     kept = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     sent = docs.sparkSession.sparkContext.broadcast(common)
     schema = f"doc_id {kept.schema['doc_id'].dataType.simpleString()}, text_hash long, fp long, n long, cells binary, fine binary, first array<long>"
@@ -75,7 +76,7 @@ def prefixes(docs: DataFrame, k: int, common: tuple[np.ndarray, np.ndarray]) ->
         at = np.minimum(np.searchsorted(known, h), max(len(known) - 1, 0))
         late = known[at] == h if len(known) else np.zeros(len(h), bool)
         last = h[late][np.argsort(place[at[late]])]
-        return np.concatenate((h[~late], last))[: len(h) + 1 - -(-LEAST * len(h) // OF)]
+        return np.concatenate((h[~late], last))[: len(h) + 2 - -(-LEAST * len(h) // OF)]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches):
@@ -213,7 +214,8 @@ def links(docs: DataFrame, rows: DataFrame, k: int, hot: list[int]) -> DataFrame
     spark = docs.sparkSession
     n = partitions(spark)
     nodes = stored(rows.groupBy("fp").agg(F.first("n").alias("n"), F.first("first").alias("first"), F.first("cells").alias("cells"), F.first("fine").alias("fine"), F.min("text_hash").alias("text_hash")), "sets")
-    index = nodes.repartition(n, F.xxhash64("fp")).select("fp", "n", F.explode("first").alias("shingle"))
+    needed = F.col("n") + 1 - F.ceil(F.col("n") * LEAST / OF)
+    index = nodes.repartition(n, F.xxhash64("fp")).select("fp", "n", F.explode(F.slice("first", F.lit(1), needed.cast("int"))).alias("shingle"))
     if hot:  # SAMPLE * HOT at most; a part's first is likely one of the few with a small fp
         table = spark.createDataFrame([(h, True) for h in hot], "shingle long, hot boolean")
         index = index.join(F.broadcast(table), "shingle", "left")
@@ -235,9 +237,7 @@ def links(docs: DataFrame, rows: DataFrame, k: int, hot: list[int]) -> DataFrame
         roots = stored(edges.select(F.col("a").alias("fp"), F.col("b").alias("root")), "roots")
         apart = stored(large.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "apart")
         per = stored(apart.groupBy("shingle", "root").agg(F.count("*").alias("c")), "counts")
-        single = F.count(F.when(F.col("c") == 1, 1))
-        main = per.groupBy("shingle").agg(F.max(F.struct("c", "root"))["root"].alias("main"), F.sum("c").alias("m"), F.count("*").alias("roots"), single.alias("singles"))
-        main = stored(main.filter("roots > 1"), "main")
+        main = stored(mains(per), "main")
         if turn == 1 or main.filter(F.col("singles") > SINGLES).isEmpty():
             break
         alone = apart.join(per.filter("c = 1").select("shingle", "root"), ["shingle", "root"]).join(main.filter(F.col("singles") > SINGLES).select("shingle"), "shingle")
@@ -248,26 +248,72 @@ def links(docs: DataFrame, rows: DataFrame, k: int, hot: list[int]) -> DataFrame
     return edges.unionByName(verified(across(apart, main, nodes, n), nodes, docs, k))
 
 
+def mains(per: DataFrame) -> DataFrame:
+    """shingle, main (the root of most of its texts), m (texts), late (those of other roots) and singles of buckets with several roots; per: shingle, root and c (texts)."""
+    most = F.max(F.struct("c", "root"))
+    out = per.groupBy("shingle").agg(most["root"].alias("main"), F.sum("c").alias("m"), (F.sum("c") - most["c"]).alias("late"), F.count("*").alias("roots"), F.count(F.when(F.col("c") == 1, 1)).alias("singles"))
+    return out.filter("roots > 1")
+
+
+def with_main(apart: DataFrame, main: DataFrame) -> DataFrame:
+    """Rows of apart whose bucket has several roots, with main, m, late and rest: whether their root isn't the main one."""
+    rows = look_up(apart, main.select("shingle", "main", "m", "late"), "shingle", "m", max(apart.count(), 1)).filter("main is not null")
+    return rows.withColumn("rest", F.col("root") != F.col("main"))
+
+
 def across(apart: DataFrame, main: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
     """Pairs (a, b) of a bucket's texts with different roots that may be similar by their sizes and counts.
 
-    apart: shingle, fp, n, root.  main: shingle, main (the root of most of its texts) and m (their number), of buckets with
-    several roots.  Texts of other roots are held against all of the bucket; a bucket of over GROUP is dealt out in parts,
-    each with a part of the texts of the main root and all others.
+    apart: shingle, fp, n, root.  main: mains() of it.  Texts of the main root are never held against each other.  In a bucket with up to
+    BLOCK others these go to every part of the main ones.  A bucket with more is cut by a second shingle that two of its
+    texts must share; where that leaves as many, blocks of at most about BLOCK texts are held against each other in pairs of blocks.
+    No task holds more than two blocks, and none a whole bucket.
     """
-    rows = look_up(apart, main.select("shingle", "main", "m"), "shingle", "m", max(apart.count(), 1)).filter("main is not null")
-    parts = F.ceil(F.col("m") / GROUP).cast("int")
-    rest = F.col("root") != F.col("main")
-    rows = rows.withColumn("part", F.explode(F.when(rest, F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.pmod(F.xxhash64("fp"), parts).cast("int")))))
-    rows = rows.select("shingle", F.col("part").cast("long").alias("part"), rest.cast("int").alias("late"), "fp", "n", "root").join(nodes.select("fp", "cells"), "fp")
-    rows = rows.repartition(n, "shingle", "part").sortWithinPartitions("shingle", "part", "late")
-    names = ["shingle", "part", "late", "fp", "n", "root", "cells"]
-
-    def compared(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        late, fp, n, root = (b.column(names.index(c)).to_numpy() for c in ("late", "fp", "n", "root"))
+    rows = stored(with_main(apart, main).select("shingle", "fp", "n", "root", "rest", "m", "late"), "across")
+    few, many = rows.filter(F.col("late") <= BLOCK), rows.filter(F.col("late") > BLOCK)
+    dealt = in_parts(few)
+    if not many.isEmpty():
+        second = many.join(nodes.select("fp", "first"), "fp").withColumn("second", F.explode("first")).filter("second <> shingle")
+        finer = stored(second.select(F.xxhash64("shingle", "second").alias("shingle"), "fp", "n", "root").distinct(), "finer")
+        again = with_main(finer, stored(mains(finer.groupBy("shingle", "root").agg(F.count("*").alias("c"))), "main"))
+        dealt = dealt.unionByName(in_parts(again.filter(F.col("late") <= BLOCK))).unionByName(in_blocks(again.filter(F.col("late") > BLOCK)))
+    return compared(dealt, nodes, n)
+
+
+#: What a row of a part is held against: nothing by itself, rows of NONE, or those and later rows of its own kind.
+NONE, OTHERS, BOTH = 0, 1, 2
+
+
+def in_parts(rows: DataFrame) -> DataFrame:
+    """shingle, part, kind, fp, n and root: main texts dealt to parts of BLOCK, the few others to each; those are held against each other in the first part only."""
+    parts = F.greatest(F.ceil((F.col("m") - F.col("late")) / BLOCK), F.lit(1)).cast("int")
+    mine = F.pmod(F.xxhash64("fp"), parts).cast("int")
+    out = rows.withColumn("part", F.explode(F.when(F.col("rest"), F.sequence(F.lit(0), parts - 1)).otherwise(F.array(mine))))
+    kind = F.when(~F.col("rest"), NONE).when(F.col("part") == 0, BOTH).otherwise(OTHERS)
+    return out.select("shingle", F.col("part").cast("long").alias("part"), kind.alias("kind"), "fp", "n", "root")
+
+
+def in_blocks(rows: DataFrame) -> DataFrame:
+    """As in_parts(), but a part is a pair of blocks: of others with others (also each with itself), and of others with main texts."""
+    late, main = F.ceil(F.col("late") / BLOCK).cast("int"), F.greatest(F.ceil((F.col("m") - F.col("late")) / BLOCK), F.lit(1)).cast("int")
+    mine = F.when(F.col("rest"), F.pmod(F.xxhash64("fp"), late)).otherwise(late + F.pmod(F.xxhash64("fp"), main)).cast("int")
+    out = rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("rest"), late + main).otherwise(late) - 1)))
+    first, second = F.least("mine", "other"), F.greatest("mine", "other")
+    kind = F.when(F.col("mine") == F.col("other"), BOTH).when(F.col("mine") < F.col("other"), OTHERS).otherwise(NONE)
+    return out.select("shingle", (first.cast("long") * (1 << 31) + second).alias("part"), kind.alias("kind"), "fp", "n", "root")
+
+
+def compared(rows: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
+    """Pairs (a, b) of the rows of a part with different roots that may be similar by their sizes and counts."""
+    rows = rows.join(nodes.select("fp", "cells"), "fp").repartition(n, "shingle", "part").sortWithinPartitions("shingle", "part", "kind")
+    names = ["shingle", "part", "kind", "fp", "n", "root", "cells"]
+
+    def pairs_of(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        kind, fp, n, root = (b.column(names.index(c)).to_numpy() for c in ("kind", "fp", "n", "root"))
         cells = cells_of(b.column(6))
-        for i in np.flatnonzero(late).tolist():  # against main ones and later ones of the rest
-            j = np.flatnonzero((root != root[i]) & ((late == 0) | (np.arange(len(fp)) > i)) & (OF * np.minimum(n, n[i]) >= LEAST * np.maximum(n, n[i])))
+        place = np.arange(len(fp))
+        for i in np.flatnonzero(kind).tolist():
+            j = np.flatnonzero((root != root[i]) & ((kind == NONE) | (kind[i] == BOTH) & (place > i)) & (OF * np.minimum(n, n[i]) >= LEAST * np.maximum(n, n[i])))
             j = j[(LEAST + OF) * most_shared(cells[j], cells[i]) >= LEAST * (n[j] + n[i])]
             if len(j):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(j), fp[i])), pa.array(fp[j])], names=["a", "b"])
@@ -276,23 +322,34 @@ def across(apart: DataFrame, main: DataFrame, nodes: DataFrame, n: int) -> DataF
         held: list[pa.RecordBatch] = []
         key = None
         out: list[pa.RecordBatch] = []
+        size = 0
+
+        def ready(least: int) -> Iterator[pa.RecordBatch]:
+            nonlocal out, size
+            if size > least or len(out) > 1000:
+                yield pa.concat_batches(out)
+                out, size = [], 0
+
+        def close() -> Iterator[pa.RecordBatch]:
+            nonlocal held, size
+            if held:
+                for x in pairs_of(pa.concat_batches(held)):
+                    out.append(x)
+                    size += x.num_rows
+                    yield from ready(10_000)
+                held = []
+
         for b in batches:
             b = b.select(names)
             at = np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()], 1)
             cuts = [0, *(np.flatnonzero((at[1:] != at[:-1]).any(1)) + 1).tolist(), len(at)] if len(at) else []
             for lo, hi in zip(cuts, cuts[1:]):
-                if tuple(at[lo]) != key and held:
-                    out += compared(pa.concat_batches(held))
-                    held = []
+                if tuple(at[lo]) != key:
+                    yield from close()
                 key = tuple(at[lo])
                 held.append(b.slice(lo, hi - lo))
-                if sum(x.num_rows for x in out) > 10_000 or len(out) > 1000:
-                    yield pa.concat_batches(out)
-                    out = []
-        if held:
-            out += compared(pa.concat_batches(held))
-        if out:
-            yield pa.concat_batches(out)
+        yield from close()
+        yield from ready(0)
 
     return rows.select(*names).mapInArrow(pairs, "a long, b long").distinct()
 
