@@ -147,7 +147,7 @@ def test_crawl_index_run(spark, tmp_path):
     lines = [f'com,x)/{i} 20260202154500 {{"url": "http://x/{i}", "status": "200"}}' for i in range(20)] + ["broken"]
     landed = tmp_path / "landed"
     landed.mkdir()
-    (landed / files.shard_name(0)).write_bytes(gzip.compress("\n".join(lines).encode()))
+    (landed / "cdx-00000.gz").write_bytes(gzip.compress("\n".join(lines).encode()))
     store = Catalog(spark, str(tmp_path / "store"))
     options = {"crawl": "C", "index": str(landed)}
     assert runs.run(store, "commoncrawl", options)["status"] == "completed"

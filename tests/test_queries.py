@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from tidewell.plans import source_queries  # noqa: F401  (registers its queries)
+from tidewell.plans import run_queries, source_queries  # noqa: F401  (they register their queries)
 from tidewell.plans.queries import ORACLE_SQL, QUERIES, reruns_agree
 
 SF_DIR = "/root/testdata/sf0.001"

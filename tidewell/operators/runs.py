@@ -71,18 +71,22 @@ def register(name: str, about: str) -> Callable[[Collect], Collect]:
     return add
 
 
-def cut(catalog: Catalog, rows: dict[str, DataFrame], most: int) -> dict[str, DataFrame]:
-    """The first `most` rows over all tables that a batch has and the store hasn't; so runs with a budget all get further in a batch over it."""
-    out = {}
+def cut(catalog: Catalog, rows: dict[str, DataFrame], most: int) -> tuple[dict[str, DataFrame], int, bool]:
+    """The first `most` rows over all tables that a batch has and the store hasn't, how many they are, and whether these are all.
+
+    So runs with a budget all get further in a batch over it, and the last of them ends it.
+    """
+    out, taken, whole = {}, 0, True
     for name, df in rows.items():
-        if not most:
-            break
         df = with_ordinal(df)
         for k in catalog.tables[name].keys:
             df = without(df, catalog.table(name), k)
-        out[name] = catalog.stage(one_for_each_key(df, catalog.tables[name].keys).orderBy(ORDINAL).limit(most))
-        most -= out[name].count()
-    return out
+        new = catalog.stage(one_for_each_key(df, catalog.tables[name].keys).orderBy(ORDINAL).limit(most - taken + 1))
+        n = new.count()
+        whole &= n <= most - taken
+        out[name] = new.orderBy(ORDINAL).limit(most - taken)
+        taken += min(n, most - taken)
+    return out, taken, whole
 
 
 def one_for_each_key(df: DataFrame, keys: list[list[str]]) -> DataFrame:
@@ -106,11 +110,11 @@ def commit(ctx: Context, source: str, batch: Batch, totals: Totals) -> bool:
     if ctx.budget.left is not None:
         rows = {t: df if t in staged else catalog.stage(with_ordinal(df)) for t, df in rows.items()}
         staged |= rows.keys()
-        emitted = sum(df.count() for df in rows.values())
-        whole = emitted <= ctx.budget.left
-        if not whole:
-            rows = cut(catalog, rows, ctx.budget.left)
-        ctx.budget.left -= min(emitted, ctx.budget.left)
+        taken = sum(df.count() for df in rows.values())
+        if taken > ctx.budget.left:
+            some, taken, whole = cut(catalog, rows, ctx.budget.left)
+            rows = rows if whole else some
+        ctx.budget.left = ctx.budget.left - taken if whole else 0
     if batch.errors is not None:
         rows["_errors"] = batch.errors.select(F.lit(ctx.run_id).alias("run_id"), F.lit(source).alias("source"), now.alias("occurred_at"), "error", "context")
     if whole:
@@ -130,7 +134,7 @@ def run(catalog: Catalog, source: str, options: dict[str, Any] | None = None, ma
     Each batch's rows, state, errors and read files are committed together.  The row stands there as `running` from the
     start, so a crash leaves it so; at the end it is `completed`, `failed` or `cancelled` (by an interrupt).  The batches that were committed
     before a failure or an interrupt stay, and the next run goes on after them.  max_records bounds the data rows that are taken, before any
-    dedup; a run that reached it is completed.  requests and bytes count the landed files that the run read.
+    dedup (of a batch over it, those that the store hasn't); a run that reached it is completed.  requests and bytes count the landed files that the run read.
     """
     spark = catalog.spark
     started = datetime.now(timezone.utc)

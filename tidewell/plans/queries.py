@@ -264,9 +264,10 @@ def text_byte_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t(spark, sf_dir, "documents").filter(F.col("text").rlike(r"(?U)\S")).select("doc_id", scalars.words_length("text").alias("text_length"))
 
 
-@query("SELECT range AS seq, 'synthetic record ' || range AS payload, sha256('synthetic record ' || range) AS hash FROM range(50, 1050)")
+@query("SELECT seq, 'synthetic record ' || seq AS payload, sha256('synthetic record ' || seq) AS hash FROM (SELECT unnest(range(50, 50 + (SELECT count(*) FROM events))) AS seq)")
 def sha256_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.synthetic(spark, 50, 1000)
+    """As many records as there are events."""
+    return files.synthetic(spark, 50, t(spark, sf_dir, "events").count())
 
 
 @query("SELECT p_brand, string_agg(DISTINCT p_type, ',' ORDER BY p_type) AS topics FROM part GROUP BY p_brand")
@@ -425,11 +426,12 @@ def store_of(spark: SparkSession, tables: dict[str, Table] = TABLES) -> Catalog:
     return Catalog(spark, f"{shared_dir(spark)}/store-{uuid.uuid4().hex}", tables)
 
 
-@query("SELECT range AS seq, sha256('synthetic record ' || range) AS hash, (1 + range // 1000)::BIGINT AS run_id FROM range(2000)")
+@query("SELECT seq, sha256('synthetic record ' || seq) AS hash, (1 + seq // n)::BIGINT AS run_id FROM (SELECT unnest(range(2 * n)) AS seq, n FROM (SELECT count(*) AS n FROM orders))")
 def run_and_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = store_of(spark)
+    """Two runs, each of as many records as there are orders."""
+    store, n = store_of(spark), t(spark, sf_dir, "orders").count()
     for _ in range(2):
-        run(store, "test", {"count": 1000})
+        run(store, "test", {"count": n})
     return store.table("test_records").select("seq", "hash", "run_id")
 
 
@@ -474,7 +476,7 @@ DELEGATED = {
     "g_union_all": "SELECT n_name AS name FROM nation UNION ALL SELECT r_name FROM region",
     "g_intersect": "SELECT c_nationkey AS k FROM customer INTERSECT SELECT s_nationkey FROM supplier",
     "g_except": "SELECT o_orderkey AS k FROM orders EXCEPT SELECT l_orderkey FROM lineitem",
-    "g_recursive_cte": "WITH RECURSIVE t(n) AS (SELECT 1 UNION ALL SELECT n + 1 FROM t WHERE n < 50) SELECT n, n * n AS sq FROM t",
+    "g_recursive_cte": "WITH RECURSIVE t(k, n) AS (SELECT n_nationkey, 1 FROM nation UNION ALL SELECT k, n + 1 FROM t WHERE n < 20) SELECT k, n, n * n AS sq FROM t",
     "g_cte": "WITH big AS (SELECT o_custkey, max(o_totalprice) AS top FROM orders GROUP BY o_custkey) SELECT c_name, top FROM big JOIN customer ON c_custkey = o_custkey",
     "g_case_like": "SELECT p_partkey, CASE WHEN p_type LIKE '%A%' THEN 'has a' WHEN p_size BETWEEN 1 AND 10 THEN 'small' ELSE coalesce(nullif(p_brand, 'Brand#11'), 'eleven') END AS c FROM part",
     "g_date_trunc": "SELECT date_trunc('month', o_orderdate) AS month, count(*) AS n FROM orders GROUP BY date_trunc('month', o_orderdate)",

@@ -7,10 +7,14 @@ import io
 import json
 import uuid
 import zipfile
+from collections.abc import Iterator
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewell.functions import feeds, scalars
 from tidewell.functions.html import extract_html
@@ -18,8 +22,9 @@ from tidewell.operators import options
 from tidewell.operators.catalog import Catalog
 from tidewell.operators.export import NAME, export_rows, json_lines
 from tidewell.operators.runs import SOURCES, run, status
+from tidewell.operators.sweeps import chunks
 from tidewell.plans.queries import query, store_of, t
-from tidewell.sources import files, warc
+from tidewell.sources import files, shards, warc
 
 
 def put(store: Catalog, name: str, data: bytes, modified: int | None = None) -> str:
@@ -36,6 +41,40 @@ def put(store: Catalog, name: str, data: bytes, modified: int | None = None) ->
     return path
 
 
+def land(rows: DataFrame, folder: str, gz: bool = False) -> None:
+    """Files of rows (name, at, data): the data of a name in order of at, written by tasks, as gzip if asked for."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, f = None, None
+        for b in batches:
+            for n, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if n != name:
+                    if f:
+                        f.close()
+                    store, path = shards.store_of(f"{folder}/{n}")
+                    store.create_dir(path.rpartition("/")[0])
+                    raw, name = store.open_output_stream(path, compression=None), n
+                    f = gzip.GzipFile(fileobj=raw, mode="wb") if gz else raw
+                    at = raw
+                f.write(data)
+        if f:
+            f.close()
+            at.close()
+        yield pa.RecordBatch.from_arrays([pa.array([name], pa.string())], names=["name"])
+
+    rows.repartition("name").sortWithinPartitions("name", "at").select("name", F.col("data").cast("binary")).mapInArrow(write, "name string").write.format("noop").mode("overwrite").save()
+
+
+def numbered(rows: DataFrame, key: str, size: int) -> DataFrame:
+    """chunk, pos (from 1, over all) and key: rows in order of a unique key, in runs of size."""
+    return chunks(rows, key, size).select("chunk", F.posexplode("ids").alias("at", key)).select("chunk", (F.col("chunk") * size + F.col("at") + 1).alias("pos"), key)
+
+
+@F.pandas_udf(T.BinaryType())
+def gzipped(data: pd.Series) -> pd.Series:
+    return data.map(gzip.compress)
+
+
 def facts(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame([(k, str(n), None if v is None else str(v)) for k, n, v in rows], "kind string, name string, value string")
 
@@ -150,24 +189,26 @@ UNION ALL SELECT DISTINCT 'state', '4', '{"details_cursor": 0, "repositories_sin
 def repository_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of repositories, one broken; answers for all targets but the sixth; then the sixth's; then none are left."""
     store = store_of(spark)
-    rows = t(spark, sf_dir, "supplier").orderBy("s_suppkey").collect()
-    repos = [{"id": r.s_suppkey + 1, "node_id": f"N{r.s_suppkey}", "full_name": f"o/{r.s_name}", "name": r.s_name} for r in rows]
-    for at in range(0, len(repos), 40):
-        put(store, f"repositories/p{at:06}.json", json.dumps(repos[at : at + 40]).encode())
+    supplier = t(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    rows = numbered(supplier, "s_suppkey", 40).join(supplier, "s_suppkey").select(
+        "chunk", "pos", (F.col("s_suppkey") + 1).alias("id"), F.concat(F.lit("N"), "s_suppkey").alias("node_id"), F.concat(F.lit("o/"), "s_name").alias("full_name"), F.col("s_name").alias("name")
+    )
+    page = F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("pos", "id", "node_id", "full_name", F.col("name").alias("short")))), lambda r: F.struct(r["id"].alias("id"), r["node_id"].alias("node_id"), r["full_name"].alias("full_name"), r["short"].alias("name"))))
+    land(rows.groupBy("chunk").agg(page.alias("data")).select(F.format_string("repositories/p%06d.json", "chunk").alias("name"), F.lit(0).alias("at"), "data"), f"{store.base}/landed")
     put(store, "repositories/broken.json", b'[{"id": 1, ')
     given = {"path": f"{store.base}/landed", "detail_batch": 1_000_000, "refresh_after": "168h"}
     out = run_facts(store, run(store, "github", given))
 
-    def answer(name: str, picked: list[tuple[int, dict]]) -> None:
-        nodes = [{"databaseId": r["id"] if at % 2 else None, "nameWithOwner": r["full_name"], "stargazerCount": at * 3} for at, r in picked]
-        put(store, f"snapshots/{name}.json", json.dumps({"ids": [r["id"] for _, r in picked], "data": {"nodes": nodes}}).encode())
+    def answer(name: str, picked: DataFrame) -> None:
+        node = F.struct("pos", F.when(F.col("pos") % 2 == 1, F.col("id")).alias("databaseId"), F.col("full_name").alias("nameWithOwner"), (F.col("pos") * 3).alias("stargazerCount"), "id")
+        of = picked.groupBy("chunk").agg(F.array_sort(F.collect_list(node)).alias("n"))
+        value = F.to_json(F.struct(F.col("n.id").alias("ids"), F.struct(F.col("n").alias("nodes")).alias("data")))
+        land(of.select(F.format_string(f"snapshots/{name}%06d.json", "chunk").alias("name"), F.lit(0).alias("at"), value.alias("data")), f"{store.base}/landed")
 
-    numbered = list(enumerate(repos, 1))
-    answer("a", numbered[:5])
-    for at in range(6, len(repos), 100):
-        answer(f"b{at}", numbered[at : at + 100])
+    answer("a", rows.filter("pos <= 5"))
+    answer("b", rows.filter("pos > 6"))
     out += run_facts(store, run(store, "github", given))
-    answer("c", numbered[5:6])
+    answer("c", rows.filter("pos = 6"))
     for _ in range(2):
         out += run_facts(store, run(store, "github", given))
     known = store.table("github_repositories").select(F.lit("repository").alias("kind"), F.col("id").cast("string").alias("name"), F.col("full_name").alias("value"))
@@ -188,19 +229,21 @@ UNION ALL SELECT 'crawl', 'CC-' || r_regionkey, r_name FROM region
 UNION ALL SELECT 'cursor', '4', CASE WHEN count(*) > 0 THEN 'waits' END FROM p WHERE pos = 3
 """)
 def crawl_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two index shards, one for each run; pages from one archive; the third page's record is cut off and is tried again by each run."""
+    """Two index shards, one for each run; pages from archives of a hundred; the third page's record is cut off and is tried again by each run."""
     store = store_of(spark)
-    archive, shards = io.BytesIO(), (["broken line"], [])[::-1]
-    for at, r in enumerate(t(spark, sf_dir, "pages").orderBy("page_id").toLocalIterator(), 1):
-        body = b'<html><title>caf\xe9</title><a href="/x">y</a></html>' if at == 2 else r.html.encode()
-        content = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + body
-        member = gzip.compress(b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: %s\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (r.url.encode(), len(content), content))
-        meta = {"url": r.url, "mime": "text/html", "status": "200", "digest": f"D{at}", "length": str(len(member) if at != 3 else 30), "offset": str(archive.tell()), "filename": "a.warc.gz"}
-        shards[at % 2].append(f"com,x)/{at:09} 20260202154500 {json.dumps(meta)}")
-        archive.write(member)
-    for k, lines in enumerate(shards):
-        put(store, f"index/{files.shard_name(k)}", gzip.compress("\n".join(lines).encode()))
-    put(store, "warc/a.warc.gz", archive.getvalue())
+    pages = t(spark, sf_dir, "pages").select("page_id", "url", "html")
+    rows = numbered(pages, "page_id", 100).join(pages, "page_id")
+    body = F.when(F.col("pos") == 2, F.lit(b'<html><title>caf\xe9</title><a href="/x">y</a></html>')).otherwise(F.encode("html", "UTF-8"))
+    content = F.concat(F.lit(b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"), body)
+    head = F.concat(F.lit("WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: "), "url", F.lit("\r\nContent-Length: "), F.octet_length("content").cast("string"), F.lit("\r\n\r\n"))
+    rows = rows.withColumn("content", content).select("chunk", "pos", "url", gzipped(F.concat(F.encode(head, "UTF-8"), "content", F.lit(b"\r\n\r\n"))).alias("member"))
+    before = F.coalesce(F.sum(F.octet_length("member")).over(Window.partitionBy("chunk").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = store.stage(rows.select("pos", "url", F.format_string("a%05d.warc.gz", "chunk").alias("filename"), before.alias("offset"), "member"))
+    land(rows.select(F.concat(F.lit("warc/"), "filename").alias("name"), F.col("pos").alias("at"), F.col("member").alias("data")), f"{store.base}/landed")
+    length = F.when(F.col("pos") == 3, F.lit(30)).otherwise(F.octet_length("member")).cast("string")
+    meta = F.to_json(F.struct("url", F.lit("text/html").alias("mime"), F.lit("200").alias("status"), F.concat(F.lit("D"), "pos").alias("digest"), length.alias("length"), F.col("offset").cast("string").alias("offset"), "filename"))
+    lines = rows.select(F.format_string("index/cdx-%05d.gz", F.col("pos") % 2).alias("name"), F.col("pos").alias("at"), F.concat(F.format_string("com,x)/%09d 20260202154500 ", "pos"), meta, F.lit("\n")).alias("data"))
+    land(lines.unionByName(facts(spark, [("index/cdx-00001.gz", 0, "broken line\n")]).select(F.col("kind").alias("name"), F.lit(0).cast("long").alias("at"), F.col("value").alias("data"))), f"{store.base}/landed", gz=True)
     crawls = put(store, "collinfo.json", json.dumps([{"id": f"CC-{r.r_regionkey}", "name": r.r_name} for r in t(spark, sf_dir, "region").orderBy("r_regionkey").collect()]).encode())
     given = {"crawls": crawls, "crawl": "latest", "index": f"{store.base}/landed/index", "max_shards": 1, "page_batch": 1_000_000}
     for more in ({}, {}, {"warc": f"{store.base}/landed/warc"}, {"warc": f"{store.base}/landed/warc"}):
@@ -210,21 +253,23 @@ def crawl_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     errors = store.table("_errors").groupBy(F.lit("error").alias("kind"), F.substring("context", 6, 1000).alias("name")).agg(F.count("*").cast("string").alias("value"))
     done = store.table("commoncrawl_shards").filter("crawl = 'CC-0'").select(F.lit("shard").alias("kind"), F.col("shard").alias("name"), F.col("lines").cast("string").alias("value"))
     names = store.table("commoncrawl_crawls").select(F.lit("crawl").alias("kind"), F.col("id").alias("name"), F.col("name").alias("value"))
-    failed = store.table("commoncrawl_index").filter("length = 30").agg(F.first("id")).first()[0]
+    failed = store.table("commoncrawl_index").filter("digest = 'D3'").agg(F.first("id")).first()[0]
     waits = facts(spark, [("cursor", row["id"], "waits" if failed is None or cursor < failed else "went on")])
     return pages.unionByName(errors).unionByName(done).unionByName(names).unionByName(waits)
 
 
 @query("SELECT page_id, url, 'response' AS type, 200::INTEGER AS status, strlen(html)::BIGINT AS body_bytes, url AS id FROM pages")
 def warc_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records of two archives, one of them gzip by record, through the data source; a header goes over two lines."""
+    """Records of eight archives, half of them gzip by record, through the data source; a header goes over two lines."""
     store = store_of(spark)
-    parts: list[list[bytes]] = [[], []]
-    for r in t(spark, sf_dir, "pages").toLocalIterator():
-        content = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + r.html.encode()
-        head = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Target-URI: <%s>\r\nX-Page: %d\r\n  \r\nContent-Length: %d\r\n\r\n" % (r.url.encode(), r.page_id, len(content))
-        parts[r.page_id % 2].append(head + content + b"\r\n\r\n")
-    paths = [put(store, "a.warc", b"".join(parts[0])), put(store, "b.warc.gz", b"".join(map(gzip.compress, parts[1])))]
+    rows = t(spark, sf_dir, "pages").select("page_id", "url", F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"), "html").alias("content"))
+    head = F.concat(F.lit("WARC/1.1\r\nWARC-Type: response\r\nWARC-Target-URI: <"), "url", F.lit(">\r\nX-Page: "), "page_id", F.lit("\r\n  \r\nContent-Length: "), F.octet_length("content").cast("string"), F.lit("\r\n\r\n"))
+    record = F.encode(F.concat(head, "content", F.lit("\r\n\r\n")), "UTF-8")
+    k = F.col("page_id") % 8
+    for odd, data in ((0, record), (1, gzipped(record))):
+        name = F.concat(F.lit("warc/"), k.cast("string"), F.lit(".warc.gz" if odd else ".warc"))
+        land(rows.filter(k % 2 == odd).select(name.alias("name"), F.col("page_id").alias("at"), data.alias("data")), f"{store.base}/landed")
+    paths = [f"{store.base}/landed/warc/{k}.warc{'.gz' * (k % 2)}" for k in range(8)]
     spark.dataSource.register(warc.WarcSource)
     rows = warc.with_responses(spark.read.format("warc").option("paths", ",".join(paths)).load())
     page = F.trim(F.element_at("headers", F.lit("x-page"))).cast("long")
@@ -246,17 +291,19 @@ def file_list_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
+WITH c AS (SELECT count(*) AS n FROM customer)
 SELECT * FROM (VALUES ('migration', '1', 'meta'), ('migration', '2', 'test'), ('migration', '3', 'rss'), ('migration', '4', 'gdelt'), ('migration', '5', 'github'), ('migration', '6', 'commoncrawl'), ('migration', '7', 'landed_files'),
-  ('init', '1', '7'), ('init', '2', '0'), ('run', '1', 'completed 10'), ('run', '2', 'failed 0'), ('run', '3', 'completed 5'), ('latest', 'rss', 'failed'), ('latest', 'test', 'completed'),
-  ('state', 'test', '{"seq": 15}'), ('records', 'test', '15'), ('after clear', 'test', NULL), ('again', 'test', '0 inserted, 5 duplicates')) v(kind, name, value)
+  ('init', '1', '7'), ('init', '2', '0'), ('run', '2', 'failed 0'), ('latest', 'rss', 'failed'), ('latest', 'test', 'completed'), ('after clear', 'test', NULL)) v(kind, name, value)
+UNION ALL SELECT 'run', '1', 'completed ' || 2 * n FROM c UNION ALL SELECT 'run', '3', 'completed ' || n FROM c UNION ALL SELECT 'state', 'test', '{"seq": ' || 3 * n || '}' FROM c
+UNION ALL SELECT 'records', 'test', (3 * n)::VARCHAR FROM c UNION ALL SELECT 'again', 'test', '0 inserted, ' || n || ' duplicates' FROM c
 """)
 def store_and_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Migrations, run rows, errors of a run, saved states, and a state cleared: rows stay and are found again as duplicates."""
-    store = store_of(spark)
+    """Migrations, run rows, errors of a run, saved states, and a state cleared: rows stay and are found again as duplicates.  Runs take as many records as there are customers, or twice as many."""
+    store, n = store_of(spark), t(spark, sf_dir, "customer").count()
     out = [("init", k, store.init()) for k in (1, 2)]
-    run(store, "test", {"count": 10})
+    run(store, "test", {"count": 2 * n})
     run(store, "rss", {"path": f"{store.base}/nothing"})
-    run(store, "test", {"count": 5})
+    run(store, "test", {"count": n})
     out += [("migration", r.version, r.name) for r in store.table("_migrations").collect()]
     out += [("run", r.id, f"{r.status} {r.records}") for r in store.table("_runs").collect()]
     out += [("latest", r.source, r.status) for r in status(store).collect()]
@@ -264,49 +311,85 @@ def store_and_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     out += [("records", "test", store.table("test_records").count())]
     store.clear_state("test")
     out += [("after clear", "test", store.state("test") or None)]
-    row = run(store, "test", {"count": 5})
+    row = run(store, "test", {"count": n})
     return facts(spark, [*out, ("again", "test", f"{row['records']} inserted, {row['duplicates']} duplicates")])
 
 
-@query("SELECT unnest(['commoncrawl', 'gdelt', 'github', 'rss', 'test']) AS source")
+@query("SELECT o_orderkey, name, name IN ('commoncrawl', 'gdelt', 'github', 'rss', 'test') AS known FROM (SELECT o_orderkey, ['commoncrawl', 'gdelt', 'github', 'rss', 'test', 'feeds', 'RSS'][o_orderkey % 7 + 1] AS name FROM orders)")
 def source_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.createDataFrame([(n,) for n in SOURCES], "source string")
+    """Which names are sources."""
+    name = F.get(F.array(*map(F.lit, ["commoncrawl", "gdelt", "github", "rss", "test", "feeds", "RSS"])), (F.col("o_orderkey") % 7).cast("int"))
+    return t(spark, sf_dir, "orders").select("o_orderkey", name.alias("name")).withColumn("known", F.col("name").isin(*SOURCES))
 
 
-@query("SELECT unnest(['_errors', '_landed_files', '_migrations', '_runs', '_source_state', 'commoncrawl_crawls', 'commoncrawl_index', 'commoncrawl_pages', 'commoncrawl_shards', 'gdelt_events', 'gdelt_files', 'gdelt_mentions', 'github_events', 'github_repositories', 'github_repository_snapshots', 'rss_feeds', 'rss_items', 'test_records']) AS name")
+@query("""
+WITH n AS (SELECT ['_errors', '_landed_files', '_migrations', '_runs', '_source_state', 'commoncrawl_crawls', 'commoncrawl_index', 'commoncrawl_pages', 'commoncrawl_shards', 'gdelt_events', 'gdelt_files', 'gdelt_mentions', 'github_events',
+  'github_repositories', 'github_repository_snapshots', 'rss_feeds', 'rss_items', 'test_records'] AS names)
+SELECT p_partkey, CASE WHEN p_partkey % 19 < 18 THEN names[p_partkey % 19 + 1] ELSE p_brand END AS name, p_partkey % 19 < 18 AS there FROM part, n
+""")
 def store_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What export offers by name."""
+    """What export offers by name, asked for the names that rows have."""
     store = store_of(spark)
     store.register()
-    return spark.createDataFrame([(x.name,) for x in spark.catalog.listTables() if x.name in store.tables], "name string")
+    names = sorted(store.tables)
+    offered = spark.createDataFrame([(x.name, True) for x in spark.catalog.listTables() if x.name in store.tables], "name string, there boolean")
+    name = F.coalesce(F.get(F.array(*map(F.lit, names)), (F.col("p_partkey") % 19).cast("int")), "p_brand")
+    rows = t(spark, sf_dir, "part").select("p_partkey", name.alias("name"))
+    return rows.join(F.broadcast(offered), "name", "left").select("p_partkey", "name", F.coalesce("there", F.lit(False)).alias("there"))
 
 
 @query("""
-SELECT * FROM (VALUES ('36h', '20260130033000'), ('1h30m', '20260131140000'), ('90s', '20260131152830'), ('2026-02-01', '20260201000000'), ('2026-02-01T10:20:30', '20260201102030'),
-  ('2026-02-01T10:20:30Z', '20260201102030'), ('2026-02-01T10:20:30.123456789+02:00', '20260201082030'), ('01.02.2026', NULL), ('2026-02-30', NULL), ('soon', NULL)) v(flag, stamp)
+SELECT o_orderkey, flag, CASE k WHEN 0 THEN strftime(TIMESTAMP '2026-01-31 15:30:00' - to_hours(o_orderkey % 90), '%Y%m%d%H%M%S') WHEN 1 THEN strftime(TIMESTAMP '2026-01-31 15:30:00' - to_minutes(60 * (o_orderkey % 90) + 30), '%Y%m%d%H%M%S')
+  WHEN 2 THEN strftime(TIMESTAMP '2026-01-31 15:30:00' - to_seconds(o_orderkey % 90), '%Y%m%d%H%M%S') WHEN 3 THEN strftime(o_orderdate, '%Y%m%d') || '000000' WHEN 4 THEN strftime(o_orderdate, '%Y%m%d') || '102030' WHEN 5 THEN strftime(o_orderdate, '%Y%m%d') || '102030'
+  WHEN 6 THEN strftime(o_orderdate, '%Y%m%d') || '082030' END AS stamp
+FROM (SELECT o_orderkey, o_orderdate, o_orderkey % 10 AS k, CASE o_orderkey % 10 WHEN 0 THEN o_orderkey % 90 || 'h' WHEN 1 THEN o_orderkey % 90 || 'h30m' WHEN 2 THEN o_orderkey % 90 || 's' WHEN 3 THEN d WHEN 4 THEN d || 'T10:20:30'
+  WHEN 5 THEN d || 'T10:20:30Z' WHEN 6 THEN d || 'T10:20:30.123456789+02:00' WHEN 7 THEN strftime(o_orderdate, '%d.%m.%Y') WHEN 8 THEN strftime(o_orderdate, '%Y') || '-02-30' ELSE 'soon' END AS flag
+  FROM (SELECT *, strftime(o_orderdate, '%Y-%m-%d') AS d FROM orders))
 """)
 def time_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flags of all forms, of orders' dates and keys; those that are no time give none."""
     now = datetime(2026, 1, 31, 15, 30, tzinfo=timezone.utc)
-    out = []
-    for flag in ("36h", "1h30m", "90s", "2026-02-01", "2026-02-01T10:20:30", "2026-02-01T10:20:30Z", "2026-02-01T10:20:30.123456789+02:00", "01.02.2026", "2026-02-30", "soon"):
-        try:
-            out.append((flag, f"{options.time_flag(flag, now):%Y%m%d%H%M%S}"))
-        except ValueError:
-            out.append((flag, None))
-    return spark.createDataFrame(out, "flag string, stamp string")
+
+    @F.pandas_udf(T.StringType())
+    def stamped(flags: pd.Series) -> pd.Series:
+        def stamp(flag: str) -> str | None:
+            try:
+                return f"{options.time_flag(flag, now):%Y%m%d%H%M%S}"
+            except ValueError:
+                return None
+
+        return flags.map(stamp)
+
+    d, n = F.date_format("o_orderdate", "yyyy-MM-dd"), (F.col("o_orderkey") % 90).cast("string")
+    forms = [
+        F.concat(n, F.lit("h")), F.concat(n, F.lit("h30m")), F.concat(n, F.lit("s")), d, F.concat(d, F.lit("T10:20:30")), F.concat(d, F.lit("T10:20:30Z")), F.concat(d, F.lit("T10:20:30.123456789+02:00")),
+        F.date_format("o_orderdate", "dd.MM.yyyy"), F.concat(F.date_format("o_orderdate", "yyyy"), F.lit("-02-30")), F.lit("soon"),
+    ]
+    flag = F.get(F.array(*forms), (F.col("o_orderkey") % 10).cast("int"))
+    return t(spark, sf_dir, "orders").select("o_orderkey", flag.alias("flag")).withColumn("stamp", stamped("flag"))
 
 
 @query("""
-SELECT * FROM (VALUES ('whole', '7'), ('whole of text', '8'), ('whole of junk', '1'), ('flag', 'True'), ('flag of text', 'False'), ('seconds', '5400.0'), ('seconds of junk', '3.0'), ('texts', 'a,b'), ('texts of one', 'x'),
-  ('text', '1.5'), ('text of nothing', 'd'), ('text of the environment', 'd')) v(name, value)
+SELECT p_partkey, p_size::BIGINT AS whole, CASE WHEN p_partkey % 2 = 0 THEN p_size ELSE -1 END::BIGINT AS whole_text, p_partkey % 3 = 0 AS flag, CASE WHEN p_partkey % 2 = 0 THEN 3600.0 + 60 * p_size ELSE 3.0 END AS seconds,
+  CASE WHEN p_partkey % 2 = 0 THEN p_brand || ',' || p_type ELSE p_brand END AS texts, CASE WHEN p_partkey % 2 = 0 THEN p_size::VARCHAR ELSE 'd' END AS text, 'd' AS environment
+FROM part
 """)
 def typed_options(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = options.Options({"n": 7.9, "s": " 8 ", "junk": "j", "yes": True, "no": "F", "long": "1h30m", "list": [" a ", "", "b"], "one": "x", "f": 1.5, "none": None, "env": "${TIDEWELL_NOT_SET_" + uuid.uuid4().hex + "}"})
-    rows = [
-        ("whole", o.whole("n")), ("whole of text", o.whole("s")), ("whole of junk", o.whole("junk", 1)), ("flag", o.flag("yes")), ("flag of text", o.flag("no", True)), ("seconds", o.seconds("long")), ("seconds of junk", o.seconds("junk", 3.0)),
-        ("texts", ",".join(o.texts("list"))), ("texts of one", ",".join(o.texts("one"))), ("text", o.text("f")), ("text of nothing", o.text("none", "d")), ("text of the environment", o.text("env", "d")),
-    ]
-    return spark.createDataFrame([(k, str(v)) for k, v in rows], "name string, value string")
+    """Options of all types made of parts, right and wrong ones, read with their defaults."""
+    unset = "${TIDEWELL_NOT_SET_" + uuid.uuid4().hex + "}"
+    kind = T.StructType.fromDDL("whole long, whole_text long, flag boolean, seconds double, texts string, text string, environment string")
+
+    @F.pandas_udf(kind)
+    def read(key: pd.Series, size: pd.Series, brand: pd.Series, type_: pd.Series) -> pd.DataFrame:
+        rows = []
+        for k, n, b, ty in zip(key.tolist(), size.tolist(), brand, type_):
+            even = k % 2 == 0
+            o = options.Options({"n": n + 0.9, "s": f" {n} " if even else f"{n}x", "flag": ("T" if k % 2 else True) if k % 3 == 0 else "F", "long": f"1h{n}m" if even else "an hour", "list": [f" {b} ", "", ty] if even else b, "text": n if even else None, "env": unset})
+            rows.append((o.whole("n"), o.whole("s", -1), o.flag("flag", True), o.seconds("long", 3.0), ",".join(o.texts("list")), o.text("text", "d"), o.text("env", "d")))
+        return pd.DataFrame(rows, columns=kind.names)
+
+    rows = t(spark, sf_dir, "part").select("p_partkey", read(F.col("p_partkey"), F.col("p_size"), F.col("p_brand"), F.col("p_type")).alias("o"))
+    return rows.select("p_partkey", "o.*")
 
 
 @query("SELECT n_nationkey, name, regexp_full_match(name, '[A-Za-z_][A-Za-z0-9_]*') AS valid FROM (SELECT n_nationkey, CASE n_nationkey % 4 WHEN 0 THEN lower(n_name) WHEN 1 THEN n_nationkey || n_name WHEN 2 THEN '_' || n_nationkey ELSE n_name || ';x' END AS name FROM nation)")
@@ -317,9 +400,9 @@ def table_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t(spark, sf_dir, "nation").select("n_nationkey", name.alias("name")).withColumn("valid", F.col("name").rlike(NAME.pattern))
 
 
-@query("SELECT range AS n, 'cdx-' || lpad(range::VARCHAR, 5, '0') || '.gz' AS name FROM range(300)")
+@query("SELECT p_partkey, printf('cdx-%05d.gz', p_partkey) AS name FROM part")
 def shard_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.createDataFrame([(n, files.shard_name(n)) for n in range(300)], "n long, name string")
+    return t(spark, sf_dir, "part").select("p_partkey", files.shard_name(F.col("p_partkey")).alias("name"))
 
 
 # --- normalisers: all date patterns, HTML of the head, values in exports ------------------------------------------------------

@@ -149,8 +149,9 @@ def shard_of(path: Column) -> Column:
     return F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"\.gz$", "")
 
 
-def shard_name(n: int) -> str:
-    return f"cdx-{n:05d}.gz"
+def shard_name(n: Column) -> Column:
+    """The file name of a crawl's n-th index shard."""
+    return F.format_string("cdx-%05d.gz", n)
 
 
 def read_crawls(spark: SparkSession, path: str) -> DataFrame:
