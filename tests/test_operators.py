@@ -6,7 +6,9 @@ import json
 import random
 import zipfile
 
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tidewell.functions.feeds import raw_feed
 from tidewell.functions.html import extract
@@ -143,6 +145,38 @@ def test_warc_and_pages(spark, tmp_path):
         list(warc.records(io.BytesIO(b"junk\r\n")))
 
 
+def test_bad_archives_are_rows(spark, tmp_path):
+    """A negative length, a record cut off in plain and in gzip, junk: the records before it, then an error; the other archives go on."""
+    good = b"".join(record(i) for i in range(3))
+    bad = {"a.warc": good, "b.warc": good + b"WARC/1.0\r\nContent-Length: -1\r\n\r\n" + good, "c.warc": good + record(9)[:-60], "d.warc.gz": gzip.compress(good)[:-12], "e.warc": b"junk\r\n", "f.warc": b""}
+    for name, data in bad.items():
+        (tmp_path / name).write_bytes(data)
+    spark.dataSource.register(warc.WarcSource)
+    rows = spark.read.format("warc").option("paths", ",".join(str(tmp_path / n) for n in [*bad, "gone.warc"])).load().collect()
+    whole, errors = {}, {}
+    for r in rows:
+        of = errors if r.error else whole
+        of.setdefault(r.path.rpartition("/")[2], []).append(r.error or r.target_uri)
+    assert {n: len(x) for n, x in whole.items() if n != "d.warc.gz"} == {"a.warc": 3, "b.warc": 3, "c.warc": 3} and {n: len(x) for n, x in errors.items()} == dict.fromkeys(("b.warc", "c.warc", "d.warc.gz", "e.warc", "gone.warc"), 1)
+    assert "-1" in errors["b.warc"][0] and "cut off" in errors["c.warc"][0]
+
+
+def test_pages_are_fetched_by_several_tasks(spark, tmp_path, monkeypatch):
+    targets, at = [], 0
+    for k in range(40):
+        parts = [gzip.compress(record(100 * k + i, b"<title>%d</title>" % (100 * k + i))) for i in range(5)]
+        (tmp_path / f"{k}.warc.gz").write_bytes(b"".join(parts))
+        targets += [(100 * k + i, "C", "u", "s", "d", f"{k}.warc.gz", sum(map(len, parts[:i])), len(parts[i]) if (k, i) != (7, 2) else 20) for i in range(5)]
+    df = spark.createDataFrame(targets, "index_id long, crawl string, url string, stamp string, digest string, filename string, offset long, length long")
+    fetched = warc.fetch_records(df, str(tmp_path), 4)
+    assert fetched.groupBy(F.spark_partition_id()).count().count() == 4
+    pages = warc.page_rows(fetched).collect()
+    assert len(pages) == 200 and [p.index_id for p in pages if p.error] == [702]
+    assert all(p.title == str(p.index_id) for p in pages if not p.error)
+    some = pd.DataFrame([(f, o, 10) for f, o in (("a", 0), ("a", 50), ("a", 200_000), ("b", 200_010), ("b", 200_015))], columns=["filename", "offset", "length"])
+    assert [[(t.filename, t.offset) for t in run] for run in warc.spans(some)] == [[("a", 0), ("a", 50)], [("a", 200_000)], [("b", 200_010), ("b", 200_015)]]
+
+
 def test_crawl_index_run(spark, tmp_path):
     lines = [f'com,x)/{i} 20260202154500 {{"url": "http://x/{i}", "status": "200"}}' for i in range(20)] + ["broken"]
     landed = tmp_path / "landed"

@@ -4,19 +4,23 @@ from __future__ import annotations
 
 import gzip
 import io
+import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from http.client import HTTPException, HTTPResponse
 from typing import Any, BinaryIO
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tidewell.functions.html import extract_html
 from tidewell.functions.scalars import at_least_zero, empty_to_null, first_non_empty
+from tidewell.sources.shards import store_of
 
-RECORD = "version string, type string, target_uri string, date string, digest string, headers map<string,string>, length long, content binary"
+RECORD = "version string, type string, target_uri string, date string, digest string, headers map<string,string>, length long, content binary, path string, error string"
 
 
 class MalformedRecord(ValueError):
@@ -53,7 +57,11 @@ def records(f: BinaryIO) -> Iterator[dict[str, Any]]:
             length = int(headers.get("content-length", ""))
         except ValueError:
             raise MalformedRecord("no content length") from None
+        if length < 0:
+            raise MalformedRecord(f"content length {length}")
         content = f.read(length)
+        if len(content) < length:
+            raise MalformedRecord(f"a record of {length} bytes is cut off after {len(content)}")
         for _ in range(2):
             if f.readline().strip():
                 raise MalformedRecord("no separator after a record")
@@ -63,37 +71,79 @@ def records(f: BinaryIO) -> Iterator[dict[str, Any]]:
         }
 
 
-def opened(path: str, offset: int = 0, length: int | None = None) -> BinaryIO:
-    """A file of any store that Arrow knows, or a range of it, gunzipped if it is gzip."""
-    from pyarrow import fs
-
-    store, name = fs.FileSystem.from_uri(path) if "://" in path else fs.FileSystem.from_uri("file://" + path.removeprefix("file:"))
-    f = store.open_input_file(name)
+def unzipped(f: Any, offset: int = 0, length: int | None = None) -> BinaryIO:
+    """An open file from an offset on, or a range of it, gunzipped if it is gzip."""
     f.seek(offset)
     raw = io.BytesIO(f.read(length)) if length is not None else io.BufferedReader(f, 1 << 16)
-    return gzip.GzipFile(fileobj=raw) if raw.read(2) == b"\x1f\x8b" and raw.seek(-2, 1) >= 0 else _back(raw)
-
-
-def _back(raw: BinaryIO) -> BinaryIO:
-    raw.seek(-min(2, raw.tell()), 1)
-    return raw
+    head = raw.read(2)
+    raw.seek(-len(head), 1)
+    return gzip.GzipFile(fileobj=raw) if head == b"\x1f\x8b" else raw
+
+
+RECORDS = pa.schema([
+    ("version", pa.string()), ("type", pa.string()), ("target_uri", pa.string()), ("date", pa.string()), ("digest", pa.string()), ("headers", pa.map_(pa.string(), pa.string())), ("length", pa.int64()), ("content", pa.binary()),
+    ("path", pa.string()), ("error", pa.string()),
+])
+#: Bytes of content in a batch of records, about; files of a task, and bytes of them.
+BATCH_BYTES, FILES, FILE_BYTES = 8 << 20, 100, 64 << 20
+
+
+def record_batches(path: str) -> Iterator[pa.RecordBatch]:
+    """Records of an archive; what can't be read gives one row with error, after the records before it."""
+    held: list[dict[str, Any]] = []
+    size = 0
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist([r | {"headers": list(r["headers"].items()), "path": path} for r in held], RECORDS)
+
+    try:
+        store, name = store_of(path)
+        with store.open_input_file(name) as f:
+            for r in records(unzipped(f)):
+                held.append(r)
+                size += r["length"]
+                if size > BATCH_BYTES:
+                    yield batch()
+                    held, size = [], 0
+        wrong = None
+    except (OSError, ValueError, EOFError, zlib.error) as e:
+        wrong = f"{type(e).__name__}: {e}"
+    if held:
+        yield batch()
+    if wrong:
+        yield pa.RecordBatch.from_pylist([{"path": path, "error": wrong}], RECORDS)
+
+
+@dataclass
+class Files(InputPartition):
+    paths: list[str]
 
 
 class WarcReader(DataSourceReader):
     def __init__(self, paths: list[str]) -> None:
         self.paths = paths
 
-    def partitions(self) -> list[InputPartition]:
-        return [InputPartition(p) for p in self.paths]
-
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        with opened(partition.value) as f:
-            for r in records(f):
-                yield tuple(r.values())
+    def partitions(self) -> list[Files]:
+        """Small files share a task: up to FILES of them, with up to FILE_BYTES."""
+        out: list[Files] = []
+        left = 0
+        for p in self.paths:
+            store, name = store_of(p)
+            size = store.get_file_info(name).size or 0
+            if not out or size > left or len(out[-1].paths) >= FILES:
+                out.append(Files([]))
+                left = FILE_BYTES
+            out[-1].paths.append(p)
+            left -= size
+        return out
+
+    def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
+        for p in partition.paths:
+            yield from record_batches(p)
 
 
 class WarcSource(DataSource):
-    """spark.read.format("warc").option("paths", "a.warc.gz,b.warc.gz").load(): a partition for each file."""
+    """spark.read.format("warc").option("paths", "a.warc.gz,b.warc.gz").load(): records with their file, and a row with error where one can't be read further."""
 
     @classmethod
     def name(cls) -> str:
@@ -142,29 +192,77 @@ def with_responses(rows: DataFrame) -> DataFrame:
     return rows.withColumn("http", F.pandas_udf(responses, RESPONSE)("type", "content"))
 
 
-def fetch_records(targets: DataFrame, base: str) -> DataFrame:
+#: Bytes of archives that a task fetches, about; ranges nearer than GAP in a file are read at once, up to SPAN bytes.
+TASK_BYTES, GAP, SPAN = 32 << 20, 64 << 10, 8 << 20
+
+
+def fetch_records(targets: DataFrame, base: str, tasks: int | None = None) -> DataFrame:
     """Records of targets (index_id, crawl, url, stamp, digest, filename, offset, length) under a base path, with error.
 
-    Targets are dealt out by file and sorted by offset, so each task reads a file forward; a record that can't be read gives a row with error.
+    Targets are dealt to tasks in order of file and offset: each task opens a file once and reads ranges that lie close
+    together at once.  tasks: at least so many (the session's cores without it), more where they would fetch over TASK_BYTES each.
+    A record that can't be read gives a row with error.
     """
     kept = targets.select("index_id", "crawl", F.col("url").alias("index_url"), "stamp", F.col("digest").alias("index_digest"), "filename", "offset", "length")
+    n, size = kept.agg(F.count("*"), F.sum(F.coalesce(F.col("length"), F.lit(0)) + GAP)).first()
+    tasks = max(1, min(n, max(tasks or targets.sparkSession.sparkContext.defaultParallelism, -(-(size or 0) // TASK_BYTES))))
+    order = ["filename", "offset", "index_id"]
+    rows = kept.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
     schema = "index_id long, crawl string, index_url string, stamp string, index_digest string, warc_filename string, warc_offset long, type string, target_uri string, digest string, content binary, error string"
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def fetch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [x.split()[0] for x in schema.split(", ")]
+        name, f = None, None
         for pdf in frames:
-            rows = []
-            for t in pdf.itertuples(index=False):
+            for run in spans(pdf):
+                rows, size, first = [], 0, run[0]
                 try:
-                    with opened(f"{base}/{t.filename}", int(t.offset), int(t.length)) as f:
-                        r = next(records(f), None) or {}
-                    found = (r.get("type"), r.get("target_uri"), r.get("digest"), r.get("content"), None if r else "no record")
-                except (OSError, ValueError, EOFError) as e:
-                    found = (None, None, None, None, f"{type(e).__name__}: {e}")
-                rows.append((*t[:7], *found))
-            yield pd.DataFrame(rows, columns=names)
-
-    return kept.repartition("filename").sortWithinPartitions("filename", "offset").mapInPandas(fetch, schema)
+                    if first.filename != name:
+                        if f is not None:
+                            f.close()
+                        name, f = None, None
+                        store, path = store_of(f"{base}/{first.filename}")
+                        name, f = first.filename, store.open_input_file(path)
+                    f.seek(int(first.offset))
+                    data = f.read(max(int(t.offset) + int(t.length) for t in run) - int(first.offset))
+                    wrong = None
+                except (OSError, ValueError) as e:
+                    data, wrong = b"", f"{type(e).__name__}: {e}"
+                for t in run:
+                    rows.append((*t[:7], *(one_record(data, int(t.offset - first.offset), int(t.length)) if wrong is None else (None, None, None, None, wrong))))
+                    size += len(rows[-1][-2] or b"")
+                    if size > BATCH_BYTES:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows, size = [], 0
+                if rows:
+                    yield pd.DataFrame(rows, columns=names)
+        if f is not None:
+            f.close()
+
+    return rows.mapInPandas(fetch, schema)
+
+
+def spans(targets: pd.DataFrame) -> Iterator[list[Any]]:
+    """Runs of targets of one file that are near enough to be read at once; the frame is sorted by file and offset."""
+    run: list[Any] = []
+    end = 0
+    for t in targets.itertuples(index=False):
+        if run and (t.filename != run[0].filename or t.offset > end + GAP or max(end, t.offset + t.length) - run[0].offset > SPAN):
+            yield run
+            run, end = [], 0
+        run.append(t)
+        end = max(end, t.offset + t.length)
+    if run:
+        yield run
+
+
+def one_record(data: bytes, at: int, length: int) -> tuple[Any, ...]:
+    """Type, target, digest, content and error of the first record of a range."""
+    try:
+        r = next(records(unzipped(io.BytesIO(data[at : at + length]))), None)
+    except (OSError, ValueError, EOFError, zlib.error) as e:
+        return None, None, None, None, f"{type(e).__name__}: {e}"
+    return (r["type"], r["target_uri"], r["digest"], r["content"], None) if r else (None, None, None, None, "no record")
 
 
 def page_rows(fetched: DataFrame, store_text: bool = False, text_limit: int = 4096, collect_links: bool = True) -> DataFrame:
