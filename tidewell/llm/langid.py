@@ -16,11 +16,18 @@ from tidewell.llm.common import chunks, set_aside, stored
 BUCKETS = 1 << 15
 #: Shares up to this are nothing but rounding: such languages are taken out together.
 ZERO = 1e-12
-LETTER = re.compile(r"[^\W\d_]")
+#: Steps of a fit, and of one over more than FEW languages, which only tells which of them may matter.
+STEPS, FIRST_STEPS, FEW = 50, 8, 20
+PLAIN = re.compile(r"[A-Za-z]")
 #: What isn't a letter of ASCII or a byte of a longer character counts as a blank.
 LETTERS = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
+def has_letter(text: str | None) -> bool:
+    """Whether a text has a letter of any script (categories L); numbers such as fractions and Roman ones are none."""
+    return bool(text) and (PLAIN.search(text) is not None or any(map(str.isalpha, text)))
+
+
 def trigrams(text: str) -> np.ndarray:
     """Buckets of the byte trigrams of a lower-cased text between blanks."""
     b = np.frombuffer(b"  " + b" ".join(text.lower().encode().translate(LETTERS).split()) + b" ", np.uint8).astype(np.uint32)
@@ -55,7 +62,7 @@ def train(docs: DataFrame, where: Column | None = None, lang: str = "lang", most
 
         for b in chunks(batches):
             for name, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if LETTER.search(text):
+                if has_letter(text):
                     if name not in seen:
                         if len(seen) == most_languages:
                             yield from counted()
@@ -79,47 +86,55 @@ def train(docs: DataFrame, where: Column | None = None, lang: str = "lang", most
     return Model([r.lang for r in found], np.log(counts / counts.sum(1, keepdims=True)) if found else counts)
 
 
-def shares(logs: np.ndarray, n: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, float]:
-    """The languages' shares that expectation-maximisation finds for trigram counts n, and the log-likelihood.
+def shares(logs: np.ndarray, n: np.ndarray, start: np.ndarray, steps: int = STEPS) -> tuple[np.ndarray, float, float]:
+    """The languages' shares that expectation-maximisation finds for trigram counts n, the log-likelihood, and a bound of it for any shares.
 
-    logs: languages x distinct trigrams.
+    logs: languages x distinct trigrams.  The log-likelihood is concave, so no shares have more than that of the last ones
+    and the total times what their steepest language gains.
     """
     top = logs.max(0)
     p = np.exp(logs - top)
-    w, total, last = start, n.sum(), -np.inf
-    for _ in range(50):
+    w, total, last, most = start, n.sum(), -np.inf, np.inf
+    for _ in range(steps):
         mixed = w @ p
         like = float(n @ np.log(mixed))
+        gain = p @ (n / mixed) / total
+        most = min(most, like + total * (float(gain.max()) - 1))
         if like - last < 1e-4 * total:
             break
         last = like
-        w = w * (p @ (n / mixed)) / total
+        w = w * gain
         w = w / w.sum()
-    return w, like + float(n @ top)
+    return w, like + float(n @ top), most + float(n @ top)
 
 
 def mixture(model: Model, text: str, penalty: float = 1.0) -> dict[str, float]:
     """Shares of the languages of a text with letters, most first.
 
-    The language with the least share is taken out and the shares fitted anew, until one is left; of these sets the one
-    with the best log-likelihood less penalty * log(trigrams) * sqrt(trigrams) for each language after the first wins
+    The language with the least share is taken out and the shares fitted anew, until one is left; of these sets and the best single
+    language the one with the best log-likelihood less penalty * log(trigrams) * sqrt(trigrams) for each language after the first wins
     (overlapping trigrams aren't independent, so the usual half a log for each language would add too many).
+    Sets too large to win, by the bound of the likelihood, are passed over: down to the largest that may, half of the languages go at once.
     """
     at, n = np.unique(trigrams(text), return_counts=True)
     logs, names = model.logs[:, at], np.arange(len(model.languages))
     cost = penalty * np.log(n.sum() + 1.0) * np.sqrt(n.sum())
-    w = np.full(len(names), 1 / len(names))
-    best: tuple[float, np.ndarray, np.ndarray] | None = None
-    while True:
-        w, like = shares(logs[names], n, w)
+    alone = logs @ n
+    first = int(alone.argmax())
+    best: tuple[float, np.ndarray, np.ndarray] = (float(alone[first]), names[first : first + 1], np.ones(1))
+    w, bound = np.full(len(names), 1 / len(names)), np.inf
+    while len(names) > 1:
+        w, like, most = shares(logs[names], n, w, STEPS if len(names) <= FEW else FIRST_STEPS)
         score = like - cost * (len(names) - 1)
-        if best is None or score >= best[0]:
+        if score >= best[0]:
             best = (score, names, w)
-        if len(names) == 1:
-            break
+        bound = min(bound, most)
+        may = len(names) if cost <= 0 else 1 + int(max(bound - best[0], 0.0) // cost)
         keep = w > ZERO
         if keep.all():
-            keep = np.arange(len(w)) != int(np.argmin(w))
+            keep = np.ones(len(w), bool)
+            go = max(len(names) - max(may, len(names) // 2), 1)
+            keep[np.argsort(w, kind="stable")[:go]] = False
         names, w = names[keep], w[keep] / w[keep].sum()
     _, names, w = best
     return dict(sorted(((model.languages[k], float(x)) for k, x in zip(names, w)), key=lambda p: (-p[1], p[0])))
@@ -139,7 +154,7 @@ def identify(docs: DataFrame, model: Model, penalty: float = 1.0) -> DataFrame:
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         for b in chunks(batches):
-            found = [mixture(m, t, penalty) if t and m.languages and LETTER.search(t) else {} for t in b.column(1).to_pylist()]
+            found = [mixture(m, t, penalty) if m.languages and has_letter(t) else {} for t in b.column(1).to_pylist()]
             name = [next(iter(x), "und") for x in found]
             score = [min(1.0, next(iter(x.values()), 0.0)) for x in found]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(name, pa.string()), pa.array(score, pa.float64()), pa.array([list(x.items()) for x in found], pa.map_(pa.string(), pa.float64()))], names=["doc_id", "lang_pred", "score", "languages"])
@@ -160,7 +175,7 @@ def keep_identified(docs: DataFrame, model: Model, least: float = 0.5, penalty:
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         for b in chunks(batches):
-            good = [bool(t and m.languages and LETTER.search(t)) and next(iter(mixture(m, t, penalty).values())) >= least for t in b.column(at).to_pylist()]
+            good = [bool(m.languages) and has_letter(t) and next(iter(mixture(m, t, penalty).values())) >= least for t in b.column(at).to_pylist()]
             yield b.filter(pa.array(good, pa.bool_()))
 
     return restore(mine.mapInArrow(keep, mine.schema))
