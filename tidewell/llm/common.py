@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -29,12 +30,29 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """df written once to the shared folder and read again: cuts lineage, survives lost executors."""
+def stored(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+    """df written once to the shared folder and read again: cuts lineage, survives lost executors.  Inside of scratch() it goes when that ends, unless it is kept."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    if _scratch and not keep:
+        _scratch[-1].append(out)
+    return out
+
+
+_scratch: list[list[DataFrame]] = []
+
+
+@contextlib.contextmanager
+def scratch() -> Iterator[None]:
+    """Tables that are stored inside are deleted at its end; what is returned must be kept or not read them."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for table in _scratch.pop():
+            discard(table)
 
 
 def discard(df: DataFrame) -> None:

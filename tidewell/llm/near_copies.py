@@ -3,9 +3,10 @@
 SimHash can't find these: two such texts differ in 9.7 of 64 bits on average, and segments of which one surely differs by one
 bit at most would then be of 6 bits and tell nothing apart, at any length of the fingerprint.  So candidates come from
 a prefix filter (Bayardo et al., 2007): in any one order of all shingles, two such sets share one of the first n // 5 + 1 of
-their n.  Shingles that are common in a sample come last in the order, which keeps buckets small and decides nothing else.
+their n.  Shingles that many texts have come last, by counts over all texts in an array of one size; that keeps buckets small
+and decides nothing else.
 A bucket's texts are held against one of them first; after that only texts that no link connects are held against each other,
-by counts of their shingles in 64 cells, which bound what two sets can share from above.  Buckets with many of them are first cut
+by counts of their shingles in 256 cells, which bound what two sets can share from above, and then by the sets where both are short.  Buckets with many of them are first cut
 by a second shingle: sets so similar share two of their first n // 5 + 2.  What passes is decided by the sets.
 """
 
@@ -19,20 +20,22 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import BROADCAST_ROWS, chunks, look_up, partitions, stored, utf8
+from tidewell.llm.common import BROADCAST_ROWS, chunks, look_up, partitions, scratch, stored, utf8
 from tidewell.llm.graph import components
 from tidewell.llm.simhash import named, one_of_each
 
 #: Similar: intersection / union of at least LEAST / OF.
 LEAST, OF = 4, 5
-#: About so many texts tell which shingles are common; those that COMMON of them hold, at most MOST_COMMON shingles, come last.
-SAMPLE, COMMON, MOST_COMMON = 20_000, 3, 200_000
+#: Counters of shingles (their places by hash), which order them; and those of a row when tasks' counters are added up.
+COUNTERS, TOGETHER = 1 << 22, 1 << 12
+#: About so many texts tell which shingles are hot.
+SAMPLE = 20_000
 #: Shingles of over a HOTth of the sample are hot; their buckets are dealt out in SALTS parts.
 HOT, SALTS = 100, 64
 #: Rows that a bucket's first is held against at once, rows of a block of a bucket; and texts without a link in a bucket that needn't get one in another round.
 GROUP, BLOCK, SINGLES = 8192, 4096, 64
-#: Cells of the counts that bound what two sets share; sets of LONG to MOST shingles also have counts in FINE cells.
-CELLS, LONG, FINE, MOST = 64, 1000, 512, 65_535
+#: Cells of the counts that bound what two sets share; sets of LONG to MOST shingles also have counts in FINE cells; sets of up to SHORT are carried whole.
+CELLS, LONG, FINE, MOST, SHORT = 256, 1000, 512, 65_535, 128
 
 
 def shingle_set(text: bytes | None, k: int = 5) -> np.ndarray:
@@ -48,8 +51,8 @@ def shingle_set(text: bytes | None, k: int = 5) -> np.ndarray:
     return np.unique(np.array([digest(joined[a:b], 42) for a, b in zip(starts[: 1 - k].tolist(), ends[k - 1 :].tolist())], np.uint64).view(np.int64))
 
 
-def common_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
-    """Shingles that are common in a sample of the distinct texts, sorted, their places by rising count, and the hot ones."""
+def hot_shingles(docs: DataFrame, k: int) -> list[int]:
+    """Shingles that over a HOTth of a sample of the distinct texts have."""
     every = max(docs.count() // SAMPLE, 1)
     texts = docs.select("text").filter(F.pmod(F.xxhash64("text"), F.lit(every)) == 0).distinct()
 
@@ -58,39 +61,60 @@ def common_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray, li
             h, n = np.unique(np.concatenate([shingle_set(t, k) for t in utf8(b.column(0))] or [np.zeros(0, np.int64)]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n.astype(np.int64))], names=["shingle", "n"])
 
-    sums = texts.mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).filter(F.col("n") >= COMMON)
-    found = sums.orderBy(F.desc("n"), "shingle").limit(MOST_COMMON).toArrow()
-    h, n = found.column("shingle").to_numpy(), found.column("n").to_numpy()
-    order = np.argsort(h)
-    return h[order], -order, h[n > SAMPLE // HOT].tolist()
+    sums = texts.mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).filter(F.col("n") > SAMPLE // HOT)
+    return [r.shingle for r in sums.collect()]  # HOT times the words of a text on average, at most
 
 
-def prefixes(docs: DataFrame, k: int, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """doc_id, text_hash, fp (a hash of the set), n (its size), cells and fine (counts) and first (its shingles that the prefix filter needs, and the next one)."""
+def frequencies(docs: DataFrame, k: int) -> np.ndarray:
+    """About how many texts have a shingle, by its counter: over all texts, in tasks, added up by rows of counters.  Only an order is made of it."""
+    rows = COUNTERS // TOGETHER
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int32)
+        for b in chunks(batches):
+            for t in utf8(b.column(0)):
+                total[shingle_set(t, k) & (COUNTERS - 1)] += 1
+        parts = np.minimum(total, 255).astype(np.uint8).reshape(rows, TOGETHER)
+        used = np.flatnonzero(parts.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array([parts[i].tobytes() for i in used], pa.binary())], names=["row", "n"])
+
+    def add(t: pa.Table) -> pa.Table:
+        total = np.zeros(TOGETHER, np.int64)
+        for n in t.column("n"):
+            total += np.frombuffer(n.as_buffer(), np.uint8)
+        return pa.table({"row": t.column("row")[:1], "n": pa.array([np.minimum(total, 65_535).astype(np.uint16).tobytes()], pa.binary())})
+
+    out = np.zeros((rows, TOGETHER), np.uint16)
+    found = docs.select("text").mapInArrow(count, "row long, n binary").groupBy("row").applyInArrow(add, "row long, n binary")
+    for r in found.collect():  # two bytes for each counter
+        out[r.row] = np.frombuffer(r.n, np.uint16)
+    return out.ravel()
+
+
+def prefixes(docs: DataFrame, k: int, frequency: np.ndarray) -> DataFrame:
+    """doc_id, text_hash, fp (a hash of the set), n (its size), cells and fine (counts), first (its shingles that the prefix filter needs, and the next one) and short (the set, if it is)."""
     kept = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    sent = docs.sparkSession.sparkContext.broadcast(common)
-    schema = f"doc_id {kept.schema['doc_id'].dataType.simpleString()}, text_hash long, fp long, n long, cells binary, fine binary, first array<long>"
+    sent = docs.sparkSession.sparkContext.broadcast(frequency)
+    schema = f"doc_id {kept.schema['doc_id'].dataType.simpleString()}, text_hash long, fp long, n long, cells binary, fine binary, first array<long>, short binary"
 
     def first(h: np.ndarray) -> np.ndarray:
-        known, place = sent.value
-        at = np.minimum(np.searchsorted(known, h), max(len(known) - 1, 0))
-        late = known[at] == h if len(known) else np.zeros(len(h), bool)
-        last = h[late][np.argsort(place[at[late]])]
-        return np.concatenate((h[~late], last))[: len(h) + 2 - -(-LEAST * len(h) // OF)]
+        return h[np.argsort(sent.value[h & (COUNTERS - 1)], kind="stable")][: len(h) + 2 - -(-LEAST * len(h) // OF)]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches):
-            fp, n, cells, fine, prefix = [], [], [], [], []
+            fp, n, cells, fine, prefix, short = [], [], [], [], [], []
             for t in utf8(b.column(2)):
                 h = shingle_set(t, k)
                 fp.append(xxhash.xxh64_intdigest(h.tobytes(), 42))
                 n.append(len(h))
-                cells.append(counts(h, CELLS, np.int32))
-                fine.append(counts(h, FINE, np.uint16) if LONG <= len(h) <= MOST else b"")
+                cells.append(counts(h, CELLS))
+                fine.append(counts(h, FINE) if LONG <= len(h) <= MOST else b"")
                 prefix.append(first(h))
+                short.append(h.tobytes() if len(h) <= SHORT else b"")
             ends = np.concatenate(([0], np.cumsum([len(x) for x in prefix])))
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *prefix])))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.array(fp, np.uint64).view(np.int64)), pa.array(n, pa.int64()), pa.array(cells, pa.binary()), pa.array(fine, pa.binary()), lists], names=["doc_id", "text_hash", "fp", "n", "cells", "fine", "first"])
+            cols = [b.column(0), b.column(1), pa.array(np.array(fp, np.uint64).view(np.int64)), pa.array(n, pa.int64()), *(pa.array(x, pa.binary()) for x in (cells, fine)), lists, pa.array(short, pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "text_hash", "fp", "n", "cells", "fine", "first", "short"])
 
     return kept.mapInArrow(rows, schema)
 
@@ -165,20 +189,22 @@ def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def most_shared(cells: np.ndarray, others: np.ndarray) -> np.ndarray:
     """What sets can share at most, by their counts in cells."""
-    return np.minimum(cells, others).sum(-1)
+    return np.minimum(cells, others).sum(-1, dtype=np.int64)
 
 
-def counts(h: np.ndarray, cells: int, kind: type) -> bytes:
-    return np.bincount(h & (cells - 1), minlength=cells).astype(kind).tobytes()
+def counts(h: np.ndarray, cells: int) -> bytes:
+    """Shingles in each cell; were one over MOST, all cells say MOST, which bounds nothing."""
+    n = np.bincount(h & (cells - 1), minlength=cells)
+    return (n if n.max() <= MOST else np.full(cells, MOST)).astype(np.uint16).tobytes()
 
 
 def cells_of(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.int32).reshape(-1, CELLS)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, CELLS)
 
 
 def finely(a: bytes, b: bytes, n: int) -> bool:
     """Whether two sets of n shingles together may be similar by their fine counts, if both have them."""
-    return not a or not b or (LEAST + OF) * int(most_shared(np.frombuffer(a, np.uint16).astype(np.int64), np.frombuffer(b, np.uint16))) >= LEAST * n
+    return not a or not b or (LEAST + OF) * int(most_shared(np.frombuffer(a, np.uint16), np.frombuffer(b, np.uint16))) >= LEAST * n
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
@@ -213,7 +239,7 @@ def links(docs: DataFrame, rows: DataFrame, k: int, hot: list[int]) -> DataFrame
     """
     spark = docs.sparkSession
     n = partitions(spark)
-    nodes = stored(rows.groupBy("fp").agg(F.first("n").alias("n"), F.first("first").alias("first"), F.first("cells").alias("cells"), F.first("fine").alias("fine"), F.min("text_hash").alias("text_hash")), "sets")
+    nodes = stored(rows.groupBy("fp").agg(F.first("n").alias("n"), F.first("first").alias("first"), F.first("cells").alias("cells"), F.first("fine").alias("fine"), F.first("short").alias("short"), F.min("text_hash").alias("text_hash")), "sets")
     needed = F.col("n") + 1 - F.ceil(F.col("n") * LEAST / OF)
     index = nodes.repartition(n, F.xxhash64("fp")).select("fp", "n", F.explode(F.slice("first", F.lit(1), needed.cast("int"))).alias("shingle"))
     if hot:  # SAMPLE * HOT at most; a part's first is likely one of the few with a small fp
@@ -304,17 +330,31 @@ def in_blocks(rows: DataFrame) -> DataFrame:
 
 
 def compared(rows: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
-    """Pairs (a, b) of the rows of a part with different roots that may be similar by their sizes and counts."""
-    rows = rows.join(nodes.select("fp", "cells"), "fp").repartition(n, "shingle", "part").sortWithinPartitions("shingle", "part", "kind")
-    names = ["shingle", "part", "kind", "fp", "n", "root", "cells"]
+    """Pairs (a, b) of the rows of a part with different roots that may be similar by their sizes and counts.
+
+    Where both sets are short they are compared: then only a pair that joins two roots of the part counts.
+    """
+    rows = rows.join(nodes.select("fp", "cells", "short"), "fp").repartition(n, "shingle", "part").sortWithinPartitions("shingle", "part", "kind")
+    names = ["shingle", "part", "kind", "fp", "n", "root", "cells", "short"]
 
     def pairs_of(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         kind, fp, n, root = (b.column(names.index(c)).to_numpy() for c in ("kind", "fp", "n", "root"))
-        cells = cells_of(b.column(6))
-        place = np.arange(len(fp))
+        cells, sets = cells_of(b.column(6)), [np.frombuffer(x, np.int64) for x in b.column(7).to_pylist()]
+        whole = np.array([len(x) for x in sets]) == n
+        place, root = np.arange(len(fp)), root.copy()
         for i in np.flatnonzero(kind).tolist():
             j = np.flatnonzero((root != root[i]) & ((kind == NONE) | (kind[i] == BOTH) & (place > i)) & (OF * np.minimum(n, n[i]) >= LEAST * np.maximum(n, n[i])))
             j = j[(LEAST + OF) * most_shared(cells[j], cells[i]) >= LEAST * (n[j] + n[i])]
+            if whole[i] and len(j):
+                known = j[whole[j] & (n[j] > 0)]
+                joined = known[:0]
+                if len(known) and n[i]:
+                    inside = np.isin(np.concatenate([sets[x] for x in known]), sets[i])
+                    both = np.add.reduceat(inside, np.concatenate(([0], np.cumsum(n[known])[:-1])), dtype=np.int64)
+                    similar = known[(LEAST + OF) * both >= LEAST * (n[known] + n[i])]
+                    joined = similar[np.unique(root[similar], return_index=True)[1]]
+                j = np.concatenate((j[~whole[j]], joined))
+                root[np.isin(root, root[joined])] = root[i]
             if len(j):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(j), fp[i])), pa.array(fp[j])], names=["a", "b"])
 
@@ -359,11 +399,12 @@ def near_copies(docs: DataFrame, k: int = 5) -> DataFrame:
 
     As simhash.near_duplicates, but by exact similarity; fp is a hash of the set.  Texts that are null or have no word are alike.
     """
-    *common, hot = common_shingles(docs, k)
-    rows = stored(prefixes(docs, k, tuple(common)), "prefixes")
-    edges = links(docs, rows, k, hot)
-    rows = rows.select("doc_id", "text_hash", "fp")
-    return named(rows, rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_rows")), edges)
+    with scratch():
+        rows = stored(prefixes(docs, k, frequencies(docs, k)), "prefixes")
+        edges = links(docs, rows, k, hot_shingles(docs, k))
+        rows = rows.select("doc_id", "text_hash", "fp")
+        out = named(rows, rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_rows")), edges)
+        return stored(out, "near", keep=True)
 
 
 def keep_one(docs: DataFrame, k: int = 5) -> DataFrame:
