@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 import io
+import math
+import re
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.functions.scalars import bool_int, empty_to_null, float64, int64, stamp_time, topic_names, trim_blanks, trim_u
+from tidewell.functions.scalars import BLANKS, bool_int, empty_to_null, int64, stamp_time, topic_names, trim_u
 
 # Places of the columns in the tab-separated event files.  n: integer, d: double, t: text, s: 14-digit stamp as well.
 EVENT_FIELDS = 61
@@ -84,29 +89,95 @@ def line_errors(lines: DataFrame) -> DataFrame:
     return lines.filter("error is not null").select("error", F.concat(F.lit("ingest "), F.col("source_file")).alias("context"))
 
 
-def typed_fields(cols: str, layout: list[tuple[str, int, str]]) -> list[Column]:
-    """Columns of an array of trimmed fields."""
-    kinds = {"n": lambda c: int64(c, trim=False), "d": lambda c: float64(c, trim=False), "t": empty_to_null, "s": stamp_time}
-    return [kinds[kind](F.get(cols, F.lit(i))).alias(name) for name, i, kind in layout]
+WHOLE, NUMBER = "^[+-]?[0-9]+$", r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+SPECIAL = re.compile(r"(?i)([+-]?)(inf|infinity|nan)")
+#: Types of the kinds of fields, for Spark and for Arrow.
+KINDS = {"n": ("long", pa.int64()), "d": ("double", pa.float64()), "t": ("string", pa.string()), "s": ("timestamp", pa.timestamp("us", "UTC"))}
 
 
-def _tsv(lines: DataFrame, layout: list[tuple[str, int, str]], n: int) -> DataFrame:
-    """Lines of n fields or more; the fields up to the last one of the layout are trimmed, each once."""
-    cols = F.split("line", "\t", -1)
-    rows = lines.withColumn("cols", cols).filter(F.size("cols") >= n)
-    return rows.withColumn("cols", F.transform(F.slice("cols", 1, max(i for _, i, _ in layout) + 1), trim_blanks))
+def mended(x: pa.Array, at: pa.Array, found: pa.Array, parse: Callable[[str], Any]) -> pa.Array:
+    """found with what parse gives for the few texts of x that `at` (booleans) names."""
+    if not pc.any(at).as_py():
+        return found
+    return pc.replace_with_mask(found, at, pa.array([parse(v) for v in x.filter(at).to_pylist()], found.type))
+
+
+def whole_field(x: pa.Array) -> pa.Array:
+    """Base-10 integers of 64 bits; null for other texts."""
+    good = pc.match_substring_regex(x, WHOLE)
+    plain = pc.and_(good, pc.and_(pc.less(pc.binary_length(x), 19), pc.invert(pc.starts_with(x, "+"))))
+    out = pc.if_else(plain, x, None).cast(pa.int64())
+    return mended(x, pc.and_(good, pc.invert(plain)), out, lambda v: n if -(1 << 63) <= (n := int(v)) < 1 << 63 else None)
+
+
+def double_field(x: pa.Array) -> pa.Array:
+    """Decimal or exponent numbers, inf, infinity and nan; null for other texts and for what overflows."""
+    good = pc.match_substring_regex(x, NUMBER)
+    plain = pc.and_(good, pc.invert(pc.starts_with(x, "+")))
+    out = pc.if_else(plain, x, None).cast(pa.float64())
+    out = pc.if_else(pc.is_finite(out), out, None)
+    out = mended(x, pc.and_(good, pc.invert(plain)), out, lambda v: n if math.isfinite(n := float(v)) else None)
+    return mended(x, pc.and_(pc.invert(good), pc.match_substring_regex(x, "(?i)(inf|nan)")), out, lambda v: float(v) if SPECIAL.fullmatch(v) else None)
+
+
+def stamp_field(x: pa.Array) -> pa.Array:
+    """Exactly YYYYMMDDHHMMSS as a time; null for other texts and for what is no time."""
+    good = pc.match_substring_regex(x, "^[0-9]{14}$")
+    v = pc.if_else(good, x, None).cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
+    part = [v // 10**10, v // 10**8 % 100, v // 10**6 % 100, v // 10**4 % 100, v // 100 % 100, v % 100]
+    year, month, day, hour, minute, second = part
+    good = pc.fill_null(good, False).to_numpy(zero_copy_only=False) & (month > 0) & (month < 13) & (day > 0) & (hour < 24) & (minute < 60) & (second < 60)
+    first = (np.where(good, year - 1970, 0).astype("datetime64[Y]").astype("datetime64[M]") + np.where(good, month - 1, 0)).astype("datetime64[D]")
+    days = first + np.where(good, day - 1, 0)
+    good &= days.astype("datetime64[M]") == first.astype("datetime64[M]")
+    micros = days.astype("datetime64[us]").astype(np.int64) + ((hour * 60 + minute) * 60 + second) * 1_000_000
+    return pa.array(micros, pa.int64(), mask=~good).cast(pa.timestamp("us")).cast(pa.timestamp("us", "UTC"))
+
+
+def text_field(x: pa.Array) -> pa.Array:
+    return pc.if_else(pc.equal(x, ""), None, x)
+
+
+PARSERS = {"n": whole_field, "d": double_field, "t": text_field, "s": stamp_field}
+
+
+def typed_lines(lines: DataFrame, layout: list[tuple[str, int, str]], n: int, needed: list[str]) -> DataFrame:
+    """The layout's columns of lines (source_file, line) with n tab-separated fields or more, each field trimmed, and source_file; rows with a null in a needed column are left out.
+
+    Fields are parsed a column at a time over a batch of lines.  (As one projection of column expressions the generated method is too
+    large for the JVM to compile.)
+    """
+    kept = [i for i, (name, _, _) in enumerate(layout) if name in needed]
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fields = pc.split_pattern(b.column(1), "\t")
+            fits = pc.fill_null(pc.greater_equal(pc.list_value_length(fields), n), False)
+            fields, source = fields.filter(fits), b.column(0).filter(fits)
+            flat, start = fields.flatten(), fields.offsets.to_numpy()[:-1] - (fields.offsets[0].as_py() if len(fields) else 0)
+            trimmed: dict[int, pa.Array] = {}
+            for _, i, _ in layout:
+                if i not in trimmed:
+                    trimmed[i] = pc.utf8_trim(flat.take(pa.array(start + i)), characters=BLANKS)
+            out = [PARSERS[kind](trimmed[i]) for _, i, kind in layout]
+            rows = pa.RecordBatch.from_arrays([*out, source], names=[*(name for name, _, _ in layout), "source_file"])
+            good = pa.array(np.ones(rows.num_rows, bool))
+            for k in kept:
+                good = pc.and_(good, pc.is_valid(out[k]))
+            yield rows.filter(good)
+
+    schema = ", ".join([*(f"{name} {KINDS[kind][0]}" for name, _, kind in layout), "source_file string"])
+    return lines.select("source_file", "line").mapInArrow(parse, schema)
 
 
 def event_rows(lines: DataFrame) -> DataFrame:
     """Events of lines (source_file, line): at least 61 fields and a whole-number id."""
-    rows = _tsv(lines, EVENTS, EVENT_FIELDS)
-    return rows.select(*typed_fields("cols", EVENTS), "source_file").filter("global_event_id is not null")
+    return typed_lines(lines, EVENTS, EVENT_FIELDS, ["global_event_id"])
 
 
 def mention_rows(lines: DataFrame) -> DataFrame:
     """Mentions of lines: at least 14 fields, a whole-number id and an identifier."""
-    rows = _tsv(lines, MENTIONS, MENTION_FIELDS).filter(F.get("cols", F.lit(5)) != "")
-    return rows.select(*typed_fields("cols", MENTIONS), "source_file").filter("global_event_id is not null")
+    return typed_lines(lines, MENTIONS, MENTION_FIELDS, ["global_event_id", "mention_identifier"])
 
 
 def file_list(spark: SparkSession, path: str) -> DataFrame:
