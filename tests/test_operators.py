@@ -65,6 +65,28 @@ def test_ignore_counts_and_batches(spark, tmp_path):
     assert store.state("test") == ""
 
 
+def test_replaced_rows_are_noted_not_rewritten(spark, tmp_path, monkeypatch):
+    store = Catalog(spark, str(tmp_path))
+    rows = lambda pairs: spark.createDataFrame([(u, t) for u, t in pairs], "url string, title string")
+    want = {f"u{i}": "old" for i in range(200)} | {None: "no key"}
+    store.commit({"rss_feeds": rows(want.items())})
+    (first,) = store.manifest().tables["rss_feeds"]
+    files = {f: f.stat().st_mtime_ns for f in (tmp_path / first).iterdir()}
+    monkeypatch.setattr("tidewell.operators.catalog.MOST_NOTES", 3)
+    for turn in range(6):
+        change = {f"u{turn}": f"new {turn}", f"u{turn + 1}": f"newer {turn}", f"v{turn}": "added"}
+        counts = store.commit({"rss_feeds": rows([*change.items(), (f"v{turn}", "added")])})
+        assert counts["rss_feeds"] == {"fetched": 4, "inserted": 3, "duplicates": 0}
+        want |= change
+        m = store.manifest()
+        assert first in m.tables["rss_feeds"] and len(m.gone["rss_feeds"]) <= 3
+        assert {r.url: r.title for r in store.table("rss_feeds").collect()} == want and store.table("rss_feeds").count() == len(want)
+    assert {f: f.stat().st_mtime_ns for f in (tmp_path / first).iterdir()} == files
+    store.compact("rss_feeds")
+    assert "rss_feeds" not in store.manifest().gone and len(store.manifest().tables["rss_feeds"]) == 1
+    assert {r.url: r.title for r in store.table("rss_feeds").collect()} == want
+
+
 def test_runs(spark, tmp_path):
     store = Catalog(spark, str(tmp_path))
     assert runs.run(store, "test", {"count": 100})["records"] == 100

@@ -11,15 +11,19 @@ import uuid
 from collections.abc import Collection
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
-from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewell.operators.merge import ORDINAL, POLICIES, with_ordinal
 from tidewell.plans.schemas import MIGRATIONS, TABLES, Table
 
+#: A row's place; folders of such notes that a table may have.
+PLACE = T.StructType([T.StructField("tw_file", T.StringType()), T.StructField("tw_row", T.LongType())])
+MOST_NOTES = 20
+
 
 @dataclass
 class Manifest:
@@ -34,6 +38,8 @@ class Manifest:
     #: By folder, its rows and the least and greatest value of the table's zone columns.
     rows: dict[str, int] = field(default_factory=dict)
     zones: dict[str, dict[str, list[Any]]] = field(default_factory=dict)
+    #: By table, folders of places (file, row) whose rows were replaced; reads leave these out.
+    gone: dict[str, list[str]] = field(default_factory=dict)
     #: By table with a serial column, the number that the next row gets.
     serials: dict[str, int] = field(default_factory=dict)
 
@@ -135,10 +141,19 @@ class Catalog:
         df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path), seen.get["n"]
 
-    def folders(self, name: str, folders: list[str]) -> DataFrame:
-        """Some folders of a table."""
+    def folders(self, name: str, folders: list[str], m: Manifest | None = None, placed: bool = False) -> DataFrame:
+        """Rows of some folders of a table, without those that m says were replaced; placed: with file and row, their places."""
         schema = self.tables[name].schema
-        return self.spark.read.schema(schema).parquet(*(f"{self.base}/{x}" for x in folders)) if folders else self.spark.createDataFrame([], schema)
+        if not folders:
+            return self.spark.createDataFrame([], schema if not placed else T.StructType([*schema.fields, *PLACE.fields]))
+        rows = self.spark.read.schema(schema).parquet(*(f"{self.base}/{x}" for x in folders))
+        gone = m.gone.get(name) if m else None
+        if not placed and not gone:
+            return rows
+        rows = rows.select("*", F.col("_metadata.file_name").alias("tw_file"), F.col("_metadata.row_index").alias("tw_row"))
+        if gone:
+            rows = rows.join(self.spark.read.schema(PLACE).parquet(*(f"{self.base}/{x}" for x in gone)), PLACE.names, "left_anti")
+        return rows if placed else rows.drop(*PLACE.names)
 
     def table(self, name: str, m: Manifest | None = None) -> DataFrame:
         schema = self.tables[name].schema
@@ -150,8 +165,8 @@ class Catalog:
         if name == "_runs" and m.running:
             rows = [(int(k), source, datetime.fromisoformat(at), "running") for k, (source, at) in m.running.items()]
             open_runs = self.spark.createDataFrame(rows, "id long, source string, started_at timestamp, status string")
-            return self.folders(name, folders).unionByName(open_runs, allowMissingColumns=True)
-        return self.folders(name, folders)
+            return self.folders(name, folders, m).unionByName(open_runs, allowMissingColumns=True)
+        return self.folders(name, folders, m)
 
     def state(self, source: str) -> str:
         return self.manifest().states.get(source, "")
@@ -211,10 +226,7 @@ class Catalog:
             new = self._append(name, merged.appended, m)
             inserted = m.rows[new]
             if spec.policy == "replace" and folders:
-                added = self.folders(name, [new])
-                kept = self._written(name, reduce(lambda t, k: t.join(added.select(*k), k, "left_anti"), spec.keys, before).select(*spec.schema.names), m, number=False)
-                self._forget(m, name)
-                m.tables[name] = [kept, new]
+                self._replace(name, folders, self.folders(name, [new]), m)
             elif not inserted:  # an empty folder says nothing
                 m.tables[name] = folders
                 m.rows.pop(new)
@@ -236,18 +248,33 @@ class Catalog:
         extra = [c for c in (ORDINAL,) if c in have]
         return df.select(*(F.col(f.name).cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in spec.schema.fields), *extra)
 
-    def _forget(self, m: Manifest, name: str) -> None:
-        """Drops what the manifest says of folders that a table no longer has."""
-        for x in m.tables[name]:
-            m.rows.pop(x, None)
-            m.zones.pop(x, None)
+    def _replace(self, name: str, folders: list[str], added: DataFrame, m: Manifest) -> None:
+        """Notes the places of the rows whose key is among the added ones.  Files stay as they are; compact() takes such rows out.
+
+        Once a table has notes in MOST_NOTES folders they are written as one.
+        """
+        (key,) = self.tables[name].keys
+        placed = self.folders(name, folders, m, placed=True).select(*key, *PLACE.names)
+        folder, seen = f"{name}/gone-{uuid.uuid4().hex}", Observation()
+        placed.join(added.select(*key), key, "left_semi").select(*PLACE.names).observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{self.base}/{folder}")
+        if not seen.get["n"]:
+            return
+        notes = [*m.gone.get(name, []), folder]
+        if len(notes) > MOST_NOTES:
+            together = f"{name}/gone-{uuid.uuid4().hex}"
+            self.spark.read.schema(PLACE).parquet(*(f"{self.base}/{x}" for x in notes)).write.parquet(f"{self.base}/{together}")
+            notes = [together]
+        m.gone[name] = notes
 
     def compact(self, name: str) -> None:
-        """Rewrites a table's folders as one; serial numbers stay."""
+        """Rewrites a table's folders as one, without replaced rows; serial numbers stay."""
         m = self.manifest()
-        if len(m.tables.get(name, [])) > 1:
+        if len(m.tables.get(name, [])) > 1 or m.gone.get(name):
             folder = self._written(name, self.table(name, m), m, number=False)
-            self._forget(m, name)
+            for x in m.tables[name]:
+                m.rows.pop(x, None)
+                m.zones.pop(x, None)
+            m.gone.pop(name, None)
             m.tables[name] = [folder]
             m.number += 1
             self._publish(m)
