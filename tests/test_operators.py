@@ -65,6 +65,30 @@ def test_ignore_counts_and_batches(spark, tmp_path):
     assert store.state("test") == ""
 
 
+def test_a_merge_reads_only_folders_that_hold_its_keys(spark, tmp_path):
+    """New keys are merged though all data files are gone; a known key needs its own folder alone."""
+    store = Catalog(spark, str(tmp_path))
+    rows = lambda ids: spark.createDataFrame([(i, None if n is None else f"o/{n}") for i, n in ids], "id long, full_name string")
+    for k in range(3):
+        store.commit({"github_repositories": rows([(100 * k + i, 100 * k + i) for i in range(50)] + [(None, None)])})
+    first, second, third = store.manifest().tables["github_repositories"]
+    hidden = [f for name in (first, third) for f in (tmp_path / name).glob("part-*")]
+    for f in hidden:
+        f.rename(f.with_suffix(".hidden"))
+    m = store.manifest()
+    batch = rows([(900, 900), (901, 901), (None, None)])
+    assert store._meeting("github_repositories", batch, m) == []
+    assert store.commit({"github_repositories": batch})["github_repositories"]["inserted"] == 3
+    both = rows([(110, 990), (991, 111), (992, 992), (992, 993)])  # keys of the second folder: one by id, one by name
+    assert store._meeting("github_repositories", both, store.manifest()) == [second]
+    assert store.commit({"github_repositories": both})["github_repositories"] == {"fetched": 4, "inserted": 1, "duplicates": 3}
+    for f in hidden:
+        f.with_suffix(".hidden").rename(f)
+    assert store.table("github_repositories").count() == 3 * 51 + 3 + 1
+    store.compact("github_repositories")
+    assert store.commit({"github_repositories": both})["github_repositories"]["inserted"] == 0
+
+
 def test_replaced_rows_are_noted_not_rewritten(spark, tmp_path, monkeypatch):
     store = Catalog(spark, str(tmp_path))
     rows = lambda pairs: spark.createDataFrame([(u, t) for u, t in pairs], "url string, title string")

@@ -17,9 +17,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.operators.merge import ORDINAL, POLICIES, with_ordinal
+from tidewell.operators.merge import ORDINAL, POLICIES, complete, with_ordinal
 from tidewell.plans.schemas import MIGRATIONS, TABLES, Table
 
+#: Hashes of the keys of a folder's rows, by the number of the unique key.
+HASHES = "folder string, k int, h long"
 #: A row's place; folders of such notes that a table may have.
 PLACE = T.StructType([T.StructField("tw_file", T.StringType()), T.StructField("tw_row", T.LongType())])
 MOST_NOTES = 20
@@ -38,6 +40,8 @@ class Manifest:
     #: By folder, its rows and the least and greatest value of the table's zone columns.
     rows: dict[str, int] = field(default_factory=dict)
     zones: dict[str, dict[str, list[Any]]] = field(default_factory=dict)
+    #: By folder, the folder of its keys' hashes, for tables with unique keys.
+    keys: dict[str, str] = field(default_factory=dict)
     #: By table, folders of places (file, row) whose rows were replaced; reads leave these out.
     gone: dict[str, list[str]] = field(default_factory=dict)
     #: By table with a serial column, the number that the next row gets.
@@ -126,10 +130,31 @@ class Catalog:
         return folder
 
     def _append(self, name: str, rows: DataFrame, m: Manifest) -> str:
-        folder = self._written(name, rows, m)
+        return self._adopt(name, self._written(name, rows, m), m)
+
+    def _adopt(self, name: str, folder: str, m: Manifest) -> str:
+        """A written folder becomes one of the table's, with the hashes of its keys."""
         m.tables[name] = [*m.tables.get(name, []), folder]
+        if self.tables[name].keys and m.rows[folder]:
+            m.keys[folder] = f"{name}/keys-{uuid.uuid4().hex}"
+            self._hashes(self.folders(name, [folder]), name).select(F.lit(folder).alias("folder"), "k", "h").write.parquet(f"{self.base}/{m.keys[folder]}")
         return folder
 
+    def _hashes(self, rows: DataFrame, name: str) -> DataFrame:
+        """k and h: the hash of each unique key of rows; a key with a null has none, for it meets no other."""
+        each = [F.when(complete(key), F.struct(F.lit(k).alias("k"), F.xxhash64(*key).alias("h"))) for k, key in enumerate(self.tables[name].keys)]
+        return rows.select(F.explode(F.array_compact(F.array(*each))).alias("x")).select("x.k", "x.h")
+
+    def _meeting(self, name: str, rows: DataFrame, m: Manifest) -> list[str]:
+        """Folders of a table that may hold a key of rows, by the hashes of their keys: 8 bytes for each row in place of its columns."""
+        folders = m.tables.get(name, [])
+        known = [x for x in folders if x in m.keys]
+        if not known or not self.tables[name].keys:
+            return folders
+        there = self.spark.read.schema(HASHES).parquet(*(f"{self.base}/{m.keys[x]}" for x in known))
+        met = {r.folder for r in there.join(self._hashes(rows, name), ["k", "h"], "left_semi").select("folder").distinct().collect()}
+        return [x for x in folders if x in met or x not in m.keys]
+
     def stage(self, df: DataFrame) -> DataFrame:
         """df written once and read again: what is counted, merged and looked at is then the same rows.  Kept until the next commit."""
         return self._staged_and_counted(df)[0]
@@ -221,12 +246,13 @@ class Catalog:
             if not fetched:
                 counts[name] = {"fetched": 0, "inserted": 0, "duplicates": 0}
                 continue
-            before, folders = self.table(name, m), m.tables.get(name, [])
-            merged = POLICIES[spec.policy](before if folders else None, df, spec.keys)
+            folders = m.tables.get(name, [])
+            met = self._meeting(name, df, m)  # none of the others is read
+            merged = POLICIES[spec.policy](self.folders(name, met, m) if met else None, df, spec.keys)
             new = self._append(name, merged.appended, m)
             inserted = m.rows[new]
-            if spec.policy == "replace" and folders:
-                self._replace(name, folders, self.folders(name, [new]), m)
+            if spec.policy == "replace" and met:
+                self._replace(name, met, self.folders(name, [new]), m)
             elif not inserted:  # an empty folder says nothing
                 m.tables[name] = folders
                 m.rows.pop(new)
@@ -272,9 +298,10 @@ class Catalog:
         if len(m.tables.get(name, [])) > 1 or m.gone.get(name):
             folder = self._written(name, self.table(name, m), m, number=False)
             for x in m.tables[name]:
-                m.rows.pop(x, None)
-                m.zones.pop(x, None)
+                for of in (m.rows, m.zones, m.keys):
+                    of.pop(x, None)
             m.gone.pop(name, None)
-            m.tables[name] = [folder]
+            m.tables[name] = []
+            self._adopt(name, folder, m)
             m.number += 1
             self._publish(m)
