@@ -248,6 +248,13 @@ def test_export(spark, tmp_path):
     rows = spark.createDataFrame([(1, float("nan"), b"\xff", '{"b": 1, "a": 2}'), (2, 1.5, b"ok", None)], "id int, d double, raw binary, j string")
     out = [json.loads(r.value) for r in json_lines(rows, detect_json=True).collect()]
     assert out == [{"id": 1, "d": None, "raw": {"$base64": "/w=="}, "j": {"b": 1, "a": 2}}, {"id": 2, "d": 1.5, "raw": "ok", "j": None}]
+    plan = json_lines(rows, detect_json=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    odd = spark.sql("""select 1.50 as dec, date'2026-02-02' as day, timestamp'2026-02-02 15:45:00.25' as at, timestamp_ntz'2026-02-02 15:45:00' as local, float(0.5) as f, array(double('inf'), 1.0D) as xs, map(1, double('nan')) as m,
+        named_struct('b', X'ff', 'n', cast(null as double)) as s, '{"z": [1, 2.5, "t"], "a": {"k": null}}' as j, '[1, ' as broken, 'x' as t, '"q"' as q, cast(null as string) as n, cast(null as binary) as nb""")
+    (line,) = json_lines(odd, detect_json=True).collect()
+    assert json.loads(line.value) == {"dec": "1.50", "day": "2026-02-02", "at": "2026-02-02 15:45:00.250000+00:00", "local": "2026-02-02 15:45:00", "f": 0.5, "xs": [None, 1.0], "m": {"1": None}, "s": {"b": {"$base64": "/w=="}, "n": None},
+                                      "j": {"z": [1, 2.5, "t"], "a": {"k": None}}, "broken": "[1, ", "t": "x", "q": '"q"', "n": None, "nb": None}
     path = str(tmp_path / "o.jsonl.gz")
     assert stream_json_lines(json_lines(rows.select("id")), path) == 2
     assert gzip.open(path, "rt").read().count("\n") == 2

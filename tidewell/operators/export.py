@@ -2,17 +2,11 @@
 
 from __future__ import annotations
 
-import base64
 import gzip
-import json
-import math
 import re
 import sys
-from collections.abc import Iterator
-from typing import Any
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,50 +33,49 @@ def export_rows(spark: SparkSession, query: str | None = None, table: str | None
     return rows if limit is None else rows.limit(limit)
 
 
-def plain(v: Any) -> Any:
-    """A value as JSON can hold it: NaN and infinities are null, bytes text if they are UTF-8, else {"$base64": ...}."""
-    if isinstance(v, float):
-        return v if math.isfinite(v) else None
-    if isinstance(v, (bytes, bytearray)):
-        try:
-            return bytes(v).decode()
-        except UnicodeDecodeError:
-            return {"$base64": base64.b64encode(v).decode()}
-    if isinstance(v, dict):
-        return {str(k): plain(x) for k, x in v.items()}
-    if isinstance(v, (list, tuple)):
-        return [plain(x) for x in v]
-    return v if v is None or isinstance(v, (str, int, bool)) else str(v)
-
-
-def json_column(name: str, v: Any, strict: bool) -> Any:
-    """A column's JSON text as a value.  Strict: what isn't JSON raises; else only texts of objects and arrays are taken."""
-    if not isinstance(v, str) or not strict and v[:1] not in ("{", "["):
-        return v
-    try:
-        return plain(json.loads(v))
-    except ValueError:
-        if strict:
-            raise ValueError(f"column {name}: not JSON: {v[:80]!r}") from None
-        return v
+#: Types that to_json() writes as they are.
+SIMPLE = (T.StringType, T.IntegerType, T.LongType, T.ShortType, T.ByteType, T.BooleanType, T.NullType)
+
+
+def json_text(name: str, strict: bool) -> Column:
+    """A column's JSON text as a value.  Strict: what isn't JSON raises; else only texts of objects and arrays are taken, and others stay text."""
+    c = F.col(f"`{name}`")
+    value = F.try_parse_json(c)
+    if strict:
+        wrong = F.concat(F.lit(f"column {name}: not JSON: "), F.substring(c, 1, 80))
+        return F.when(c.isNotNull() & value.isNull(), F.raise_error(wrong).cast("variant")).otherwise(value)
+    return F.when(F.substring(c, 1, 1).isin("{", "["), F.coalesce(value, c.cast("variant"))).otherwise(c.cast("variant"))
+
+
+def plain(c: Column, kind: T.DataType) -> Column:
+    """A value as JSON can hold it: NaN and infinities are null, bytes text if they are UTF-8, else {"$base64": ...}; dates, times and decimals are text."""
+    if isinstance(kind, SIMPLE):
+        return c
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.when(F.abs(c) < F.lit(float("inf")), c)
+    if isinstance(kind, T.BinaryType):
+        encoded = F.to_variant_object(F.struct(F.base64(c).alias("$base64")))
+        return F.when(F.is_valid_utf8(c.cast("string")), c.cast("string").cast("variant")).when(c.isNotNull(), encoded)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        zone = "xxx" if isinstance(kind, T.TimestampType) else ""
+        whole = F.date_trunc("second", c) == c
+        return F.when(whole, F.date_format(c, f"yyyy-MM-dd HH:mm:ss{zone}")).otherwise(F.date_format(c, f"yyyy-MM-dd HH:mm:ss.SSSSSS{zone}"))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: plain(x, kind.elementType))
+    if isinstance(kind, T.StructType):
+        return F.when(c.isNotNull(), F.struct(*(plain(c[f.name], f.dataType).alias(f.name) for f in kind.fields)))
+    if isinstance(kind, T.MapType):
+        return F.map_from_entries(F.transform(F.map_entries(c), lambda e: F.struct(e["key"].cast("string").alias("key"), plain(e["value"], kind.valueType).alias("value"))))
+    return c if isinstance(kind, T.VariantType) else c.cast("string")
 
 
 def json_lines(rows: DataFrame, json_columns: list[str] = (), detect_json: bool = False) -> DataFrame:
-    """Column value: a JSON object for each row, all columns there, nulls too."""
-    simple = (T.StringType, T.IntegerType, T.LongType, T.ShortType, T.ByteType, T.BooleanType)
-    if not json_columns and not detect_json and all(isinstance(f.dataType, simple) for f in rows.schema.fields):
-        return rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
-    names, strict = rows.columns, set(json_columns)
-
-    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for values in zip(*(c.to_pylist() for c in b.columns)):
-                row = {k: json_column(k, v, k in strict) if k in strict or detect_json else v for k, v in zip(names, values)}
-                out.append(json.dumps({k: plain(v) for k, v in row.items()}, ensure_ascii=False, allow_nan=False, separators=(",", ":")))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
-
-    return rows.mapInArrow(convert, "value string")
+    """Column value: a JSON object for each row, all columns there, nulls too.  Objects of JSON texts have their names in order."""
+    columns = []
+    for f in rows.schema.fields:
+        text = isinstance(f.dataType, T.StringType) and (f.name in json_columns or detect_json)
+        columns.append((json_text(f.name, f.name in json_columns) if text else plain(F.col(f"`{f.name}`"), f.dataType)).alias(f.name))
+    return rows.select(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("value"))
 
 
 def write_json_lines(lines: DataFrame, path: str, gz: bool = False) -> None:
