@@ -6,7 +6,8 @@ a prefix filter (Bayardo et al., 2007): in any one order of all shingles, two su
 their n.  Shingles that many texts have come last, by counts over all texts in an array of one size; that keeps buckets small
 and decides nothing else.
 A bucket's texts are held against one of them first; after that only texts that no link connects are held against each other,
-by counts of their shingles in 256 cells, which bound what two sets can share from above, and then by the sets where both are short.  Buckets with many of them are first cut
+by counts of their shingles in 128 cells, which bound what two sets can share from above, and only in the bucket of the first
+shingle that they share.  Buckets with many of them are first cut
 by a second shingle: sets so similar share two of their first n // 5 + 2.  What passes is decided by the sets.
 """
 
@@ -34,8 +35,8 @@ SAMPLE = 20_000
 HOT, SALTS = 100, 64
 #: Rows that a bucket's first is held against at once, rows of a block of a bucket; and texts without a link in a bucket that needn't get one in another round.
 GROUP, BLOCK, SINGLES = 8192, 4096, 64
-#: Cells of the counts that bound what two sets share; sets of LONG to MOST shingles also have counts in FINE cells; sets of up to SHORT are carried whole.
-CELLS, LONG, FINE, MOST, SHORT = 256, 1000, 512, 65_535, 128
+#: Cells of the counts that bound what two sets share; sets of LONG to MOST shingles also have counts in FINE cells.
+CELLS, LONG, FINE, MOST = 128, 1000, 512, 65_535
 
 
 def shingle_set(text: bytes | None, k: int = 5) -> np.ndarray:
@@ -92,17 +93,17 @@ def frequencies(docs: DataFrame, k: int) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, k: int, frequency: np.ndarray) -> DataFrame:
-    """doc_id, text_hash, fp (a hash of the set), n (its size), cells and fine (counts), first (its shingles that the prefix filter needs, and the next one) and short (the set, if it is)."""
+    """doc_id, text_hash, fp (a hash of the set), n (its size), cells and fine (counts) and first (its shingles that the prefix filter needs, and the next one)."""
     kept = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     sent = docs.sparkSession.sparkContext.broadcast(frequency)
-    schema = f"doc_id {kept.schema['doc_id'].dataType.simpleString()}, text_hash long, fp long, n long, cells binary, fine binary, first array<long>, short binary"
+    schema = f"doc_id {kept.schema['doc_id'].dataType.simpleString()}, text_hash long, fp long, n long, cells binary, fine binary, first array<long>"
 
     def first(h: np.ndarray) -> np.ndarray:
         return h[np.argsort(sent.value[h & (COUNTERS - 1)], kind="stable")][: len(h) + 2 - -(-LEAST * len(h) // OF)]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches):
-            fp, n, cells, fine, prefix, short = [], [], [], [], [], []
+            fp, n, cells, fine, prefix = [], [], [], [], []
             for t in utf8(b.column(2)):
                 h = shingle_set(t, k)
                 fp.append(xxhash.xxh64_intdigest(h.tobytes(), 42))
@@ -110,11 +111,10 @@ def prefixes(docs: DataFrame, k: int, frequency: np.ndarray) -> DataFrame:
                 cells.append(counts(h, CELLS))
                 fine.append(counts(h, FINE) if LONG <= len(h) <= MOST else b"")
                 prefix.append(first(h))
-                short.append(h.tobytes() if len(h) <= SHORT else b"")
             ends = np.concatenate(([0], np.cumsum([len(x) for x in prefix])))
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *prefix])))
-            cols = [b.column(0), b.column(1), pa.array(np.array(fp, np.uint64).view(np.int64)), pa.array(n, pa.int64()), *(pa.array(x, pa.binary()) for x in (cells, fine)), lists, pa.array(short, pa.binary())]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "text_hash", "fp", "n", "cells", "fine", "first", "short"])
+            cols = [b.column(0), b.column(1), pa.array(np.array(fp, np.uint64).view(np.int64)), pa.array(n, pa.int64()), *(pa.array(x, pa.binary()) for x in (cells, fine)), lists]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "text_hash", "fp", "n", "cells", "fine", "first"])
 
     return kept.mapInArrow(rows, schema)
 
@@ -239,7 +239,7 @@ def links(docs: DataFrame, rows: DataFrame, k: int, hot: list[int]) -> DataFrame
     """
     spark = docs.sparkSession
     n = partitions(spark)
-    nodes = stored(rows.groupBy("fp").agg(F.first("n").alias("n"), F.first("first").alias("first"), F.first("cells").alias("cells"), F.first("fine").alias("fine"), F.first("short").alias("short"), F.min("text_hash").alias("text_hash")), "sets")
+    nodes = stored(rows.groupBy("fp").agg(F.first("n").alias("n"), F.first("first").alias("first"), F.first("cells").alias("cells"), F.first("fine").alias("fine"), F.min("text_hash").alias("text_hash")), "sets")
     needed = F.col("n") + 1 - F.ceil(F.col("n") * LEAST / OF)
     index = nodes.repartition(n, F.xxhash64("fp")).select("fp", "n", F.explode(F.slice("first", F.lit(1), needed.cast("int"))).alias("shingle"))
     if hot:  # SAMPLE * HOT at most; a part's first is likely one of the few with a small fp
@@ -332,29 +332,28 @@ def in_blocks(rows: DataFrame) -> DataFrame:
 def compared(rows: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
     """Pairs (a, b) of the rows of a part with different roots that may be similar by their sizes and counts.
 
-    Where both sets are short they are compared: then only a pair that joins two roots of the part counts.
+    A pair counts only in the bucket of the first shingle that both need, for that one has it as well; buckets by two shingles know no first.
     """
-    rows = rows.join(nodes.select("fp", "cells", "short"), "fp").repartition(n, "shingle", "part").sortWithinPartitions("shingle", "part", "kind")
-    names = ["shingle", "part", "kind", "fp", "n", "root", "cells", "short"]
+    rows = rows.join(nodes.select("fp", "cells", "first"), "fp").repartition(n, "shingle", "part").sortWithinPartitions("shingle", "part", "kind")
+    names = ["shingle", "part", "kind", "fp", "n", "root", "cells", "first"]
 
     def pairs_of(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         kind, fp, n, root = (b.column(names.index(c)).to_numpy() for c in ("kind", "fp", "n", "root"))
-        cells, sets = cells_of(b.column(6)), [np.frombuffer(x, np.int64) for x in b.column(7).to_pylist()]
-        whole = np.array([len(x) for x in sets]) == n
-        place, root = np.arange(len(fp)), root.copy()
+        cells, shingle = cells_of(b.column(6)), b.column(0)[0].as_py()
+        flat, starts, size = b.column(7).flatten().to_numpy(), b.column(7).offsets.to_numpy(), n + 1 + -LEAST * n // OF
+        starts = starts - starts[0]
+        place = np.arange(len(fp))
         for i in np.flatnonzero(kind).tolist():
             j = np.flatnonzero((root != root[i]) & ((kind == NONE) | (kind[i] == BOTH) & (place > i)) & (OF * np.minimum(n, n[i]) >= LEAST * np.maximum(n, n[i])))
             j = j[(LEAST + OF) * most_shared(cells[j], cells[i]) >= LEAST * (n[j] + n[i])]
-            if whole[i] and len(j):
-                known = j[whole[j] & (n[j] > 0)]
-                joined = known[:0]
-                if len(known) and n[i]:
-                    inside = np.isin(np.concatenate([sets[x] for x in known]), sets[i])
-                    both = np.add.reduceat(inside, np.concatenate(([0], np.cumsum(n[known])[:-1])), dtype=np.int64)
-                    similar = known[(LEAST + OF) * both >= LEAST * (n[known] + n[i])]
-                    joined = similar[np.unique(root[similar], return_index=True)[1]]
-                j = np.concatenate((j[~whole[j]], joined))
-                root[np.isin(root, root[joined])] = root[i]
+            mine = flat[starts[i] : starts[i] + size[i]]
+            own = np.flatnonzero(mine == shingle)
+            if len(own) and len(j):
+                order = np.argsort(mine)
+                theirs = np.concatenate([flat[starts[x] : starts[x] + size[x]] for x in j.tolist()])
+                at = np.minimum(np.searchsorted(mine[order], theirs), len(mine) - 1)
+                first = np.where(mine[order][at] == theirs, order[at], len(mine))
+                j = j[np.minimum.reduceat(first, np.concatenate(([0], np.cumsum(size[j])[:-1]))) == own[0]]
             if len(j):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(j), fp[i])), pa.array(fp[j])], names=["a", "b"])
 
