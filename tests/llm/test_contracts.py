@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import duckdb
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidewell.llm import decontaminate, langid, lines, mixing, quality, sharding, simhash, tokens
@@ -112,34 +113,37 @@ def test_tokens(spark, table):
         assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(text.encode()), n, n > 4096)
 
 
-@needs_tables
-def test_mix(spark, table):
-    got = found(spark, "op7_mix")
-    size = {i: len(WORD.findall(r[1] or "")) for i, r in table.items()}
-    sources = sorted({r[3] for r in table.values()}, key=lambda s: (s is None, s))
-    total = Counter()
-    for i, n in size.items():
-        total[table[i][3]] += n
+def targets(total):
+    """Targets of sources by the words that they have."""
+    sources = sorted(total, key=lambda s: (s is None, s))
     weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(sources)}
     target, free, left = {}, set(sources), 1.5 * sum(total.values())
-    while True:
+    while free:
         share = {s: left * weight[s] / sum(weight[x] for x in free) for s in free}
         over = {s for s in free if share[s] > 2 * total[s]}
         if not over:
-            target |= share
-            break
+            return target | share
         for s in over:
             target[s] = 2.0 * total[s]
             left -= target[s]
         free -= over
-        if not free:
-            break
+    return target
+
+
+@needs_tables
+def test_mix(spark, table):
+    got = found(spark, "op7_mix")
+    size = {i: len(WORD.findall(r[1] or "")) for i, r in table.items()}
+    total = Counter()
+    for i, n in size.items():
+        total[table[i][3]] += n
+    target = targets(total)
     taken = Counter()
     for i, r in got.items():
         assert r.size == size[i] and r.source_size == total[table[i][3]] and r.taken <= 2 * size[i]
         assert r.target == pytest.approx(target[table[i][3]], rel=1e-9)
         taken[table[i][3]] += r.taken
-    for s in sources:
+    for s in target:
         assert abs(taken[s] - target[s]) <= 0.05 * target[s] + 600
     again = found(spark, "op7_mix")
     assert {i: r.taken for i, r in got.items()} == {i: r.taken for i, r in again.items()}
@@ -223,8 +227,16 @@ def test_pipeline(spark, table):
 
 
 def test_quality_odd(spark, odd):
-    rows = quality.quality_verdicts(odd).collect()
-    assert len(rows) == len(ODD) and all(r.base_failed and not r.kept for r in rows if r.n_words < 50)
+    long = next(r for r in quality.quality_verdicts(odd).collect() if r.doc_id == 5)
+    assert (long.n_words, long.n_repeat_words, long.base_failed) == (200_000, 200_000, True)
+    short = [(i, t and t[:3000], *more) for i, t, *more in ODD]  # the SQL's time grows with the square of a text's words
+    rows = quality.quality_verdicts(odd.withColumn("text", F.substring("text", 1, 3000)))
+    con = duckdb.connect()
+    con.sql("create table documents (doc_id bigint, text varchar, lang varchar, source varchar, n_chars bigint)")
+    con.executemany("insert into documents values (?, ?, ?, ?, ?)", short)
+    want = con.execute(ORACLE_SQL["op1_quality"])
+    columns = [c[0] for c in want.description]
+    assert sorted(map(str, (tuple(r) for r in rows.select(columns).collect()))) == sorted(map(str, want.fetchall()))
 
 
 def test_shards_odd(spark, odd):
@@ -241,7 +253,19 @@ def test_simhash_odd(spark, odd):
 
 def test_mix_odd(spark, odd):
     rows = mixing.mix_summary(odd).collect()
-    assert len(rows) == len(ODD) and all(r.taken <= 2 * r.size for r in rows)
+    words = [len(WORD.findall(r[1] or "")) for r in ODD]
+    total = Counter({r[3]: 0 for r in ODD})
+    for r, n in zip(ODD, words):
+        total[r[3]] += n
+    target = targets(total)
+    source = {(r[0], n): r[3] for r, n in zip(ODD, words)}
+    assert sorted(((r.doc_id, r.size) for r in rows), key=str) == sorted(((r[0], n) for r, n in zip(ODD, words)), key=str)
+    taken = Counter()
+    for r in rows:
+        s = source[r.doc_id, r.size]
+        assert r.taken <= 2 * r.size and r.source_size == total[s] and r.target == pytest.approx(target[s])
+        taken[s] += r.taken
+    assert all(abs(taken[s] - target[s]) <= 0.05 * target[s] + 600 for s in target)
 
 
 def test_decontaminate_odd(spark, odd):

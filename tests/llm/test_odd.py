@@ -71,7 +71,7 @@ def test_decontamination_stage(spark):
     got = {}
     for r in decontaminate.decontaminate(docs, bench(spark), max_coverage=0.7).collect():
         got.setdefault(r.doc_id, []).append(r)
-    assert {i: len(x) for i, x in got.items()} == {2: 1, 3: 1, 4: 1, 5: 1, 7: 1, 8: 1, None: 2} or got.keys() == {2, 3, 4, 5, 7, 8, None}
+    assert {i: len(x) for i, x in got.items()} == {2: 1, 3: 1, 4: 1, 5: 1, 7: 1, 8: 1, None: 2}
     assert got[2][0].text is None and got[3][0].text == "" and got[4][0].text == " \n\t " and got[7][0].n_chars == 5
     assert "hund" not in got[5][0].text and got[5][0].n_chars == len(got[5][0].text)
     assert decontaminate.decontaminate(docs, bench(spark).limit(0)).count() == len(ROWS)
