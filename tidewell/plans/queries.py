@@ -45,6 +45,11 @@ def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def only_amp(html: str) -> Column:
+    """html in which `&amp;` is the only character reference, as the SQL of queries on pages has it: any other & is escaped, so parsers keep it as it stands."""
+    return F.regexp_replace(html, "&(?!amp;)", "&amp;")
+
+
 # --- merges -----------------------------------------------------------------------------------------------------------
 
 
@@ -302,7 +307,7 @@ SELECT url, trim(regexp_replace(replace(regexp_extract(html, '<title>(.*?)</titl
 FROM pages
 """)
 def html_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    doc = t(spark, sf_dir, "pages").select("url", extract_html("html", "url").alias("d"))
+    doc = t(spark, sf_dir, "pages").select("url", extract_html(only_amp("html"), "url").alias("d"))
     return doc.select("url", F.col("d.title").alias("title"), scalars.empty_to_null("d.language").alias("language"), F.size("d.links").alias("link_count"))
 
 
