@@ -227,3 +227,14 @@ def test_pages_read_only_folders_beyond_the_cursor(spark, tmp_path):
     assert store.manifest().reaching("commoncrawl_index", "id", cursor) == [] and collectors.next_pages(ctx, cursor).count() == 0
     store.compact("commoncrawl_index")
     assert store.table("commoncrawl_index").agg(F.countDistinct("id")).first()[0] == 200 and len(store.manifest().reaching("commoncrawl_index", "id", 1)) == 1
+
+
+def test_many_files_few_commits(spark, tmp_path):
+    landed = tmp_path / "feeds"
+    landed.mkdir()
+    for k in range(20):
+        (landed / f"{k:02}.xml").write_text(f"<rss><channel><title>{k}</title><item><guid>{k}</guid></item></channel></rss>")
+    store = Catalog(spark, str(tmp_path / "store"))
+    row = runs.run(store, "rss", {"path": str(landed), "batch_files": 1})
+    assert (row["status"], row["records"], row["requests"], store.table("_landed_files").count()) == ("completed", 40, 20, 20)
+    assert store.manifest().number <= 2 + 16  # its start and end, and batches

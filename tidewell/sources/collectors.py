@@ -22,6 +22,8 @@ from tidewell.operators.sweeps import contiguous_cursor, file_refs, not_collecte
 from tidewell.sources import files, shards, warc
 
 LANDED = "source string, path string, modified timestamp, bytes long"
+#: Batches of the files that wait, at most, where `batch_files` would give more; files that are listed at once.
+BATCHES, LISTED = 16, 100_000
 
 
 def listed(ctx: Context, path: str) -> DataFrame:
@@ -35,17 +37,25 @@ def there(ctx: Context, path: str) -> bool:
     return at.getFileSystem(ctx.spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
 
 
-def unread(ctx: Context, source: str, path: str, most: int, named: DataFrame | None = None) -> tuple[list[str], DataFrame] | None:
-    """The next `most` of a folder's files that the source hasn't read, in order, and their rows of _landed_files; None if there are none.
+def unread(ctx: Context, source: str, path: str, size: int, named: DataFrame | None = None, most: int | None = None) -> Iterator[tuple[list[str], DataFrame]]:
+    """A folder's files that the source hasn't read, in order and in batches, and a batch's rows of _landed_files; at most `most` files.
 
-    named: a column `name`; other files aren't read.
+    A batch has `size` files, or a BATCHES-th of those that wait if that is more: a commit costs the same whatever it holds.
+    The folder is listed once for LISTED files, and again after them for what has landed since.  named: a column `name`; other files aren't read.
     """
-    seen = ctx.catalog.table("_landed_files").filter(F.col("source") == source)
-    new = listed(ctx, path).join(seen, ["path", "modified"], "left_anti")
-    if named is not None:
-        new = new.join(named, last_part("path") == named["name"], "left_semi")
-    rows = new.orderBy("path").limit(most).select(F.lit(source).alias("source"), "path", "modified", "bytes").collect()
-    return ([r.path for r in rows], ctx.spark.createDataFrame(rows, LANDED)) if rows else None
+    while most is None or most > 0:
+        seen = ctx.catalog.table("_landed_files").filter(F.col("source") == source)
+        new = listed(ctx, path).join(seen, ["path", "modified"], "left_anti")
+        if named is not None:
+            new = new.join(named, last_part("path") == named["name"], "left_semi")
+        rows = new.orderBy("path").limit(LISTED if most is None else min(most, LISTED)).select(F.lit(source).alias("source"), "path", "modified", "bytes").collect()
+        if not rows:
+            return
+        n = max(size, -(-len(rows) // BATCHES))
+        for at in range(0, len(rows), n):
+            some = rows[at : at + n]
+            yield [r.path for r in some], ctx.spark.createDataFrame(some, LANDED)
+        most = None if most is None else most - len(rows)
 
 
 def last_part(c: str) -> Column:
@@ -77,8 +87,7 @@ def feeds(ctx: Context) -> Iterator[Batch]:
     named = None
     if "feeds" in ctx.options or "feeds_file" in ctx.options:
         named = files.feed_list(ctx.spark, ctx.options.texts("feeds"), ctx.options.text("feeds_file")).select(last_part("url").alias("name"))
-    while found := unread(ctx, "rss", ctx.options.text("path"), ctx.options.whole("batch_files", 1000), named):
-        paths, landed = found
+    for paths, landed in unread(ctx, "rss", ctx.options.text("path"), ctx.options.whole("batch_files", 1000), named):
         content = ctx.spark.read.format("binaryFile").load(paths).select(F.col("path").alias("url"), "content")
         parsed = ctx.catalog.stage(feed_rows(content))
         now = F.lit(ctx.started).cast("timestamp")
@@ -152,18 +161,14 @@ def github(ctx: Context) -> Iterator[Batch]:
     state |= {"repositories_since": state.get("repositories_since", 0), "details_cursor": state.get("details_cursor", 0)}
     files_of_batch = ctx.options.whole("batch_files", 1000)
     for name, cap, table, parse, schema in (("repositories", "max_pages", "github_repositories", files.repository_rows, files.REPOSITORY), ("events", "event_pages", "github_events", files.host_event_rows, files.EVENT)):
-        left = ctx.options.whole(cap) or None
-        while name in have and left != 0 and (found := unread(ctx, "github", f"{base}/{name}", min(files_of_batch, left or files_of_batch))):
-            paths, landed = found
+        for paths, landed in unread(ctx, "github", f"{base}/{name}", files_of_batch, most=ctx.options.whole(cap) or None) if name in have else ():
             pages = pages_of(ctx, paths)
             rows = ctx.catalog.stage(parse(pages))
             if name == "repositories":
                 state["repositories_since"] = max(state["repositories_since"], rows.agg(F.max("id")).first()[0] or 0)
             yield Batch({table: rows}, dict(state), files.page_errors(pages, files.array_of(schema)), {"_landed_files": landed})
-            left = left and left - len(paths)
     none_left = "snapshots" in have and detail_targets(ctx, state["details_cursor"]).isEmpty()
-    while "snapshots" in have and (found := unread(ctx, "github", f"{base}/snapshots", files_of_batch)):
-        paths, landed = found
+    for paths, landed in unread(ctx, "github", f"{base}/snapshots", files_of_batch) if "snapshots" in have else ():
         pages = pages_of(ctx, paths)
         answers = pages.select(F.from_json("value", "ids array<long>")["ids"].alias("ids"), "value")
         known = ctx.catalog.table("github_repositories").select(F.col("id").alias("repository_id"))
