@@ -280,3 +280,15 @@ def test_command_line(spark, tmp_path, capsys, monkeypatch):
     assert main([*common, "run", "test", "rss"]) == 130
     out = capsys.readouterr().out
     assert "test: completed, 5 rows" in out and '{"m":4}' in out and "rss\tdisabled" in out
+
+
+def test_keys_apart_are_not_read(spark, tmp_path):
+    store = Catalog(spark, str(tmp_path))
+    for _ in range(2):
+        runs.run(store, "test", {"count": 10})
+    m = store.manifest()
+    first, second = m.tables["test_records"]
+    rows = lambda lo, hi: spark.range(lo, hi).select(F.col("id").alias("seq"))
+    assert store._apart("test_records", rows(20, 30), m) == {first, second} and store._apart("test_records", rows(5, 9), m) == {second}
+    assert store._meeting("test_records", rows(9, 12), m) == [first, second]
+    assert runs.run(store, "test", {"count": 15}, resume=False)["duplicates"] == 15 and store.table("test_records").count() == 20

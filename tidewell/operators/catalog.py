@@ -148,13 +148,33 @@ class Catalog:
     def _meeting(self, name: str, rows: DataFrame, m: Manifest) -> list[str]:
         """Folders of a table that may hold a key of rows, by the hashes of their keys: 8 bytes for each row in place of its columns."""
         folders = m.tables.get(name, [])
-        known = [x for x in folders if x in m.keys]
-        if not known or not self.tables[name].keys:
+        apart = self._apart(name, rows, m)
+        known = [x for x in folders if x in m.keys and x not in apart]
+        if not self.tables[name].keys:
             return folders
-        there = self.spark.read.schema(HASHES).parquet(*(f"{self.base}/{m.keys[x]}" for x in known))
-        met = {r.folder for r in there.join(self._hashes(rows, name), ["k", "h"], "left_semi").select("folder").distinct().collect()}
+        met: set[str] = set()
+        if known:
+            there = self.spark.read.schema(HASHES).parquet(*(f"{self.base}/{m.keys[x]}" for x in known))
+            met = {r.folder for r in there.join(self._hashes(rows, name), ["k", "h"], "left_semi").select("folder").distinct().collect()}
         return [x for x in folders if x in met or x not in m.keys]
 
+    def _apart(self, name: str, rows: DataFrame, m: Manifest) -> set[str]:
+        """Folders that can't hold a key of rows, as a zone column of each unique key lies apart from theirs: not even their hashes are read."""
+        spec, zoned = self.tables[name], [x for x in m.tables.get(name, []) if x in m.zones]
+        columns = sorted({c for key in spec.keys for c in key if c in spec.zones})
+        if not zoned or not columns:
+            return set()
+        got = rows.agg(*(f(c).alias(f"{n} {c}") for c in columns for n, f in (("min", F.min), ("max", F.max)))).first()
+
+        def apart(zone: list[Any] | None, c: str) -> bool:
+            return zone is not None and got[f"max {c}"] is not None and (zone[1] < got[f"min {c}"] or got[f"max {c}"] < zone[0])
+
+        return {x for x in zoned if all(any(apart(m.zones[x].get(c), c) for c in key) for key in spec.keys)}
+
+    def _distinct(self, name: str, rows: DataFrame) -> bool:
+        """Whether the hashes of rows' unique keys all differ, and so the keys."""
+        return not self.tables[name].keys or self._hashes(rows, name).groupBy("k", "h").count().filter("count > 1").isEmpty()
+
     def stage(self, df: DataFrame) -> DataFrame:
         """df written once and read again: what is counted, merged and looked at is then the same rows.  Kept until the next commit."""
         return self._staged_and_counted(df)[0]
@@ -248,8 +268,11 @@ class Catalog:
                 continue
             folders = m.tables.get(name, [])
             met = self._meeting(name, df, m)  # none of the others is read
-            merged = POLICIES[spec.policy](self.folders(name, met, m) if met else None, df, spec.keys)
-            new = self._append(name, merged.appended, m)
+            if not met and self._distinct(name, df):  # nothing to decide: all rows are new, and none is shuffled
+                added = df.drop(ORDINAL)
+            else:
+                added = POLICIES[spec.policy](self.folders(name, met, m) if met else None, df, spec.keys).appended
+            new = self._append(name, added, m)
             inserted = m.rows[new]
             if spec.policy == "replace" and met:
                 self._replace(name, met, self.folders(name, [new]), m)

@@ -28,7 +28,7 @@ _TABLES = [
     Table("_runs", "id long, source string, started_at timestamp, finished_at timestamp, status string, records long, errors long, duplicates long, requests long, bytes long", [["id"]]),
     Table("_source_state", "source string, state string, updated_at timestamp", [["source"]], "replace"),
     Table("_errors", "run_id long, source string, occurred_at timestamp, error string, context string"),
-    Table("test_records", "seq long, payload string, hash string, run_id long, collected_at timestamp", [["seq"]], "ignore"),
+    Table("test_records", "seq long, payload string, hash string, run_id long, collected_at timestamp", [["seq"]], "ignore", zones=("seq",)),
     Table("rss_feeds", "url string, title string, link string, description string, language string, last_status int, last_fetched_at timestamp, item_count long, updated_at timestamp", [["url"]], "replace"),
     Table("rss_items", "feed string, guid string, url string, title string, author string, summary string, content string, categories string, published_at timestamp, updated_at timestamp, collected_at timestamp, run_id long", [["feed", "guid"]], "ignore"),
     Table(
@@ -71,7 +71,7 @@ _TABLES = [
         [["crawl", "surt", "stamp"]],
         "ignore",
         "id",
-        ("id",),
+        ("id", "surt"),
     ),
     Table("commoncrawl_shards", "crawl string, shard string, lines long, bytes long, completed_at timestamp, run_id long", [["crawl", "shard"]], "replace"),
     Table(
