@@ -173,23 +173,29 @@ def http_response(content: bytes) -> tuple[int, str, int, bytes]:
 
 
 RESPONSE = "status int, content_type string, content_length long, body binary, error string"
+RESPONSES = pa.struct([("status", pa.int32()), ("content_type", pa.string()), ("content_length", pa.int64()), ("body", pa.binary()), ("error", pa.string())])
+#: Records that are parsed at once.
+TOGETHER = 128
 
 
-def responses(kind: pd.Series, content: pd.Series) -> pd.DataFrame:
-    rows = []
-    for k, c in zip(kind, content):
-        try:
-            if k != "response":
-                raise MalformedRecord(f"record type {k!r} is not a response")
-            rows.append((*http_response(c), None))
-        except (HTTPException, ValueError) as e:
-            rows.append((None, None, None, None, str(e)))
-    return pd.DataFrame(rows, columns=[x.split()[0] for x in RESPONSE.split(", ")])
+def responses(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """RESPONSE of each type and content, few at a time: bodies are held for no more than those."""
+    for kinds, contents in batches:
+        for at in range(0, len(kinds), TOGETHER):
+            rows: list[dict[str, Any]] = []
+            for kind, content in zip(kinds[at : at + TOGETHER].to_pylist(), contents[at : at + TOGETHER].to_pylist()):
+                try:
+                    if kind != "response":
+                        raise MalformedRecord(f"record type {kind!r} is not a response")
+                    rows.append(dict(zip(RESPONSES.names, (*http_response(content), None))))
+                except (HTTPException, ValueError) as e:
+                    rows.append({"error": str(e)})
+            yield pa.array(rows, RESPONSES)
 
 
 def with_responses(rows: DataFrame) -> DataFrame:
     """Records with http, a struct of RESPONSE."""
-    return rows.withColumn("http", F.pandas_udf(responses, RESPONSE)("type", "content"))
+    return rows.withColumn("http", F.arrow_udf(responses, RESPONSE)("type", "content"))
 
 
 #: Bytes of archives that a task fetches, about; ranges nearer than GAP in a file are read at once, up to SPAN bytes.
