@@ -8,12 +8,14 @@ and decides nothing else.
 A bucket's texts are held against one of them first; after that only texts that no link connects are held against each other,
 by counts of their shingles in 128 cells, which bound what two sets can share from above, and only in the bucket of the first
 shingle that they share.  Buckets with many of them are first cut
-by a second shingle: sets so similar share two of their first n // 5 + 2.  What passes is decided by the sets.
+by a second shingle: sets so similar share two of their first n // 5 + 2.  What passes is decided by the sets, where many pass
+in tasks that hold them: these give a link only where it connects what none has connected, so never more links than texts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import itertools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,8 @@ SAMPLE = 20_000
 HOT, SALTS = 100, 64
 #: Rows that a bucket's first is held against at once, rows of a block of a bucket; and texts without a link in a bucket that needn't get one in another round.
 GROUP, BLOCK, SINGLES = 8192, 4096, 64
+#: Shingles of the texts that are dealt together to be held against each other by their sets (a text of more comes alone).
+SHINGLES = 1 << 20
 #: Cells of the counts that bound what two sets share; sets of LONG to MOST shingles also have counts in FINE cells.
 CELLS, LONG, FINE, MOST = 128, 1000, 512, 65_535
 
@@ -271,7 +275,7 @@ def links(docs: DataFrame, rows: DataFrame, k: int, hot: list[int]) -> DataFrame
         tried = alone.join(alone.groupBy("shingle").agg(one.alias("x")).select("shingle", "x.b", "x.n_b"), "shingle")
         tried = tried.filter((F.col("fp") != F.col("b")) & near("n", "n_b")).select(F.col("fp").alias("a"), "b")
         edges = edges.unionByName(verified(tried, nodes, docs, k))
-    return edges.unionByName(verified(across(apart, main, nodes, n), nodes, docs, k))
+    return edges.unionByName(decided(stored(across(apart, main, nodes, n, deal=True), "dealt"), nodes, docs, k, n))
 
 
 def mains(per: DataFrame) -> DataFrame:
@@ -287,8 +291,8 @@ def with_main(apart: DataFrame, main: DataFrame) -> DataFrame:
     return rows.withColumn("rest", F.col("root") != F.col("main"))
 
 
-def across(apart: DataFrame, main: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
-    """Pairs (a, b) of a bucket's texts with different roots that may be similar by their sizes and counts.
+def across(apart: DataFrame, main: DataFrame, nodes: DataFrame, n: int, deal: bool = False) -> DataFrame:
+    """Pairs (a, b) of a bucket's texts with different roots that may be similar by their sizes and counts; with `deal` what decided() takes.
 
     apart: shingle, fp, n, root.  main: mains() of it.  Texts of the main root are never held against each other.  In a bucket with up to
     BLOCK others these go to every part of the main ones.  A bucket with more is cut by a second shingle that two of its
@@ -303,7 +307,7 @@ def across(apart: DataFrame, main: DataFrame, nodes: DataFrame, n: int) -> DataF
         finer = stored(second.select(F.xxhash64("shingle", "second").alias("shingle"), "fp", "n", "root").distinct(), "finer")
         again = with_main(finer, stored(mains(finer.groupBy("shingle", "root").agg(F.count("*").alias("c"))), "main"))
         dealt = dealt.unionByName(in_parts(again.filter(F.col("late") <= BLOCK))).unionByName(in_blocks(again.filter(F.col("late") > BLOCK)))
-    return compared(dealt, nodes, n)
+    return compared(dealt, nodes, n, deal)
 
 
 #: What a row of a part is held against: nothing by itself, rows of NONE, or those and later rows of its own kind.
@@ -329,68 +333,140 @@ def in_blocks(rows: DataFrame) -> DataFrame:
     return out.select("shingle", (first.cast("long") * (1 << 31) + second).alias("part"), kind.alias("kind"), "fp", "n", "root")
 
 
-def compared(rows: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
-    """Pairs (a, b) of the rows of a part with different roots that may be similar by their sizes and counts.
+def groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
+    """Rows of each value of the first `keys` columns, by which they come sorted."""
+    held: list[pa.RecordBatch] = []
+    key = None
+    for b in batches:
+        at = np.stack([b.column(i).to_numpy() for i in range(keys)], 1)
+        cuts = [0, *(np.flatnonzero((at[1:] != at[:-1]).any(1)) + 1).tolist(), len(at)] if len(at) else []
+        for lo, hi in zip(cuts, cuts[1:]):
+            if held and tuple(at[lo]) != key:
+                yield pa.concat_batches(held)
+                held = []
+            key = tuple(at[lo])
+            held.append(b.slice(lo, hi - lo))
+    if held:
+        yield pa.concat_batches(held)
+
+
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about 10,000."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for b in batches:
+        held.append(b)
+        size += b.num_rows
+        if size > 10_000 or len(held) > 1000:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+def partners(b: pa.RecordBatch, root: np.ndarray, rows: np.ndarray, allowed: Callable[[int], np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+    """For each of these rows of a bucket those allowed that have another root (as it is by then) and may be similar by sizes and counts.
 
     A pair counts only in the bucket of the first shingle that both need, for that one has it as well; buckets by two shingles know no first.
     """
+    n, cells, shingle = b.column("n").to_numpy(), cells_of(b.column("cells")), b.column("shingle")[0].as_py()
+    first = b.column("first")
+    flat, starts, size = first.flatten().to_numpy(), first.offsets.to_numpy(), n + 1 + -LEAST * n // OF
+    starts = starts - starts[0]
+    for i in rows.tolist():
+        j = np.flatnonzero((root != root[i]) & allowed(i) & (OF * np.minimum(n, n[i]) >= LEAST * np.maximum(n, n[i])))
+        j = j[(LEAST + OF) * most_shared(cells[j], cells[i]) >= LEAST * (n[j] + n[i])]
+        mine = flat[starts[i] : starts[i] + size[i]]
+        own = np.flatnonzero(mine == shingle)
+        if len(own) and len(j):
+            order = np.argsort(mine)
+            theirs = np.concatenate([flat[starts[x] : starts[x] + size[x]] for x in j.tolist()])
+            at = np.minimum(np.searchsorted(mine[order], theirs), len(mine) - 1)
+            at = np.where(mine[order][at] == theirs, order[at], len(mine))
+            j = j[np.minimum.reduceat(at, np.concatenate(([0], np.cumsum(size[j])[:-1]))) == own[0]]
+        if len(j):
+            yield i, j
+
+
+def compared(rows: DataFrame, nodes: DataFrame, n: int, deal: bool = False) -> DataFrame:
+    """Pairs (a, b) of the rows of a part with different roots that may be similar by their sizes and counts.
+
+    With `deal`, which is for parts with any number of such pairs, no pairs but the rows that are in one, for decided(): a part's texts are
+    cut, by their sizes, into blocks of about SHINGLES shingles, and for two blocks (or one and itself) with pairs comes each text in one of
+    them, with its role.  So a part gives its rows once for each SHINGLES that its texts hold, at most twice.
+    """
     rows = rows.join(nodes.select("fp", "cells", "first"), "fp").repartition(n, "shingle", "part").sortWithinPartitions("shingle", "part", "kind")
     names = ["shingle", "part", "kind", "fp", "n", "root", "cells", "first"]
 
-    def pairs_of(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        kind, fp, n, root = (b.column(names.index(c)).to_numpy() for c in ("kind", "fp", "n", "root"))
-        cells, shingle = cells_of(b.column(6)), b.column(0)[0].as_py()
-        flat, starts, size = b.column(7).flatten().to_numpy(), b.column(7).offsets.to_numpy(), n + 1 + -LEAST * n // OF
-        starts = starts - starts[0]
-        place = np.arange(len(fp))
-        for i in np.flatnonzero(kind).tolist():
-            j = np.flatnonzero((root != root[i]) & ((kind == NONE) | (kind[i] == BOTH) & (place > i)) & (OF * np.minimum(n, n[i]) >= LEAST * np.maximum(n, n[i])))
-            j = j[(LEAST + OF) * most_shared(cells[j], cells[i]) >= LEAST * (n[j] + n[i])]
-            mine = flat[starts[i] : starts[i] + size[i]]
-            own = np.flatnonzero(mine == shingle)
-            if len(own) and len(j):
-                order = np.argsort(mine)
-                theirs = np.concatenate([flat[starts[x] : starts[x] + size[x]] for x in j.tolist()])
-                at = np.minimum(np.searchsorted(mine[order], theirs), len(mine) - 1)
-                first = np.where(mine[order][at] == theirs, order[at], len(mine))
-                j = j[np.minimum.reduceat(first, np.concatenate(([0], np.cumsum(size[j])[:-1]))) == own[0]]
-            if len(j):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(j), fp[i])), pa.array(fp[j])], names=["a", "b"])
+    def found(b: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
+        kind, place = b.column("kind").to_numpy(), np.arange(b.num_rows)
+        order = np.flatnonzero(kind)
+        order = order[np.argsort(b.column("n").to_numpy()[order], kind="stable")]
+        return partners(b, b.column("root").to_numpy(), order, lambda i: (kind == NONE) | (kind[i] == BOTH) & (place > i))
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        key = None
-        out: list[pa.RecordBatch] = []
-        size = 0
-
-        def ready(least: int) -> Iterator[pa.RecordBatch]:
-            nonlocal out, size
-            if size > least or len(out) > 1000:
-                yield pa.concat_batches(out)
-                out, size = [], 0
-
-        def close() -> Iterator[pa.RecordBatch]:
-            nonlocal held, size
-            if held:
-                for x in pairs_of(pa.concat_batches(held)):
-                    out.append(x)
-                    size += x.num_rows
-                    yield from ready(10_000)
-                held = []
+        parts = ((b.column("fp").to_numpy(), found(b)) for b in groups(batches, 2))
+        yield from gathered(pa.RecordBatch.from_arrays([pa.array(np.full(len(j), fp[i])), pa.array(fp[j])], names=["a", "b"]) for fp, all_ in parts for i, j in all_)
+
+    def dealt_of(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        n = b.column("n").to_numpy()
+        block = np.empty(len(n), np.int64)
+        order = np.argsort(n, kind="stable")
+        block[order] = (np.cumsum(n[order]) - n[order]) // SHINGLES
+        for p, each in itertools.groupby(found(b), key=lambda x: int(block[x[0]])):
+            roles: dict[int, np.ndarray] = {}
+            for i, j in each:
+                for q in np.unique(block[j]).tolist():
+                    role = roles.setdefault(q, np.zeros(len(n), np.int8))
+                    role[i] |= ONE
+                    role[j[block[j] == q]] |= OTHER
+            for q, role in roles.items():
+                at = np.flatnonzero(role)
+                some = b.select(["shingle", "part", "fp", "n", "root", "cells", "first"]).take(pa.array(at))
+                yield pa.RecordBatch.from_arrays([*some.columns[:2], pa.array(np.full(len(at), (p << 31) + q)), pa.array(role[at].astype(np.int64)), *some.columns[2:]], names=DEALT)
+
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from gathered(x for b in groups(batches, 2) for x in dealt_of(b))
+
+    if deal:
+        return rows.select(*names).mapInArrow(texts, "shingle long, part long, block long, role long, fp long, n long, root long, cells binary, first array<long>")
+    return rows.select(*names).mapInArrow(pairs, "a long, b long").distinct()
 
-        for b in batches:
-            b = b.select(names)
-            at = np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()], 1)
-            cuts = [0, *(np.flatnonzero((at[1:] != at[:-1]).any(1)) + 1).tolist(), len(at)] if len(at) else []
-            for lo, hi in zip(cuts, cuts[1:]):
-                if tuple(at[lo]) != key:
-                    yield from close()
-                key = tuple(at[lo])
-                held.append(b.slice(lo, hi - lo))
-        yield from close()
-        yield from ready(0)
 
-    return rows.select(*names).mapInArrow(pairs, "a long, b long").distinct()
+DEALT = ["shingle", "part", "block", "role", "fp", "n", "root", "cells", "first"]
+#: Roles of a row of two blocks: one of a pair, the other, or both (in different pairs).
+ONE, OTHER = 1, 2
+
+
+def decided(dealt: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, n: int) -> DataFrame:
+    """Links (a, b) between rows of compared(..., deal=True) that connect all whose sets are similar, of each two blocks a spanning forest.
+
+    A text is held against the others by its set, but not against those that a link of the same two blocks connects it with by then.
+    """
+    sets = stored(sets_of(docs, nodes.select("fp", "text_hash").join(dealt.select("fp").distinct(), "fp"), k), "sets")
+    rows = dealt.join(sets, "fp").repartition(n, "shingle", "part", "block").sortWithinPartitions("shingle", "part", "block")
+
+    def links_of(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        fp, n, role = (b.column(c).to_numpy() for c in ("fp", "n", "role"))
+        root, place = b.column("root").to_numpy().copy(), np.arange(b.num_rows)
+        one, other = (role & ONE) > 0, (role & OTHER) > 0
+        flat, starts = b.column("set").flatten().to_numpy(), b.column("set").offsets.to_numpy()
+        starts = starts - starts[0]
+        for i, j in partners(b, root, np.flatnonzero(one), lambda i: other & ~((place <= i) & one & other[i]) & (place != i)):
+            mine = flat[starts[i] : starts[i + 1]]
+            theirs = np.concatenate([flat[starts[x] : starts[x + 1]] for x in j.tolist()])
+            shared = mine[np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)] == theirs
+            both = np.add.reduceat(shared, np.concatenate(([0], np.cumsum(n[j])[:-1])), dtype=np.int64)
+            j = j[(LEAST + OF) * both >= LEAST * (n[j] + n[i])]
+            if len(j):
+                roots, at = np.unique(root[j], return_index=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), fp[i])), pa.array(fp[j[at]])], names=["a", "b"])
+                root[np.isin(root, roots)] = root[i]
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from gathered(x for b in groups(batches, 3) for x in links_of(b))
+
+    return rows.select(*DEALT, "set").mapInArrow(links, "a long, b long")
 
 
 def near_copies(docs: DataFrame, k: int = 5) -> DataFrame:
