@@ -180,3 +180,34 @@ def test_small_blocks_give_the_same(spark, docs_schema, monkeypatch):
         for name, value in changed.items():
             monkeypatch.setattr(near_copies, name, value)
         assert {r.doc_id: r.component_id for r in near_copies.near_copies(docs).collect()} == want
+
+
+def test_simhash_finds_first(spark, docs_schema, monkeypatch):
+    """Sets whose SimHashes lie three bits or fewer apart are connected by simhash's links before any other step; the sets confirm each."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(3000)]
+    rows = [(i, " ".join(rng.choices(words, k=400)), "en", "s", 0) for i in range(20)]
+    rows += [(20 + i, rows[i % 20][1] + f" x{i}" * (i // 20 + 1), "en", "s", 0) for i in range(60)] + [(80, None, "en", "s", 0), (81, rows[0][1].upper(), "en", "s", 0)]
+    docs = spark.createDataFrame(rows, docs_schema)
+    seen = []
+
+    def first(pairs, *rest):
+        seen.append({(r.a, r.b) for r in pairs.collect()})
+        return verified(pairs, *rest)
+
+    verified = near_copies.verified
+    monkeypatch.setattr(near_copies, "verified", first)
+    assert {r.doc_id: r.component_id for r in near_copies.near_copies(docs).collect()} == components(rows)
+    of = {r.fp: r.print for r in near_copies.prefixes(docs, 5, np.zeros(near_copies.COUNTERS, np.uint16)).collect()}
+    near = {(a, b) for a in of for b in of if a != b and ((of[a] ^ of[b]) % 2**64).bit_count() <= 3}
+    root = {a: a for a in of}
+
+    def top(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    for a, b in seen[0]:
+        assert (a, b) in near
+        root[top(a)] = top(b)
+    assert len(near) >= 60 and all(top(a) == top(b) for a, b in near)

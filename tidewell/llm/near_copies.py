@@ -1,7 +1,8 @@
 """Near copies: texts whose sets of word shingles have a Jaccard similarity of at least 4/5, all of them and no others.
 
-SimHash can't find these: two such texts differ in 9.7 of 64 bits on average, and segments of which one surely differs by one
-bit at most would then be of 6 bits and tell nothing apart, at any length of the fingerprint.  So candidates come from
+SimHash comes first: fingerprints of the sets at most three bits apart, found by deletion variants (simhash.links), give links where the
+sets agree.  It can't find all: two such texts differ in 9.7 of 64 bits on average, and segments of which one surely differs by one
+bit at most would then be of 6 bits and tell nothing apart, at any length of the fingerprint.  So more candidates come from
 a prefix filter (Bayardo et al., 2007): in any one order of all shingles, two such sets share one of the first n // 5 + 1 of
 their n.  Shingles that many texts have come last, by counts over all texts in an array of one size; that keeps buckets small
 and decides nothing else.
@@ -23,9 +24,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import BROADCAST_ROWS, chunks, look_up, partitions, scratch, stored, utf8
+from tidewell.llm.common import BROADCAST_ROWS, chunks, discard, look_up, partitions, scratch, stored, utf8
 from tidewell.llm.graph import components
-from tidewell.llm.simhash import named, one_of_each
+from tidewell.llm.simhash import links as print_links
+from tidewell.llm.simhash import majority, named, one_of_each
 
 #: Similar: intersection / union of at least LEAST / OF.
 LEAST, OF = 4, 5
@@ -97,28 +99,29 @@ def frequencies(docs: DataFrame, k: int) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, k: int, frequency: np.ndarray) -> DataFrame:
-    """doc_id, text_hash, fp (a hash of the set), n (its size), cells and fine (counts) and first (its shingles that the prefix filter needs, and the next one)."""
+    """doc_id, text_hash, fp (a hash of the set), print (its SimHash), n (its size), cells and fine (counts) and first (its shingles that the prefix filter needs, and the next one)."""
     kept = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     sent = docs.sparkSession.sparkContext.broadcast(frequency)
-    schema = f"doc_id {kept.schema['doc_id'].dataType.simpleString()}, text_hash long, fp long, n long, cells binary, fine binary, first array<long>"
+    schema = f"doc_id {kept.schema['doc_id'].dataType.simpleString()}, text_hash long, fp long, print long, n long, cells binary, fine binary, first array<long>"
 
     def first(h: np.ndarray) -> np.ndarray:
         return h[np.argsort(sent.value[h & (COUNTERS - 1)], kind="stable")][: len(h) + 2 - -(-LEAST * len(h) // OF)]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches):
-            fp, n, cells, fine, prefix = [], [], [], [], []
+            fp, prints, n, cells, fine, prefix = [], [], [], [], [], []
             for t in utf8(b.column(2)):
                 h = shingle_set(t, k)
                 fp.append(xxhash.xxh64_intdigest(h.tobytes(), 42))
+                prints.append(majority(h.view(np.uint64)))
                 n.append(len(h))
                 cells.append(counts(h, CELLS))
                 fine.append(counts(h, FINE) if LONG <= len(h) <= MOST else b"")
                 prefix.append(first(h))
             ends = np.concatenate(([0], np.cumsum([len(x) for x in prefix])))
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *prefix])))
-            cols = [b.column(0), b.column(1), pa.array(np.array(fp, np.uint64).view(np.int64)), pa.array(n, pa.int64()), *(pa.array(x, pa.binary()) for x in (cells, fine)), lists]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "text_hash", "fp", "n", "cells", "fine", "first"])
+            cols = [b.column(0), b.column(1), *(pa.array(np.array(x, np.uint64).view(np.int64)) for x in (fp, prints)), pa.array(n, pa.int64()), *(pa.array(x, pa.binary()) for x in (cells, fine)), lists]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "text_hash", "fp", "print", "n", "cells", "fine", "first"])
 
     return kept.mapInArrow(rows, schema)
 
@@ -231,19 +234,32 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int) -> Dat
     sets = stored(sets_of(docs, nodes.select("fp", "text_hash").join(ends, "fp"), k), "sets")
     both = F.size(F.array_intersect("set_a", "set_b"))
     similar = with_ends(left, sets, left.count()).filter((LEAST + OF) * both >= LEAST * (F.size("set_a") + F.size("set_b")))
-    return stored(similar.select("a", "b"), "links")
+    out = stored(similar.select("a", "b"), "links")
+    for table in (pairs, left, sets):
+        discard(table)
+    return out
+
+
+def by_simhash(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of fps whose SimHashes lie at most three bits apart: of equal ones each with the least, of others the least of each, by the edges that connect them."""
+    prints = stored(nodes.groupBy("print").agg(F.min("fp").alias("least"), F.count("*").alias("of")), "prints")
+    same = look_up(nodes.select("fp", "print"), prints, "print", "of", max(nodes.count(), 1)).select(F.col("fp").alias("a"), F.col("least").alias("b")).filter("a <> b")
+    near = stored(print_links(prints.select(F.col("print").alias("fp")), direct=True).distinct(), "near_prints")
+    return same.unionByName(with_ends(near, prints.select(F.col("print").alias("fp"), "least"), near.count()).select(F.col("least_a").alias("a"), F.col("least_b").alias("b")))
 
 
 def links(docs: DataFrame, rows: DataFrame, k: int, hot: list[int]) -> DataFrame:
-    """Edges (a, b) between the nodes fp of rows (of prefixes()) that connect all whose sets are similar.
+    """Edges (a, b) between the nodes fp of rows (of prefixes(), stored; they are deleted once the nodes are) that connect all whose sets are similar.
 
-    One shuffle brings the texts of a shingle together.  Each is held against the first of its bucket, in hot buckets against
+    First come those that SimHash finds and the sets confirm.  Then one shuffle brings the texts of a shingle together.  Each is held against the first of its bucket, in hot buckets against
     the first of its part and firsts against each other; another round does so for texts that no link connects, where a
     bucket has many of them.  Then texts of a bucket that are still apart are held against all others of it.
     """
     spark = docs.sparkSession
     n = partitions(spark)
-    nodes = stored(rows.groupBy("fp").agg(F.first("n").alias("n"), F.first("first").alias("first"), F.first("cells").alias("cells"), F.first("fine").alias("fine"), F.min("text_hash").alias("text_hash")), "sets")
+    nodes = stored(rows.groupBy("fp").agg(F.first("n").alias("n"), F.first("print").alias("print"), F.first("first").alias("first"), F.first("cells").alias("cells"), F.first("fine").alias("fine"), F.min("text_hash").alias("text_hash")), "nodes")
+    discard(rows)
+    close = verified(by_simhash(nodes), nodes, docs, k)
     needed = F.col("n") + 1 - F.ceil(F.col("n") * LEAST / OF)
     index = nodes.repartition(n, F.xxhash64("fp")).select("fp", "n", F.explode(F.slice("first", F.lit(1), needed.cast("int"))).alias("shingle"))
     if hot:  # SAMPLE * HOT at most; a part's first is likely one of the few with a small fp
@@ -258,7 +274,7 @@ def links(docs: DataFrame, rows: DataFrame, k: int, hot: list[int]) -> DataFrame
     index = index.repartition(n, "shingle", "salt").sortWithinPartitions("shingle", "salt", "fp")
     near = lambda a, b: OF * F.least(a, b) >= LEAST * F.greatest(a, b)
     found = stored(index.mapInArrow(stars, "shingle long, fp long, n long, pivot long, n_pivot long, large boolean"), "shingles")
-    edges = verified(found.filter((F.col("fp") != F.col("pivot")) & near("n", "n_pivot")).select(F.col("fp").alias("a"), F.col("pivot").alias("b")), nodes, docs, k)
+    edges = close.unionByName(verified(found.filter((F.col("fp") != F.col("pivot")) & near("n", "n_pivot")).select(F.col("fp").alias("a"), F.col("pivot").alias("b")), nodes, docs, k))
     large = stored(found.filter("large").select("shingle", "fp", "n").distinct(), "large")
     for turn in range(2):
         edges = components(edges).select(F.col("node").alias("a"), F.col("root").alias("b"))
@@ -475,9 +491,9 @@ def near_copies(docs: DataFrame, k: int = 5) -> DataFrame:
     As simhash.near_duplicates, but by exact similarity; fp is a hash of the set.  Texts that are null or have no word are alike.
     """
     with scratch():
-        rows = stored(prefixes(docs, k, frequencies(docs, k)), "prefixes")
-        edges = links(docs, rows, k, hot_shingles(docs, k))
-        rows = rows.select("doc_id", "text_hash", "fp")
+        whole = stored(prefixes(docs, k, frequencies(docs, k)), "prefixes")
+        rows = stored(whole.select("doc_id", "text_hash", "fp"), "rows")
+        edges = links(docs, whole, k, hot_shingles(docs, k))
         out = named(rows, rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_rows")), edges)
         return stored(out, "near", keep=True)
 

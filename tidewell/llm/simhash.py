@@ -34,6 +34,11 @@ def fingerprint(text: bytes | None) -> int:
     starts = ends - size
     digest = xxhash.xxh64_intdigest
     h = np.array([digest(joined[a:b], 42) for a, b in zip(starts[:-2].tolist(), ends[2:].tolist())], np.uint64)
+    return majority(h)
+
+
+def majority(h: np.ndarray) -> int:
+    """A bit is 1 if it is set in over half the hashes."""
     ones = np.zeros(64, np.int64)
     for at in range(0, len(h), 4096):
         ones += np.unpackbits(h[at : at + 4096].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
@@ -59,8 +64,8 @@ BUCKETS = f"transform(sequence(0, 63), p -> shiftleft(cast(p as long), {HALF}) |
 QUARTERS = "transform(sequence(0, 31), q -> shiftleft(cast(q as long), 16) | (shiftrightunsigned(fp, if(shiftrightunsigned(bucket, 32) < 32, 0, 32) + if(q < 16, 16, 0)) & 65535L & ~shiftleft(1L, q % 16)))"
 
 
-def linked(fps: np.ndarray, bits: int) -> np.ndarray:
-    """For each distinct fingerprint of a bucket the first one that reaches it by links inside the bucket.
+def linked(fps: np.ndarray, bits: int, direct: bool = False) -> np.ndarray:
+    """For each distinct fingerprint of a bucket the first one that reaches it by links inside the bucket; with `direct` the last on the way to it.
 
     Breadth first: one fingerprint at a time takes what it reaches out of those left, so dense buckets cost few passes.
     """
@@ -69,8 +74,9 @@ def linked(fps: np.ndarray, bits: int) -> np.ndarray:
     while len(left):
         seed, left, queue = left[0], left[1:], [left[0]]
         while queue and len(left):
-            near = np.bitwise_count(fps[left] ^ fps[queue.pop()]) <= bits
-            root[left[near]] = fps[seed]
+            at = queue.pop()
+            near = np.bitwise_count(fps[left] ^ fps[at]) <= bits
+            root[left[near]] = fps[at if direct else seed]
             queue += left[near].tolist()
             left = left[~near]
     return root
@@ -114,20 +120,20 @@ def runs(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int, np
     yield from close()
 
 
-def forest(fps: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+def forest(fps: np.ndarray, bits: int, direct: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Edges of a spanning forest of the links inside a group."""
     fps = np.unique(fps.view(np.uint64))
-    root = linked(fps, bits)
+    root = linked(fps, bits, direct)
     new = root != fps
     return fps[new].view(np.int64), root[new].view(np.int64)
 
 
-def links(fps: DataFrame, bits: int = 3, group: int = GROUP) -> DataFrame:
+def links(fps: DataFrame, bits: int = 3, group: int = GROUP, direct: bool = False) -> DataFrame:
     """Edges (a, b) between distinct fingerprints of fps (column fp, distinct) that connect all that lie `bits` (3 at most) or fewer apart.
 
     Each fingerprint is indexed under 64 buckets, its two halves each with one bit deleted; two at most three bits apart
     share one.  One shuffle brings buckets together; a breadth-first search gives a spanning forest of each, so copies
-    cost no pairs.  Buckets of over `group` fingerprints are dealt out by one-bit deletions of quarters of the other half
+    cost no pairs.  With `direct` the ends of each edge are themselves as near; else they may be near by others only.  Buckets of over `group` fingerprints are dealt out by one-bit deletions of quarters of the other half
     (again one of them differs by one bit at most), where a group leaves 18 bits open and so holds 2**18 fingerprints at
     most, whatever the input; of that many a search step takes out hundreds, for no more than 2**18 / 19 can lie
     unlinked.  Buckets that a sample of fps shows to be hot go there at once, so no task sees one whole.
@@ -145,7 +151,7 @@ def links(fps: DataFrame, bits: int = 3, group: int = GROUP) -> DataFrame:
         def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: list[list[np.ndarray]] = []
             for bucket, part, whole in runs(batches, most):
-                a, b = forest(part, bits) if whole else (part, part)
+                a, b = forest(part, bits, direct) if whole else (part, part)
                 held.append([np.full(len(a), bucket), a, b, np.full(len(a), not whole)])
                 if len(part) > 10_000 or len(held) > 1000:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names=["bucket", "a", "b", "large"])
