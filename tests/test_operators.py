@@ -292,3 +292,18 @@ def test_keys_apart_are_not_read(spark, tmp_path):
     assert store._apart("test_records", rows(20, 30), m) == {first, second} and store._apart("test_records", rows(5, 9), m) == {second}
     assert store._meeting("test_records", rows(9, 12), m) == [first, second]
     assert runs.run(store, "test", {"count": 15}, resume=False)["duplicates"] == 15 and store.table("test_records").count() == 20
+
+
+def test_keys_are_hashed_once(spark, tmp_path, monkeypatch):
+    """New rows' keys are read once for all that is asked of them; rows that aren't all added leave no hashes behind."""
+    store, hashed = Catalog(spark, str(tmp_path)), []
+    monkeypatch.setattr(Catalog, "_hashes", lambda self, rows, name, of=Catalog._hashes: hashed.append(name) or of(self, rows, name))
+    rows = lambda urls: spark.createDataFrame([("C", u, "s") for u in urls], "crawl string, surt string, stamp string")
+    for urls in (["a", "z", None], ["b", "y"]):
+        hashed.clear()
+        assert store.commit({"commoncrawl_index": rows(urls)})["commoncrawl_index"]["inserted"] == len(urls) and hashed == ["commoncrawl_index"]
+    assert store.commit({"commoncrawl_index": rows(["b", "c", "c", None])})["commoncrawl_index"] == {"fetched": 4, "inserted": 2, "duplicates": 2}
+    m = store.manifest()
+    assert {f"{tmp_path}/{x}" for x in m.keys.values()} == {str(x) for x in (tmp_path / "commoncrawl_index").glob("keys-*")}
+    assert [spark.read.parquet(f"{tmp_path}/{m.keys[x]}").select("folder").distinct().collect() for x in m.tables["commoncrawl_index"]] == [[(x,)] for x in m.tables["commoncrawl_index"]]
+    assert store.table("commoncrawl_index").count() == 7

@@ -76,6 +76,23 @@ def test_cut_off_and_broken(tmp_path):
         assert errors and len(lines) >= 250
 
 
+def test_small_members_make_few_batches(tmp_path):
+    """Many members of two lines: few batches of rows and few reads, each line with its member's byte, the lines before a break too."""
+    parts = [gzip.compress(f"a{i}\nb{i} é\r\n".encode()) for i in range(2000)]
+    path = tmp_path / "s.gz"
+    path.write_bytes(b"".join(parts))
+    part = shards.Ranges(shards.cut(str(path), path.stat().st_size))
+    got = list(shards.read_ranges(part))
+    assert len(got) == 1
+    at = [sum(map(len, parts[:i])) for i in range(0, 2000, 500)]
+    assert [r["at"] for r in got[0].to_pylist()[::1000]] == at
+    assert got[0].column(2).to_pylist() == [x for i in range(2000) for x in (f"a{i}", f"b{i} é")]
+    path.write_bytes(b"".join(parts) + b"junk")
+    got = list(shards.read_ranges(part))
+    assert [b.num_rows for b in got] == [4000, 1] and got[1].column(3)[0].as_py()
+    assert max(b.nbytes for b in got) < 2 * shards.TOGETHER
+
+
 def test_tasks_share_a_shard(spark, tmp_path):
     blob = b"".join(gzip.compress("".join(f"l{i} {j}\n" for j in range(100)).encode()) for i in range(40))
     (tmp_path / "a.gz").write_bytes(blob)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Collection
+from collections.abc import Collection, Iterable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from typing import Any
@@ -108,12 +108,12 @@ class Catalog:
             self._publish(m)
         return len(todo)
 
-    def _written(self, name: str, rows: DataFrame, m: Manifest, number: bool = True) -> str:
-        """Writes rows to a new folder of a table.  Its rows and zones are observed by the write itself; a serial column gets its numbers there.
+    def _written(self, name: str, rows: DataFrame, m: Manifest, number: bool = True, folder: str = "") -> str:
+        """Writes rows to a new folder of a table, named if asked for.  Its rows and zones are observed by the write itself; a serial column gets its numbers there.
 
         Numbers rise from commit to commit: each task's go on from where 2**33 rows of the task before would end.
         """
-        spec, folder = self.tables[name], f"{name}/{uuid.uuid4().hex}"
+        spec, folder = self.tables[name], folder or f"{name}/{uuid.uuid4().hex}"
         serial, zones = spec.serial if number else None, spec.zones
         if serial:
             rows = rows.withColumn(serial, F.monotonically_increasing_id() + F.lit(m.serials.get(name, 1)))
@@ -132,21 +132,31 @@ class Catalog:
     def _append(self, name: str, rows: DataFrame, m: Manifest) -> str:
         return self._adopt(name, self._written(name, rows, m), m)
 
-    def _adopt(self, name: str, folder: str, m: Manifest) -> str:
-        """A written folder becomes one of the table's, with the hashes of its keys."""
+    def _adopt(self, name: str, folder: str, m: Manifest, keys: str = "") -> str:
+        """A written folder becomes one of the table's, with the hashes of its keys (those of a folder of hashes, if it has them)."""
         m.tables[name] = [*m.tables.get(name, []), folder]
         if self.tables[name].keys and m.rows[folder]:
-            m.keys[folder] = f"{name}/keys-{uuid.uuid4().hex}"
-            self._hashes(self.folders(name, [folder]), name).select(F.lit(folder).alias("folder"), "k", "h").write.parquet(f"{self.base}/{m.keys[folder]}")
+            m.keys[folder] = keys or self._keyed(name, self.folders(name, [folder]), folder)
         return folder
 
+    def _keyed(self, name: str, rows: DataFrame, folder: str) -> str:
+        """Writes the hashes of the keys of rows, as those of a folder of the table; '' if it has no unique keys."""
+        if not self.tables[name].keys:
+            return ""
+        keys = f"{name}/keys-{uuid.uuid4().hex}"
+        self._hashes(rows, name).select(F.lit(folder).alias("folder"), "k", "h").write.parquet(f"{self.base}/{keys}")
+        return keys
+
     def _hashes(self, rows: DataFrame, name: str) -> DataFrame:
         """k and h: the hash of each unique key of rows; a key with a null has none, for it meets no other."""
+        if len(self.tables[name].keys) == 1:
+            (key,) = self.tables[name].keys
+            return rows.filter(complete(key)).select(F.lit(0).alias("k"), F.xxhash64(*key).alias("h"))
         each = [F.when(complete(key), F.struct(F.lit(k).alias("k"), F.xxhash64(*key).alias("h"))) for k, key in enumerate(self.tables[name].keys)]
         return rows.select(F.explode(F.array_compact(F.array(*each))).alias("x")).select("x.k", "x.h")
 
-    def _meeting(self, name: str, rows: DataFrame, m: Manifest) -> list[str]:
-        """Folders of a table that may hold a key of rows, by the hashes of their keys: 8 bytes for each row in place of its columns."""
+    def _meeting(self, name: str, rows: DataFrame, m: Manifest, keys: str = "") -> list[str]:
+        """Folders of a table that may hold a key of rows, by the hashes of their keys (keys: a folder of those of rows): 8 bytes for each row in place of its columns."""
         folders = m.tables.get(name, [])
         apart = self._apart(name, rows, m)
         known = [x for x in folders if x in m.keys and x not in apart]
@@ -154,8 +164,9 @@ class Catalog:
             return folders
         met: set[str] = set()
         if known:
-            there = self.spark.read.schema(HASHES).parquet(*(f"{self.base}/{m.keys[x]}" for x in known))
-            met = {r.folder for r in there.join(self._hashes(rows, name), ["k", "h"], "left_semi").select("folder").distinct().collect()}
+            there = self._read_hashes(m.keys[x] for x in known)
+            new = self._read_hashes([keys]) if keys else self._hashes(rows, name)
+            met = {r.folder for r in there.join(new.select("k", "h"), ["k", "h"], "left_semi").select("folder").distinct().collect()}
         return [x for x in folders if x in met or x not in m.keys]
 
     def _apart(self, name: str, rows: DataFrame, m: Manifest) -> set[str]:
@@ -171,9 +182,12 @@ class Catalog:
 
         return {x for x in zoned if all(any(apart(m.zones[x].get(c), c) for c in key) for key in spec.keys)}
 
-    def _distinct(self, name: str, rows: DataFrame) -> bool:
-        """Whether the hashes of rows' unique keys all differ, and so the keys."""
-        return not self.tables[name].keys or self._hashes(rows, name).groupBy("k", "h").count().filter("count > 1").isEmpty()
+    def _read_hashes(self, folders: Iterable[str]) -> DataFrame:
+        return self.spark.read.schema(HASHES).parquet(*(f"{self.base}/{x}" for x in folders))
+
+    def _distinct(self, keys: str) -> bool:
+        """Whether the hashes in a folder of them all differ, and so the keys."""
+        return not keys or self._read_hashes([keys]).groupBy("k", "h").count().filter("count > 1").isEmpty()
 
     def stage(self, df: DataFrame) -> DataFrame:
         """df written once and read again: what is counted, merged and looked at is then the same rows.  Kept until the next commit."""
@@ -267,12 +281,17 @@ class Catalog:
                 counts[name] = {"fetched": 0, "inserted": 0, "duplicates": 0}
                 continue
             folders = m.tables.get(name, [])
-            met = self._meeting(name, df, m)  # none of the others is read
-            if not met and self._distinct(name, df):  # nothing to decide: all rows are new, and none is shuffled
+            new = f"{name}/{uuid.uuid4().hex}"
+            keys = self._keyed(name, df, new)  # the rows' keys are read once; their hashes are the new folder's if all rows are added
+            met = self._meeting(name, df, m, keys)  # none of the others is read
+            if not met and self._distinct(keys):  # nothing to decide: all rows are new, and none is shuffled
                 added = df.drop(ORDINAL)
             else:
                 added = POLICIES[spec.policy](self.folders(name, met, m) if met else None, df, spec.keys).appended
-            new = self._append(name, added, m)
+                if keys:
+                    self._staged.append(f"{self.base}/{keys}")
+                    keys = ""
+            self._adopt(name, self._written(name, added, m, folder=new), m, keys)
             inserted = m.rows[new]
             if spec.policy == "replace" and met:
                 self._replace(name, met, self.folders(name, [new]), m)

@@ -7,7 +7,7 @@ import io
 import json
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.operators.catalog import Catalog
@@ -135,10 +135,13 @@ def page_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def index_shards(orders: DataFrame, folder: str) -> None:
     """Three shards of a crawl index with a line for each order, in gzip members of up to 20."""
-    key = F.format_string("org,example)/%012d 20260202154500 ", "o_orderkey")
-    meta = F.to_json(F.struct(F.concat(F.lit("http://example.org/"), "o_orderkey").alias("url"), F.lit("text/html").alias("mime"), F.lit("200").alias("status")))
-    rows = orders.select((F.col("o_orderkey") % 3).alias("shard"), F.floor(F.col("o_orderkey") / 60).alias("block"), F.concat(key, meta, F.lit("\n")).alias("line"))
-    member = rows.groupBy("shard", "block").agg(F.array_join(F.sort_array(F.collect_list("line")), "").alias("text"))
+
+    def line(key: Column) -> Column:
+        return F.concat(F.format_string("org,example)/%012d 20260202154500 ", key), F.lit('{"url":"http://example.org/'), key, F.lit('","mime":"text/html","status":"200"}\n'))
+
+    rows = orders.select((F.col("o_orderkey") % 3).alias("shard"), F.floor(F.col("o_orderkey") / 60).alias("block"), "o_orderkey")
+    member = rows.groupBy("shard", "block").agg(F.sort_array(F.collect_list("o_orderkey")).alias("keys"))  # keys are shuffled, lines are made after
+    member = member.select("shard", "block", F.array_join(F.transform("keys", line), "").alias("text"))
     land(member.select(files.shard_name(F.col("shard")).alias("name"), F.col("block").alias("at"), gzipped(F.encode("text", "UTF-8")).alias("data")), folder)
 
 

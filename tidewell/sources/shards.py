@@ -7,6 +7,7 @@ A line may go over members: it belongs to the range that has the byte before it.
 
 from __future__ import annotations
 
+import io
 import json
 import zlib
 from collections.abc import Iterator
@@ -21,6 +22,8 @@ LINES = "path string, at long, value string, error string"
 MAGIC = b"\x1f\x8b\x08"
 #: Compressed bytes of a range, about; compressed bytes read and unpacked bytes held at once.
 RANGE, PIECE, HELD = 8 << 20, 1 << 16, 4 << 20
+#: Bytes of a file that are buffered; compressed bytes that a member is first tried with, as many members have no more; bytes of lines that are rows together, about.
+BUFFER, FIRST, TOGETHER = 1 << 20, 1 << 11, 1 << 20
 
 
 def store_of(path: str) -> tuple[Any, str]:
@@ -38,6 +41,18 @@ class Member:
 
     def data(self) -> Iterator[bytes]:
         self.f.seek(self.at)
+        raw, d = self.f.read(FIRST), zlib.decompressobj(31)
+        try:
+            out = d.decompress(raw, HELD)
+        except zlib.error:  # found again below, where lines before it count
+            pass
+        else:
+            if d.eof:
+                self.end = self.at + len(raw) - len(d.unused_data)
+                if out:
+                    yield out
+                return
+        self.f.seek(self.at)
         d, pos = zlib.decompressobj(31), self.at
         while not d.eof:
             raw = self.f.read(PIECE)
@@ -146,13 +161,38 @@ def blocks(f: Any, lo: int, hi: int, size: int) -> Iterator[tuple[int, bytes]]:
 
 
 def batch_of(path: str, at: int, block: bytes) -> pa.RecordBatch:
+    return rows_of(path, [(at, block)])
+
+
+def rows_of(path: str, some: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    """Rows of the lines of blocks; only the last block may lack its last line's end."""
+    block = b"".join(data for _, data in some)
     lines = block.decode(errors="replace").split("\n")
     if not lines[-1]:
         lines.pop()
     if b"\r" in block:
         lines = [x.removesuffix("\r") for x in lines]
     n = len(lines)
-    return pa.RecordBatch.from_arrays([pa.array([path] * n, pa.string()), pa.array([at] * n, pa.int64()), pa.array(lines, pa.string()), pa.nulls(n, pa.string())], names=["path", "at", "value", "error"])
+    at = [x for x, data in some for _ in range(data.count(b"\n") + (not data.endswith(b"\n")))]
+    return pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(path, pa.string()), n), pa.array(at, pa.int64()), pa.array(lines, pa.string()), pa.nulls(n, pa.string())], names=["path", "at", "value", "error"])
+
+
+def grouped(found: Iterator[tuple[int, bytes]]) -> Iterator[list[tuple[int, bytes]]]:
+    """Blocks in lists of about TOGETHER bytes, so that small members don't make a batch of rows each.  Those before an error come first."""
+    some, n = [], 0
+    try:
+        for at, block in found:
+            some.append((at, block))
+            n += len(block)
+            if n >= TOGETHER:
+                yield some
+                some, n = [], 0
+    except (OSError, EOFError, ValueError, zlib.error):
+        if some:
+            yield some
+        raise
+    if some:
+        yield some
 
 
 @dataclass
@@ -167,9 +207,9 @@ def read_ranges(part: Ranges) -> Iterator[pa.RecordBatch]:
     for path, lo, hi, size in part.ranges:
         try:
             store, name = store_of(path)
-            with store.open_input_file(name) as f:
-                for at, block in blocks(f, lo, hi, size):
-                    yield batch_of(path, at, block)
+            with io.BufferedReader(store.open_input_file(name), BUFFER) as f:
+                for some in grouped(blocks(f, lo, hi, size)):
+                    yield rows_of(path, some)
         except (OSError, EOFError, ValueError, zlib.error) as e:
             yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([lo], pa.int64()), pa.nulls(1, pa.string()), pa.array([f"{type(e).__name__}: {e}"])], names=["path", "at", "value", "error"])
 
